@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -58,15 +59,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most per_class documents of either label value, outside the held-out fifth: text and label.
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, most: dict[int, int]) -> DataFrame:
+    """At most most[v] documents of each label value v, outside the held-out fifth: doc_id, text and label.
 
     The choice follows a hash of the id, so that reruns agree. Ids with contradictory labels count with the larger.
-    The chosen ids are at most 2 * per_class, which bounds the broadcast.
+    The chosen ids are at most sum(most.values()), which bounds the broadcast.
     """
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     order = [F.xxhash64("doc_id", F.lit(7)), F.col("doc_id")]
-    chosen = [rows.where(F.col("label") == v).orderBy(*order).limit(per_class) for v in (0, 1)]
-    ids = chosen[0].unionByName(chosen[1])
+    chosen = [rows.where(F.col("label") == v).orderBy(*order).limit(n) for v, n in most.items()]
+    ids = reduce(DataFrame.unionByName, chosen)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "text"])
+    return texts.join(F.broadcast(ids), "doc_id")

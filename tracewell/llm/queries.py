@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.llm.bpe_count import count_tokens
+from tracewell.llm.quality_crf import fit_quality, score_quality
+from tracewell.llm.rule_lists import apply_rules, fit_rules
 from tracewell.llm.token_files import token_files
+from tracewell.llm.toxicity import fit_toxicity, score_toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -15,13 +18,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return score_quality(documents, fit_quality(documents, table(spark, sf_dir, "labels")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_rule_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return apply_rules(documents, fit_rules(documents, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return score_toxicity(documents, fit_toxicity(documents, table(spark, sf_dir, "labels")))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_quality_crf, op4_token_counts, op6_rule_lists, op7_toxicity, op10_token_files)}
 SQL: dict[str, str] = {}
