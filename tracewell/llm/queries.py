@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.llm.bpe_count import count_tokens
+from tracewell.llm.mixing import taken
+from tracewell.llm.ngram_join import jaccard_components
 from tracewell.llm.quality_crf import fit_quality, score_quality
 from tracewell.llm.rule_lists import apply_rules, fit_rules
 from tracewell.llm.token_files import token_files
@@ -27,6 +29,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(table(spark, sf_dir, "documents"))
+
+
 def op6_rule_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return apply_rules(documents, fit_rules(documents, table(spark, sf_dir, "labels")))
@@ -37,9 +43,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents, fit_toxicity(documents, table(spark, sf_dir, "labels")))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_crf, op4_token_counts, op6_rule_lists, op7_toxicity, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_quality_crf, op4_token_counts, op5_source_mixing, op6_rule_lists, op7_toxicity, op8_ngram_join, op10_token_files)}
 SQL: dict[str, str] = {}
