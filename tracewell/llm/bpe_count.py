@@ -142,10 +142,11 @@ class Counter:
         ranks, special = merge_ranks(path)
         self.counts = Memo(lambda piece: count_piece(piece.encode("utf-8", "surrogatepass"), ranks), KEPT_PIECES)
         self.pieces, self.units = Splitter(), Words(self.of_pieces, KEPT_WORDS)
-        self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.special = special
+        self.parts = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
 
     def of_pieces(self, text: str) -> int:
-        parts = self.special.split(text) if self.special else [text]
+        parts = self.parts.split(text) if any(x in text for x in self.special) else [text]
         return len(parts) - 1 + sum(sum(map(self.counts.__getitem__, self.pieces(part))) for part in parts)
 
     def __call__(self, text: str) -> int:

@@ -17,8 +17,10 @@ their rows, ordered by text; other columns are not read; an empty table writes n
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,12 +32,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracewell.llm.bpe_count import Memo, Splitter, Words
+from tracewell.llm.bpe_count import Memo, Splitter, Words, byte_symbols
 from tracewell.llm.common import shared_dir
 
 BLOCK_IDS = 1 << 20
 KEPT_PIECES = 1_000_000
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 END_ID = 0
 MAGIC = b"EFT1"
 STEP = 64
@@ -114,17 +116,27 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.known = Memo(lambda piece: self.raw(self.tokenizer.encode(piece, add_special_tokens=False).ids), KEPT_PIECES)
+        self.known = Memo(self.of_piece, KEPT_PIECES)
+        self.stand_ins = {b: c for c, b in byte_symbols().items()}
         self.split, self.units = Splitter(), Words(self.of_pieces, KEPT_WORDS)
-        special = sorted((x.content for x in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+        self.special = {x.content: self.raw([i]) for i, x in self.tokenizer.get_added_tokens_decoder().items()}
+        self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def raw(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        values = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            values.byteswap()
+        return values.tobytes()
+
+    def of_piece(self, piece: str) -> bytes:
+        """By the library's model, which takes bytes as their printable stand-ins."""
+        symbols = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.stand_ins)
+        return self.raw([t.id for t in self.tokenizer.model.tokenize(symbols)])
 
     def of_pieces(self, text: str) -> bytes:
-        parts = self.special.split(text) if self.special else [text]
-        return b"".join(self.known[p] for k, part in enumerate(parts) for p in ([part] if k % 2 else self.split(part)))
+        if not any(x in text for x in self.special):
+            return b"".join(map(self.known.__getitem__, self.split(text)))
+        return b"".join(self.special[p] if k % 2 else b"".join(map(self.known.__getitem__, self.split(p))) for k, p in enumerate(self.parts.split(text)))
 
     def __call__(self, text: str) -> bytes:
         return b"".join(self.units(text))
