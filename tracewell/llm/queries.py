@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.llm.bpe_count import count_tokens
+from tracewell.llm.decontaminate import contaminated
+from tracewell.llm.html_render import render_pages
 from tracewell.llm.mixing import taken
 from tracewell.llm.ngram_join import jaccard_components
 from tracewell.llm.quality_crf import fit_quality, score_quality
+from tracewell.llm.quotes import conversations
 from tracewell.llm.rule_lists import apply_rules, fit_rules
 from tracewell.llm.token_files import token_files
 from tracewell.llm.toxicity import fit_toxicity, score_toxicity
@@ -25,6 +28,14 @@ def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents, fit_quality(documents, table(spark, sf_dir, "labels")))
 
 
+def op2_html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations(table(spark, sf_dir, "conversations"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -47,9 +58,19 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_crf, op4_token_counts, op5_source_mixing, op6_rule_lists, op7_toxicity, op8_ngram_join, op10_token_files)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_crf, op2_html_render, op3_quote_linking, op4_token_counts, op5_source_mixing,
+        op6_rule_lists, op7_toxicity, op8_ngram_join, op9_decontaminate, op10_token_files,
+    )
+}
 SQL: dict[str, str] = {}
