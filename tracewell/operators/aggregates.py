@@ -29,7 +29,7 @@ def value_counts(df: DataFrame, key: str) -> DataFrame:
 
 def token_counts(df: DataFrame, lists: str) -> DataFrame:
     """How often each token occurs in delimited lists."""
-    tokens = df.select(F.trim(F.explode(F.split(lists, ","))).alias("token")).where("token != ''")
+    tokens = df.select(F.explode(F.split(lists, ",")).alias("token")).select(F.trim("token").alias("token")).where("token != ''")
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 

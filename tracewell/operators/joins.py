@@ -54,7 +54,7 @@ def word_references(files: DataFrame, names: DataFrame, content: str, name: str)
     whole = F.col("_key") == F.lower(name)
     found = words.join(keyed, words["_word"] == keyed["_key"])
     quoted = F.concat(F.lit(r"\b\Q"), F.lower(name), F.lit(r"\E\b"))
-    return found.where(whole | F.lower(content).rlike(quoted)).drop("_word", "_parts", "_key")
+    return found.where(whole | F.regexp_like(F.lower(content), quoted)).drop("_word", "_parts", "_key")
 
 
 def contained_names(texts: DataFrame, names: DataFrame, text: str, name: str) -> DataFrame:
