@@ -66,10 +66,21 @@ def split_quotas(counts: np.ndarray, shards: int, rng: np.random.Generator) -> n
     return np.vstack([split_quotas(given, left, rng), split_quotas(counts - given, shards - left, rng)])
 
 
-def with_blocks(documents: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The columns of documents and one, `_mix`: size, source_size, target, and the draws of the row (epoch and shard of each)."""
-    spark = documents.sparkSession
-    sizes = documents.select("doc_id", "source", size_column().alias("size"))
+DRAWS = "array<struct<epoch:int,shard:int>>"
+
+
+def _turn(seed: int) -> Column:
+    """A document's place in the cut block."""
+    return F.xxhash64("doc_id", F.lit(seed))
+
+
+def _block(seed: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.col("n_blocks")).cast("int")
+
+
+def plan_draws(sizes: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """sizes: doc_id, source, size. Returns the sources (one row each) and, by source and block, its draws and where its partial draw is cut."""
+    spark = sizes.sparkSession
     by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).orderBy(F.col("source").asc_nulls_last()).collect()  # one row for each source
     names, totals = [r["source"] for r in by_source], [r["source_size"] for r in by_source]
     goal = targets(totals, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(totals))])
@@ -79,50 +90,59 @@ def with_blocks(documents: DataFrame, block_words: int = BLOCK_WORDS, shards: in
     source_rows = [(i, names[i], totals[i], float(goal[i]), n_blocks[i], passes[i], rest[i]) for i in range(len(names))]
     sources = spark.createDataFrame(source_rows, "k int, source string, source_size long, target double, n_blocks int, passes int, rest double")
 
-    turn = F.xxhash64("doc_id", F.lit(seed))  # a document's place in the cut block
-    block = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.col("n_blocks")).cast("int")
-    placed = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select("k", block.alias("block"), turn.alias("turn"), "size", "rest", "passes")
+    placed = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select("k", _block(seed).alias("block"), _turn(seed).alias("turn"), "size", "rest", "passes")
     blocks = placed.groupBy("k", "block", "rest", "passes").agg(F.sum("size").alias("words"))
     order = Window.partitionBy("k").orderBy(F.xxhash64("k", "block", F.lit(seed + 2)), "block")
     blocks = blocks.withColumn("end", F.sum("words").over(order)).withColumn("missing", F.col("rest") - (F.col("end") - F.col("words")))
     # in the partial pass a block is taken whole, is cut, or is left
-    blocks = stored(blocks.select("k", "block", "passes", ((F.col("missing") >= F.col("words")) & (F.col("words") > 0) & (F.col("rest") > 0)).alias("whole"), ((F.col("missing") > 0) & (F.col("missing") < F.col("words"))).alias("cut"), "missing"), "mix-blocks")
+    whole = (F.col("missing") >= F.col("words")) & (F.col("words") > 0) & (F.col("rest") > 0)
+    cut = (F.col("missing") > 0) & (F.col("missing") < F.col("words"))
+    blocks = stored(blocks.select("k", "block", "passes", whole.alias("whole"), cut.alias("cut"), "missing"), "mix-blocks")
     in_turn = placed.join(blocks.where("cut").select("k", "block", "missing"), ["k", "block"]).groupBy("k", "block", "missing", "turn").agg(F.sum("size").alias("size"))
     until = F.sum("size").over(Window.partitionBy("k", "block").orderBy("turn"))
     cuts = in_turn.withColumn("middle", until - F.col("size") / 2).where(F.col("middle") <= F.col("missing")).groupBy("k", "block").agg(F.max("turn").alias("last_turn"))
 
-    draws = blocks.select("k", "block", F.explode(F.sequence(F.lit(0), F.col("passes") + F.when(F.col("whole") | F.col("cut"), 0).otherwise(-1))).alias("epoch"), "passes", "cut") if source_rows else None
-    if draws is None:
-        return documents.withColumn("_mix", F.lit(None).cast("struct<size:bigint,source_size:bigint,target:double,draws:array<struct<epoch:int,shard:int>>>"))
-    draws = draws.where("epoch >= 0 and epoch <= passes")  # sequence(0, -1) counts down
+    last = F.col("passes") + F.when(F.col("whole") | F.col("cut"), 0).otherwise(-1)  # -1: the block isn't drawn at all
+    draws = blocks.withColumn("last", last).where("last >= 0").select("k", "block", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("epoch"), "passes", "cut")
     counted = {r["k"]: r["n"] for r in draws.groupBy("k").agg(F.count("*").alias("n")).collect()}
     quotas = split_quotas(np.array([counted.get(i, 0) for i in range(len(names))], np.int64), shards, np.random.default_rng(seed))
     ends = np.cumsum(quotas, axis=0)
     ranges = [(i, s, int(ends[s, i] - quotas[s, i]), int(ends[s, i])) for s in range(shards) for i in range(len(names)) if quotas[s, i]]
-    ranges = spark.createDataFrame(ranges, "k int, shard int, first long, past long")
-    drawn = draws.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.xxhash64("k", "block", "epoch", F.lit(seed + 3)), "block", "epoch")).cast("long") - 1)
-    drawn = drawn.join(ranges, (drawn["k"] == ranges["k"]) & (drawn["n"] >= ranges["first"]) & (drawn["n"] < ranges["past"])).select(drawn["k"], "block", F.struct("epoch", "shard", (F.col("cut") & (F.col("epoch") == F.col("passes"))).alias("partial")).alias("draw"))
+    ranges = spark.createDataFrame(ranges, "range_k int, shard int, first long, past long")
+    in_order = Window.partitionBy("k").orderBy(F.xxhash64("k", "block", "epoch", F.lit(seed + 3)), "block", "epoch")
+    drawn = draws.withColumn("n", F.row_number().over(in_order).cast("long") - 1)
+    drawn = drawn.join(ranges, (F.col("k") == F.col("range_k")) & (F.col("n") >= F.col("first")) & (F.col("n") < F.col("past")))
+    drawn = drawn.select("k", "block", F.struct("epoch", "shard", (F.col("cut") & (F.col("epoch") == F.col("passes"))).alias("partial")).alias("draw"))
     plan = drawn.groupBy("k", "block").agg(F.sort_array(F.collect_list("draw")).alias("all_draws"))  # most_repeats + 1 at most
-    plan = stored(plan.join(cuts, ["k", "block"], "left").select(F.col("k").alias("_k"), F.col("block").alias("_b"), "all_draws", "last_turn"), "mix-plan")
+    plan = plan.join(cuts, ["k", "block"], "left").select(F.col("k").alias("_k"), F.col("block").alias("_b"), "all_draws", "last_turn")
+    return sources.withColumnRenamed("source", "_source"), stored(plan.coalesce(8), "mix-plan")
+
 
-    wide = documents.select(F.struct(*(documents[c] for c in documents.columns)).alias("_row"), documents["doc_id"].alias("doc_id"), documents["source"].alias("source"), documents["text"].alias("text"))
-    wide = wide.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    wide = wide.select("_row", size_column().alias("size"), "source_size", "target", "k", block.alias("block"), turn.alias("turn"))
-    wide = wide.join(plan, (F.col("k") == F.col("_k")) & (F.col("block") == F.col("_b")), "left")
+def with_draws(documents: DataFrame, sources: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
+    """documents as the struct _row, with source_size, target, and the draws (epoch and shard) of each row."""
+    rows = documents.select(F.struct(*(documents[c] for c in documents.columns)).alias("_row"), documents["doc_id"].alias("doc_id"), documents["source"].alias("source"))
+    rows = rows.join(sources, F.col("source").eqNullSafe(F.col("_source"))).select("_row", "source_size", "target", "k", _block(seed).alias("block"), _turn(seed).alias("turn"))
+    rows = rows.join(plan, (F.col("k") == F.col("_k")) & (F.col("block") == F.col("_b")), "left")
     kept = F.filter("all_draws", lambda d: ~d["partial"] | F.coalesce(F.col("turn") <= F.col("last_turn"), F.lit(False)))
     mine = F.transform(F.coalesce(kept, F.array().cast("array<struct<epoch:int,shard:int,partial:boolean>>")), lambda d: F.struct(d["epoch"].alias("epoch"), d["shard"].alias("shard")))
-    return wide.select("_row.*", F.struct("size", "source_size", "target", mine.alias("draws")).alias("_mix"))
+    return rows.select("_row", "source_size", "target", mine.cast(DRAWS).alias("draws"))
+
+
+def _sizes(documents: DataFrame) -> DataFrame:
+    return stored(documents.select("doc_id", "source", size_column().alias("size")), "mix-sizes")
 
 
-def taken(documents: DataFrame, **options) -> DataFrame:
+def taken(documents: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """What the mix takes of each document: doc_id, size, source_size, target, taken."""
-    m = F.col("_mix")
-    return with_blocks(documents.select("doc_id", "source", "text"), **options).select("doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"), (m["size"] * F.size(m["draws"])).cast("long").alias("taken"))
+    sizes = _sizes(documents)
+    rows = with_draws(sizes, *plan_draws(sizes, seed=seed, **options), seed=seed)
+    size = F.col("_row.size")
+    return rows.select("_row.doc_id", size.alias("size"), "source_size", "target", (size * F.size("draws")).cast("long").alias("taken"))
 
 
 def mix(documents: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The mix itself: the rows of documents, each as often as drawn, by shard and in random order in each shard."""
-    rows = with_blocks(documents, seed=seed, **options)
-    drawn = rows.withColumn("_draw", F.explode("_mix.draws")).withColumn("_turn", F.xxhash64("doc_id", "_draw.epoch", F.lit(seed + 4)))
+    rows = with_draws(documents, *plan_draws(_sizes(documents), seed=seed, **options), seed=seed)
+    drawn = rows.select("_row", F.explode("draws").alias("_draw")).withColumn("_turn", F.xxhash64("_row.doc_id", "_draw.epoch", F.lit(seed + 4)))
     dealt = drawn.repartition(F.col("_draw.shard"), F.pmod("_turn", F.lit(4))).sortWithinPartitions("_draw.shard", "_turn")
-    return dealt.select(*documents.columns)
+    return dealt.select("_row.*")
