@@ -42,30 +42,37 @@ def remaining(work: DataFrame, done: DataFrame, name: str) -> DataFrame:
 
 
 def word_references(files: DataFrame, names: DataFrame, content: str, name: str) -> DataFrame:
-    """Files and the names that occur in them as whole words, in any case.
+    """Files and the names that occur in them as whole words, in any case: the columns of both, less the content.
 
-    Names of word characters are looked up among a file's distinct words; only names with other characters, which no word
-    equals, are searched for, in the files that have their longest word.
+    Names of word characters are looked up among a file's distinct words, which travel without the file's text. Only for
+    names with other characters, which no word equals, is the text fetched, of the files that have the name's longest word.
     """
-    words = files.withColumn("_word", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(content), F.lit(r"(\w+)"), 1))))
-    keyed = names.where(F.col(name).isNotNull() & (F.col(name) != "")).withColumn("_parts", F.regexp_extract_all(F.lower(name), F.lit(r"(\w+)"), 1))
+    keys = [c for c in files.columns if c != content]
+    numbered = files.withColumn("_file", F.xxhash64(*files.columns))
+    words = numbered.select(*keys, "_file", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(content), F.lit(r"(\w+)"), 1))).alias("_word"))
+    parts = F.regexp_extract_all(F.lower(name), F.lit(r"(\w+)"), 1)
+    known = names.where(F.col(name).isNotNull()).withColumn("_parts", parts).where(F.size("_parts") > 0)
     longest = F.array_max(F.transform("_parts", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    keyed = keyed.where(F.size("_parts") > 0).withColumn("_key", longest)
-    whole = F.col("_key") == F.lower(name)
-    found = words.join(keyed, words["_word"] == keyed["_key"])
+    known = known.withColumn("_key", longest).drop("_parts")
+    plain, other = known.where(F.col("_key") == F.lower(name)), known.where(F.col("_key") != F.lower(name))
+    found = words.join(plain, words["_word"] == plain["_key"]).select(*keys, *names.columns)
+    likely = words.select("_file", "_word").join(other, F.col("_word") == other["_key"]).select("_file", *names.columns).distinct()
     quoted = F.concat(F.lit(r"\b\Q"), F.lower(name), F.lit(r"\E\b"))
-    return found.where(whole | F.regexp_like(F.lower(content), quoted)).drop("_word", "_parts", "_key")
+    checked = numbered.join(likely, "_file").where(F.regexp_like(F.lower(content), quoted)).select(*keys, *names.columns)
+    return found.unionByName(checked)
 
 
 def contained_names(texts: DataFrame, names: DataFrame, text: str, name: str) -> DataFrame:
-    """Texts and the known names that are substrings of them.
+    """Texts and the known names, of three characters or more, that are substrings of them: the columns of both.
 
     A name inside a text has its first three characters there too, so those are the join key.
     """
+    numbered = texts.withColumn("_text", F.xxhash64(*texts.columns))
     gram = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substr(F.col(text), i, F.lit(3)))
-    grams = texts.withColumn("_gram", F.explode(F.array_distinct(gram)))
+    grams = numbered.select("_text", F.explode(F.array_distinct(gram)).alias("_gram"))
     keyed = names.where(F.length(name) >= 3).withColumn("_start", F.left(F.col(name), F.lit(3)))
-    return grams.join(keyed, grams["_gram"] == keyed["_start"]).where(F.col(text).contains(F.col(name))).drop("_gram", "_start")
+    likely = grams.join(keyed, grams["_gram"] == keyed["_start"]).select("_text", *names.columns).distinct()
+    return numbered.join(likely, "_text").where(F.col(text).contains(F.col(name))).drop("_text")
 
 
 def enclosing_range(points: DataFrame, ranges: DataFrame, key: str, at: str, low: str, high: str, order: str, width: int = 64) -> DataFrame:

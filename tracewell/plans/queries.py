@@ -244,7 +244,7 @@ VOCABULARY = ["and", "the", "de", "und", "tion", "que", "der", "est", "of the",
 def word_references_in_documents(spark, d):
     """JOIN-11/12: whole words found by an equi join on distinct words."""
     names = spark.createDataFrame([(w,) for w in VOCABULARY], "w string")
-    return word_references(table(spark, d, "documents").select("doc_id", "text"), names, "text", "w").select("doc_id", "w")
+    return word_references(table(spark, d, "documents").select("doc_id", "text"), names, "text", "w")
 
 
 @query("SELECT page_id, p_name FROM pages, (SELECT DISTINCT 'example.' || CASE p_size % 3 WHEN 0 THEN 'com' WHEN 1 THEN 'net' ELSE 'org' END || '/' || CASE p_size % 2 WHEN 0 THEN 'en' ELSE 'fr' END AS p_name FROM part) WHERE contains(url, p_name)")
