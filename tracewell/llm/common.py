@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
+from tracewell.storage import shared_dir, stored
+
+__all__ = ["held_out", "labelled_sample", "mix64", "shared_dir", "stored", "words"]
 
 
 def words(text: str | None) -> list[bytes]:
@@ -19,32 +18,6 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
-    place = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get("dir")
-    if not place:
-        place = _OWN["dir"] = "file://" + tempfile.mkdtemp(prefix="tracewell-")
-    return place.rstrip("/")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # the session may have ended before
-        pass
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: this cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tracewell/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: str = "doc_id"):
     """True for the fifth of the ids that no model may learn from; null ids are never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
