@@ -9,10 +9,13 @@ shared signature. More parts make signatures more selective, and more of them. A
 as long as no more than `spare` groups have any; otherwise it adds a round with another seed (in the last round empty
 subsets count too), which keeps the join exact and empty subsets from pooling unrelated sets.
 
-Equal sets are one node, a 64-bit fingerprint. Sets that share a signature are tied to the smallest of them, which gives
-candidate components, a superset of the links' components. Their sets are fetched once and verified exactly: a component
-is cut into hash blocks of bounded size, each pair of blocks is one unit of work, and a unit returns a spanning forest of
-its exact links. No step expands the pairs of a group into rows or holds a whole group in one task.
+Equal sets are one node, a 64-bit fingerprint. Up to FEW sets that share a signature are compared with each other by
+their parity sketches (SKETCH_BITS bits, each the parity of the shingles that hash to it; two sets differ in at least as
+many shingles as their sketches in bits), which drops most chance meetings and no link; more sets are tied to the smallest
+of them without a test. This gives candidate components, a superset of the links' components. Their sets are fetched once
+and verified exactly: a component is cut into hash blocks of bounded size, each pair of blocks is one unit of work, and a
+unit returns a spanning forest of its exact links. No step expands the pairs of a group into rows or holds a whole group
+in one task.
 
 Defined results: null and empty texts have an empty set and link with nothing; texts with fewer than n words have their
 whole sequence as one shingle; repeated rows are one component; rows with a null doc_id link others but give no component
@@ -44,6 +47,8 @@ ROUNDS = 6
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 400_000
 BITMAP_BITS = 1 << 23
+FEW = 4
+SKETCH_BITS = 2048
 NO_ID = -(1 << 63)
 
 
@@ -187,19 +192,74 @@ def unit_links(blocks: list[int], sets: list[np.ndarray], percent: int) -> list[
     return found
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """The parity of the shingles in each of SKETCH_BITS cells."""
+    cells = (mix64(grams + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
+class Runs:
+    """Turns rows sorted by signature and node into edges: all pairs of runs of up to FEW nodes (star: false), stars of longer ones."""
+
+    def __init__(self):
+        self.keys, self.nodes, self.long = np.zeros(0, np.int64), np.zeros(0, np.int64), None  # a run that may go on
+
+    def add(self, keys: np.ndarray, nodes: np.ndarray) -> list[np.ndarray]:
+        """Edges as rows of (u, v, star)."""
+        keys, nodes, found = np.concatenate([self.keys, keys]), np.concatenate([self.nodes, nodes]), []
+        if self.long is not None:
+            sig, least = self.long
+            same = len(keys) if (keys == sig).all() else int(np.argmax(keys != sig))
+            found.append(self._star(nodes[:same], least))
+            keys, nodes = keys[same:], nodes[same:]
+        self.keys, self.nodes = keys[:0], nodes[:0]
+        if len(keys):
+            fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])])
+            keys, nodes = keys[fresh], nodes[fresh]
+            last = int(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[-1])
+            found += self._complete(keys[:last], nodes[:last])
+            if len(keys) - last > FEW:
+                self.long = keys[last], nodes[last]
+                found.append(self._star(nodes[last:], nodes[last]))
+            else:
+                self.long, self.keys, self.nodes = None, keys[last:], nodes[last:]
+        return found
+
+    def end(self) -> list[np.ndarray]:
+        return self._complete(self.keys, self.nodes)
+
+    @staticmethod
+    def _star(nodes: np.ndarray, least) -> np.ndarray:
+        other = nodes[nodes != least]
+        return np.stack([other, np.full(len(other), least, np.int64), np.ones(len(other), np.int64)], 1)
+
+    def _complete(self, keys: np.ndarray, nodes: np.ndarray) -> list[np.ndarray]:
+        if not len(keys):
+            return []
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        lengths, found = np.diff(np.append(starts, len(keys))), []
+        for d in range(2, FEW + 1):
+            at = starts[lengths == d]
+            for a, b in combinations(range(d), 2):
+                found.append(np.stack([nodes[at + a], nodes[at + b], np.zeros(len(at), np.int64)], 1))
+        for i in np.flatnonzero(lengths > FEW).tolist():
+            found.append(self._star(nodes[starts[i] : starts[i] + lengths[i]], nodes[starts[i]]))
+        return found
+
+
 def _grams(documents: DataFrame, n: int) -> DataFrame:
-    """doc_id, size of the set and its fingerprint (null: empty set)."""
+    """doc_id, size of the set, its fingerprint and sketch (null: empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, n) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n_shingles", "node"])
+            yield pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "n_shingles", "node", "sketch"])
 
-    return documents.mapInArrow(run, "doc_id long, n_shingles long, node long")
+    return documents.mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary")
 
 
-def _stars(documents: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """Edges from every node to the smallest node that shares a signature with it."""
+def _candidates(documents: DataFrame, nodes: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
+    """Edges whose components hold all links: nodes that share a signature, less pairs whose sketches rule a link out."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # what this task has signed: copies add nothing
@@ -218,21 +278,28 @@ def _stars(documents: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
                 yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["sig", "node"])
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig = first = None  # of the run that the last batch ended in
+        def rows(found: list[np.ndarray]) -> pa.RecordBatch:
+            edges = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *found]), axis=0)
+            return pa.record_batch([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy()), pa.array(edges[:, 2] == 1)], ["u", "v", "star"])
+
+        runs = Runs()
+        for batch in batches:
+            yield rows(runs.add(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        yield rows(runs.end())
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(keys):
-                continue
-            new = np.concatenate([[sig is None or keys[0] != sig], keys[1:] != keys[:-1]])
-            at = np.maximum.accumulate(np.where(new, np.arange(len(keys)), -1))
-            least = np.where(at >= 0, nodes[np.maximum(at, 0)], first if first is not None else 0)
-            sig, first = keys[-1], least[-1]
-            tied = nodes != least
-            pairs = np.unique(np.stack([nodes[tied], least[tied]], 1), axis=0)
-            yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["u", "v"])
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (3, 5))
+                differ = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+                most = batch.column(2).to_numpy() + batch.column(4).to_numpy()
+                yield batch.filter(pa.array((100 + percent) * differ <= (100 - percent) * most)).select(["u", "v"])
 
     signed = documents.mapInArrow(sign, "sig long, node long")
-    return signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(tie, "u long, v long").distinct()
+    edges = stored(signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(tie, "u long, v long, star boolean").distinct(), "met")
+    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
+    pairs = edges.where("not star").select("u", "v").join(side("u"), "u").join(side("v"), "v").select("u", "v", "n_u", "s_u", "n_v", "s_v")
+    return edges.where("star").select("u", "v").unionByName(pairs.mapInArrow(near, "u long, v long"))
 
 
 def _bit(doc_id: Column) -> Column:
@@ -294,8 +361,8 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, parts: int =
     """doc_id, n_shingles and component_id of every row; sets link when 100 * intersection >= percent * union."""
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
     rows = stored(_grams(texts, n), "sets")
-    nodes = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("doc_id"), F.first("n_shingles").alias("n_shingles")), "nodes")
-    candidates = connected_components(_stars(texts, n, percent, parts))
+    nodes = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
+    candidates = connected_components(_candidates(texts, nodes, n, percent, parts))
     members = stored(candidates.join(nodes, "node").select("node", "root", F.col("any_id").alias("doc_id"), "n_shingles"), "members")
     found = connected_components(_links(texts, members, n, percent))
     named = nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
