@@ -56,3 +56,12 @@ def test_procedure_cases(spark):
     assert profile["load_orders"]["dynamic_sql"] and profile["load_orders"]["temp_tables"] == ["TGT"] and profile["refresh"]["language"] == "MIXED" and profile["refresh"]["cursors"] == ["c"]
     uses = {(r["sp_name"], r["table_name"], r["column_name"]): r["relationship_types"] for r in cases.procedure_column_cases(spark, "").collect()}
     assert uses["LOAD_ORDERS", "SALES.ORDERS", "CUST_ID"] == "USED_AS_FILTER" and uses["REFRESH", "CUSTOMERS", "NAME"] == "USED_AS_ORDER_BY,USED_AS_SELECT"
+
+
+def test_action_mapping(spark):
+    rows = cases.action_mapping_cases(spark, "").collect()
+    assert [r.asDict() for r in rows] == [{
+        "frontend_file": "orders.ts", "frontend_function": "loadOrders", "http_method": "GET", "frontend_url": "/orders/{order_id}", "backend_file": "routes.py", "backend_function": "get_order",
+        "backend_route": "/api/v2/orders/{order_id}", "database_tables": "ORDERS", "stored_procedures": "LOAD_ORDERS", "flow_calls": "", "response_model": "OrderRead", "response_fields": "id,items",
+        "nested_fields": "items.parent,items.sku", "table_column_details": "ORDERS:[ORDER_ID]",
+    }]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracewell.plans.actions import action_mapping
 from tracewell.plans.code import backend_routes, call_facts, code_references, frontend_calls, function_uses, known_tables, model_fields, nested_fields, orm_columns
 from tracewell.plans.lineage import success_rate, view_lineage
 from tracewell.plans.procedures import column_uses, profile, variables
@@ -85,4 +86,9 @@ def backend_route_cases(spark: SparkSession, _: str) -> DataFrame:
     return backend_routes(_files(spark), [("alpha/", "/api/v2")])
 
 
-QUERIES = {f.__name__: f for f in (view_lineage_cases, view_success_cases, procedure_profile_cases, procedure_variable_cases, procedure_column_cases, code_reference_cases, orm_column_cases, nested_field_cases, function_use_cases, frontend_call_cases, backend_route_cases)}
+def action_mapping_cases(spark: SparkSession, _: str) -> DataFrame:
+    files = _files(spark)
+    return action_mapping(files.where("extension = 'ts'"), files.where("extension = 'py'"), [("alpha/", "/api/v2")])
+
+
+QUERIES = {f.__name__: f for f in (view_lineage_cases, view_success_cases, procedure_profile_cases, procedure_variable_cases, procedure_column_cases, code_reference_cases, orm_column_cases, nested_field_cases, function_use_cases, frontend_call_cases, backend_route_cases, action_mapping_cases)}
