@@ -101,7 +101,8 @@ def emit(objects: DataFrame, resolved: DataFrame, drop_unknown: bool = False) ->
 def view_lineage(spark: SparkSession, definitions: Iterable[tuple[str, str | None]], catalog: DataFrame | None = None) -> DataFrame:
     """VIEW_TO_SOURCE_COLUMN_LINEAGE of (name, ddl) pairs; catalog (table_name, column_names) settles unqualified names."""
     objects, items, sources = scopes_of(spark, definitions)
-    return emit(objects, resolve(objects, items, bind(items, sources, catalog)))
+    edges = stored(bind(items, sources, catalog), "lineage-edges")  # every step of the closure reads them
+    return emit(objects, resolve(objects, items, edges))
 
 
 def success_rate(lineage: DataFrame) -> DataFrame:
