@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -27,10 +28,17 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: this cuts the lineage and survives lost executors."""
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """df written to the shared folder and read again: this cuts the lineage and survives lost executors.
+
+    Spark deletes a shuffle's files once the driver's JVM has collected what refers to it. release asks for that now:
+    for writes behind large shuffles, whose files would lie beside those of the next step.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tracewell/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
