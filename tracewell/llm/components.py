@@ -27,7 +27,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node that it reaches), for the nodes of edges (u, v). Each round writes its edges to shared storage."""
-    now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
+    now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges", release=True)
     mark = _mark(now)
     while mark[0]:
         new = stored(_star(_star(now, True), False), "edges")

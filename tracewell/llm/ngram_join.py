@@ -296,7 +296,7 @@ def _candidates(documents: DataFrame, nodes: DataFrame, n: int, percent: int, pa
                 yield batch.filter(pa.array((100 + percent) * differ <= (100 - percent) * most)).select(["u", "v"])
 
     signed = documents.mapInArrow(sign, "sig long, node long")
-    edges = stored(signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(tie, "u long, v long, star boolean").distinct(), "met")
+    edges = stored(signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(tie, "u long, v long, star boolean").distinct(), "met", release=True)
     side = lambda k: nodes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
     pairs = edges.where("not star").select("u", "v").join(side("u"), "u").join(side("v"), "v").select("u", "v", "n_u", "s_u", "n_v", "s_v")
     return edges.where("star").select("u", "v").unionByName(pairs.mapInArrow(near, "u long, v long"))
@@ -360,14 +360,14 @@ def _links(documents: DataFrame, members: DataFrame, n: int, percent: int) -> Da
 def jaccard_components(documents: DataFrame, n: int, percent: int, parts: int = 3) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; sets link when 100 * intersection >= percent * union."""
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    rows = stored(_grams(texts, n), "sets")
-    nodes = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
+    rows = stored(_grams(texts, n), "sets", release=True)
+    nodes = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes", release=True)
     candidates = connected_components(_candidates(texts, nodes, n, percent, parts))
-    members = stored(candidates.join(nodes, "node").select("node", "root", F.col("any_id").alias("doc_id"), "n_shingles"), "members")
+    members = stored(candidates.join(nodes, "node").select("node", "root", F.col("any_id").alias("doc_id"), "n_shingles"), "members", release=True)
     found = connected_components(_links(texts, members, n, percent))
     named = nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = stored(named.join(names, "root").select("node", "component_id"), "names")
+    named = stored(named.join(names, "root").select("node", "component_id"), "names", release=True)
     own = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     full = rows.where("node is not null").join(named, "node").select(own.alias("doc_id"), "n_shingles", "component_id")
     return full.unionByName(rows.where("node is null").select(own.alias("doc_id"), "n_shingles", own.alias("component_id")))
@@ -375,9 +375,9 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, parts: int =
 
 def one_of_each(documents: DataFrame, n: int = 5, percent: int = 80, parts: int = 2) -> DataFrame:
     """documents less the rows whose component has a row with a smaller doc_id; of repeated ids one row stays. Rows without an id all stay."""
-    gone = stored(jaccard_components(documents.select("doc_id", "text"), n, percent, parts).where("doc_id != component_id").select("doc_id").distinct(), "copies")
+    gone = stored(jaccard_components(documents.select("doc_id", "text"), n, percent, parts).where("doc_id != component_id").select("doc_id").distinct(), "copies", release=True)
     repeated = documents.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
-    asked = stored(gone.unionByName(repeated.select(F.col("doc_id").cast("long"))).distinct(), "asked")
+    asked = stored(gone.unionByName(repeated.select(F.col("doc_id").cast("long"))).distinct(), "asked", release=True)
     sent = _bitmap(asked)
     rows = documents.select(F.struct(*(documents[c] for c in documents.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(_bit(F.col("doc_id").cast("long")), F.lit(-1)).alias("_bit"))
 
