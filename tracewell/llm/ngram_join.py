@@ -45,9 +45,9 @@ KEPT_WORDS = 500_000
 KEPT_PRINTS = 500_000
 ROUNDS = 6
 BLOCK_SETS = 1024
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 1_000_000
 BITMAP_BITS = 1 << 23
-FEW = 4
+FEW = 6
 SKETCH_BITS = 2048
 NO_ID = -(1 << 63)
 
@@ -373,7 +373,7 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, parts: int =
     return full.unionByName(rows.where("node is null").select(own.alias("doc_id"), "n_shingles", own.alias("component_id")))
 
 
-def one_of_each(documents: DataFrame, n: int = 5, percent: int = 80, parts: int = 2) -> DataFrame:
+def one_of_each(documents: DataFrame, n: int = 5, percent: int = 80, parts: int = 3) -> DataFrame:
     """documents less the rows whose component has a row with a smaller doc_id; of repeated ids one row stays. Rows without an id all stay."""
     gone = stored(jaccard_components(documents.select("doc_id", "text"), n, percent, parts).where("doc_id != component_id").select("doc_id").distinct(), "copies", release=True)
     repeated = documents.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
