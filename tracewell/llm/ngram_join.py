@@ -12,10 +12,10 @@ subsets count too), which keeps the join exact and empty subsets from pooling un
 Equal sets are one node, a 64-bit fingerprint. Up to FEW sets that share a signature are compared with each other by
 their parity sketches (SKETCH_BITS bits, each the parity of the shingles that hash to it; two sets differ in at least as
 many shingles as their sketches in bits), which drops most chance meetings and no link; more sets are tied to the smallest
-of them without a test. This gives candidate components, a superset of the links' components. Their sets are fetched once
-and verified exactly: a component is cut into hash blocks of bounded size, each pair of blocks is one unit of work, and a
-unit returns a spanning forest of its exact links. No step expands the pairs of a group into rows or holds a whole group
-in one task.
+of them without a test. This gives candidate components, a superset of the links' components. A component is cut into hash
+blocks of bounded size, each pair of blocks is one unit of work, and a unit returns a spanning forest. That is done twice:
+first with sketches, which splits candidate components further, then with the sets, fetched once, for exact links. No step
+expands the pairs of a group into rows or holds a whole group in one task.
 
 Defined results: null and empty texts have an empty set and link with nothing; texts with fewer than n words have their
 whole sequence as one shingle; repeated rows are one component; rows with a null doc_id link others but give no component
@@ -47,7 +47,7 @@ ROUNDS = 6
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1_000_000
 BITMAP_BITS = 1 << 23
-FEW = 6
+FEW = 4
 SKETCH_BITS = 2048
 NO_ID = -(1 << 63)
 
@@ -180,18 +180,37 @@ def unit_links(blocks: list[int], sets: list[np.ndarray], percent: int) -> list[
     np.fill_diagonal(linked, False)
     if block.min() != block.max():
         linked &= block[:, None] != block[None, :]
+    return forest(m, linked.__getitem__)
+
+
+def forest(m: int, neighbours) -> list[tuple[int, int]]:
+    """Edges from the first of each tree to its others; neighbours(i) marks what i is tied to."""
     left, found = np.ones(m, bool), []
     for a in range(m):
         if left[a]:
             left[a], todo = False, [a]
             while todo:
-                for b in np.flatnonzero(linked[todo.pop()] & left).tolist():
+                for b in np.flatnonzero(neighbours(todo.pop()) & left).tolist():
                     left[b] = False
                     found.append((a, b))
                     todo.append(b)
     return found
 
 
+def unit_near(blocks: list[int], sizes: list[int], sketches: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Like unit_links(), for what the sketches don't rule out."""
+    block, size = np.array(blocks), np.array(sizes, np.int64)
+    bits = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(blocks), -1)
+    both = block.min() != block.max()
+
+    def near(a: int) -> np.ndarray:
+        differ = np.bitwise_count(bits ^ bits[a]).sum(1, dtype=np.int64)
+        close = (100 + percent) * differ <= (100 - percent) * (size + size[a])
+        return close & (block != block[a]) if both else close
+
+    return forest(len(blocks), near)
+
+
 def sketch(grams: np.ndarray) -> bytes:
     """The parity of the shingles in each of SKETCH_BITS cells."""
     cells = (mix64(grams + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
@@ -330,31 +349,48 @@ def _links(documents: DataFrame, members: DataFrame, n: int, percent: int) -> Da
                 rows = pa.record_batch([picked.column(0), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "node", "grams"])
                 yield rows.filter(full)
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fetched = documents.select("doc_id", "text", _bit(F.col("doc_id")).alias("bit")).mapInArrow(fetch, "doc_id long, node long, grams binary")
+    units = fetched.join(_placed(members), ["doc_id", "node"]).select("root", "low", "high", "block", "node", F.lit(0).cast("long").alias("n_shingles"), F.col("grams").alias("payload"))
+    return _by_unit(units, lambda blocks, _, payloads: unit_links(blocks, [np.frombuffer(p, np.uint64) for p in payloads], percent))
+
+
+def _placed(members: DataFrame) -> DataFrame:
+    """members once for each unit that they are in: root, low and high block, and their own block."""
+    sums = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
+    placed = members.join(sums, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    return placed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "n_blocks")
+
+
+def _by_unit(units: DataFrame, edges) -> DataFrame:
+    """Runs edges(blocks, sizes, payloads) on each unit; u and v are the nodes of its edges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, {}
 
-        def links() -> pa.RecordBatch:
+        def done() -> pa.RecordBatch:
             nodes = sorted(held)
-            pairs = unit_links([held[x][0] for x in nodes], [np.frombuffer(held[x][1], np.uint64) for x in nodes], percent) if len(nodes) > 1 else []
+            pairs = edges(*zip(*(held[x] for x in nodes), strict=True)) if len(nodes) > 1 else []
             return pa.record_batch([pa.array([nodes[a] for a, _ in pairs], pa.int64()), pa.array([nodes[b] for _, b in pairs], pa.int64())], ["u", "v"])
 
         for batch in batches:
-            for root, low, high, block, node, grams in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for root, low, high, block, node, size, payload in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if (root, low, high) != key:
                     if held:
-                        yield links()
+                        yield done()
                     key, held = (root, low, high), {}
-                held[node] = block, grams
+                held[node] = block, size, payload
         if held:
-            yield links()
+            yield done()
 
-    sums = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
-    placed = members.join(sums, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    placed = placed.select("doc_id", "node", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block")
-    fetched = documents.select("doc_id", "text", _bit(F.col("doc_id")).alias("bit")).mapInArrow(fetch, "doc_id long, node long, grams binary")
-    units = fetched.join(placed, ["doc_id", "node"]).select("root", "low", "high", "block", "node", "grams")
-    return units.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(verify, "u long, v long")
+    return units.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(run, "u long, v long")
+
+
+def _refined(candidates: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Edges among the nodes of the same candidate component (node, root) that sketches don't rule out."""
+    members = candidates.join(nodes.select("node", "n_shingles", "sketch"), "node")
+    units = _placed(members).select("root", "low", "high", "block", "node", "n_shingles", F.col("sketch").alias("payload"))
+    return _by_unit(units, lambda blocks, sizes, payloads: unit_near(blocks, sizes, payloads, percent))
 
 
 def jaccard_components(documents: DataFrame, n: int, percent: int, parts: int = 3) -> DataFrame:
@@ -363,6 +399,7 @@ def jaccard_components(documents: DataFrame, n: int, percent: int, parts: int =
     rows = stored(_grams(texts, n), "sets", release=True)
     nodes = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes", release=True)
     candidates = connected_components(_candidates(texts, nodes, n, percent, parts))
+    candidates = connected_components(_refined(candidates, nodes, percent))
     members = stored(candidates.join(nodes, "node").select("node", "root", F.col("any_id").alias("doc_id"), "n_shingles"), "members", release=True)
     found = connected_components(_links(texts, members, n, percent))
     named = nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
