@@ -1,6 +1,7 @@
 """The ten operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; against brute force."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -336,6 +337,32 @@ def test_html(spark):
     assert html_render.render_pages(table.limit(0)).count() == 0
 
 
+def test_html_keeps_the_words_of_broken_tables():
+    for page, want in (
+        ("<table><tr><td>1</td></tr><td>2</td></table>", "1\n2"),
+        ("<table><tr><td>0<tr><form><td>1<td>2</form></table>", "0\n1 | 2"),
+        ("<table><tr><td>0<form><tr><td>1</table>", "0\n1"),
+        ("a<table>b<tr><td>1<div>2</div></td>c</tr><p>d</p></table>e", "a\nb c\n\nd\n\n1 2\n\ne"),
+        ("<table><td>1<td><table><td>2<td>3</table><tr><td>4</table>", "1 | 2 | 3\n4"),
+        ("<table><noscript><tr><td>no</noscript><tr><td>1</table>2", "1\n\n2"),
+        ("x<svg><title>no</title><defs><text>no</text></defs><text>s</text><text>t</text></svg>", "x\ns\nt"),
+        ("<p><math><mi>a</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math><object data=x>b</object>", "a=1b"),
+    ):
+        assert html_render.render(page) == want
+    rng = random.Random(7)
+    tags = "table /table tr /tr td /td th caption /caption colgroup col tbody /tbody thead form /form div /div p /p b /b li ul /ul svg /svg x /x".split()
+    for _ in range(3000):
+        parts, words = [], []
+        for k in range(rng.randrange(2, 40)):
+            if rng.random() < 0.4:
+                words.append(f"w{k}w")
+                parts.append(rng.choice(["", " "]) + words[-1])
+            else:
+                parts.append(f"<{rng.choice(tags)}>")
+        text = html_render.render("<table>" + "".join(parts))
+        assert sorted(re.findall(r"w\d+w", text)) == sorted(words), parts
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "How do I sort a list?\n\nIt has many items."),

@@ -2,9 +2,11 @@
 
 A tree builder reads the tokens of the standard library's tokenizer and applies the rules for implied tags: void elements
 have no content, a block closes an open p, items and cells close what they follow, missing end tags close with their
-parent. A renderer walks the tree without recursion. Invisible are head matter, scripts, styles, templates, form values,
-elements with the hidden attribute or aria-hidden, and those whose inline style says display:none or visibility:hidden;
-all other text is kept, navigation and footers too. Inline text has its white space collapsed; pre keeps it. Blocks start
+parent. Cells and rows of a table get the rows and groups that have no tag; what stands in a table outside of its cells
+goes into a block before it. A renderer walks the tree without recursion. Invisible are head matter, scripts, styles,
+templates, form values, what frames, media and canvas hold for older browsers, definitions and descriptions inside svg,
+annotations inside math, elements with the hidden attribute or aria-hidden, and those whose inline style says display:none
+or visibility:hidden; all other text is kept, navigation and footers too. Inline text has its white space collapsed; pre keeps it. Blocks start
 on a new line, paragraphs and headings are set off by an empty line, br breaks the line, hr draws one, list items are
 indented by depth under a bullet or their number. A table with cells becomes lines in which each column is padded to its
 widest cell, cells being parted by ` | `; a cell's own line breaks become spaces and nested tables are rendered inside.
@@ -24,9 +26,13 @@ from pyspark.sql import DataFrame
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INVISIBLE = frozenset("head title script style noscript template iframe object svg math canvas audio video datalist select option textarea input".split())
+INVISIBLE = frozenset("head title script style noscript template iframe canvas audio video datalist select option textarea input".split())
+#: Invisible inside svg or math.
+DEFINITIONS = frozenset("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
+#: Elements of svg and math that stand apart from each other.
+PLACED = frozenset("text mtr mlabeledtr mtd".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
-BLOCK = SPACED | frozenset("address article aside body caption center dd details dialog div dt fieldset figcaption footer form header hgroup html legend li main menu nav section summary tr thead tbody tfoot td th".split())
+BLOCK = SPACED | frozenset("address article aside body caption center dd details dialog div dt fieldset figcaption footer form header hgroup html legend li main menu nav section summary tr thead tbody tfoot td th".split()) | PLACED
 #: A start tag of the key closes open elements of the first set, if they're inside none of the second.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -41,7 +47,13 @@ IMPLIED = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
-CLOSES_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html", "body"} | {"hr"}
+CLOSES_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html", "body"} - PLACED | {"hr"}
+GROUPS = frozenset({"tbody", "thead", "tfoot"})
+PARTS = GROUPS | {"caption", "colgroup", "col", "tr", "td", "th"}
+#: Elements of a table that hold no text of their own.
+FRAME = GROUPS | {"table", "colgroup", "tr"}
+#: Where the search for the table that an element stands in ends.
+CONTENTS = frozenset({"table", "caption", "td", "th", "template", "noscript"})
 HEAD_ONLY = frozenset("title meta link base script style template noscript head html".split())
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -55,15 +67,24 @@ class Node:
 
     def hidden(self) -> bool:
         a = self.attrs
-        return self.tag in INVISIBLE or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(HIDDEN_STYLE.search(a.get("style") or ""))
+        return self.tag in INVISIBLE or (self.tag in DEFINITIONS and self.drawn()) or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(HIDDEN_STYLE.search(a.get("style") or ""))
+
+
+    def drawn(self) -> bool:
+        """Whether it stands inside svg or math."""
+        node = self.parent
+        while node is not None and node.tag not in ("svg", "math"):
+            node = node.parent
+        return node is not None
 
 
 class Builder(HTMLParser):
-    """The tree of a page."""
+    """The tree of a page. A node's parent is the element that was open around it; its place in the tree may be before a table."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", {}, None)
+        self.before: dict[Node, Node] = {}  # by table, the block before it for what stands outside of its cells
 
     def close(self) -> Node:
         super().close()
@@ -79,15 +100,59 @@ class Builder(HTMLParser):
         if last is not None:
             self.at = last.parent
 
+    def _within(self, node: Node) -> Node:
+        """The innermost open element that is a table or the contents of one, from node upwards; else the root."""
+        while node is not self.root and node.tag not in CONTENTS:
+            node = node.parent
+        return node
+
+    def _enter(self, tag: str) -> None:
+        """Before a part of a table: leaves what it ends and opens the group and row around it that have no tag."""
+        table = self._within(self.at)
+        if table.tag in ("caption", "td", "th") and (outer := self._within(table.parent)).tag == "table":
+            self.at, table = table.parent, outer
+        if table.tag != "table":  # a part without a table
+            tags, within = IMPLIED.get(tag, (set(), set()))
+            return self._close_open(tags, within | {"template", "noscript"})
+        inside = GROUPS | {"tr"} if tag in ("td", "th") else GROUPS if tag == "tr" else ()
+        while self.at is not table and self.at.tag not in inside:
+            self.at = self.at.parent
+        if self.at is table and tag in ("td", "th", "tr"):
+            self._open(Node("tbody", {}, table))
+        if self.at.tag in GROUPS and tag in ("td", "th"):
+            self._open(Node("tr", {}, self.at))
+        if block := self.before.get(table):
+            block.children.append(" ")
+        return None
+
+    def _open(self, node: Node) -> None:
+        self.at.children.append(node)
+        self.at = node
+
+    def _children(self) -> list[Node | str]:
+        """Where visible content goes: the open element's children, or the block before the table that it stands in."""
+        if self.at.tag in FRAME and (table := self._within(self.at)).tag == "table":
+            if table not in self.before:
+                self.before[table] = Node("div", {}, table.parent)
+                table.parent.children.insert(-1, self.before[table])  # an open table is its parent's last child
+            return self.before[table].children
+        return self.at.children
+
     def handle_starttag(self, tag, attrs):
-        if tag in IMPLIED:
+        if tag in PARTS:
+            self._enter(tag)
+        elif tag == "table" and (table := self._within(self.at)).tag == "table":
+            self.at = table.parent  # only cells and captions hold tables
+        elif tag == "form" and self.at.tag in FRAME and self._within(self.at).tag == "table":
+            return  # its fields are in cells
+        elif tag in IMPLIED:
             self._close_open(*IMPLIED[tag])
         elif tag not in HEAD_ONLY:
             self._close_open({"head"}, set())
         if tag in CLOSES_P:
             self._close_open({"p"}, {"td", "th", "caption", "button", "table"})
         node = Node(tag, dict(attrs), self.at)
-        self.at.children.append(node)
+        (self.at.children if self.at.tag not in FRAME or tag in PARTS or node.hidden() else self._children()).append(node)
         if tag not in VOID:
             self.at = node
 
@@ -99,8 +164,10 @@ class Builder(HTMLParser):
             return self.handle_starttag("br", [])
         node = self.at
         while node is not self.root and node.tag != tag:
-            if node.tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html"):
+            if node.tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html", "template", "noscript"):
                 return None  # a stray end tag doesn't leave its cell
+            if node.tag == "table" and tag in PARTS:
+                return None  # nor its table
             node = node.parent
         if node is not self.root:
             self.at = node.parent
@@ -111,7 +178,11 @@ class Builder(HTMLParser):
             node = self.at
             if node.tag == "head":
                 self.at = node.parent
-        self.at.children.append(data)
+            self._children().append(data)
+        elif self.at.tag in FRAME:  # white space in a table only parts what stands before it
+            self.before.get(self._within(self.at), self.at).children.append(data)
+        else:
+            self.at.children.append(data)
 
 
 class Lines:
