@@ -54,6 +54,13 @@ def test_counts_of_random_texts():
         assert count(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+def test_counts_of_runs_beyond_a_mebibyte():
+    tokenizer, count, rng = library(), bpe_count.Counter(PATH), random.Random(12)
+    for text in ("".join(rng.choices(["the", "ing", "zq", "é", "tion"], k=450_000)), "=" * 1_200_000, "\n" * 1_200_000):
+        assert len(text.encode()) >= 1_200_000
+        assert count(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
 def test_token_files(spark, odd):
     tokenizer = library()
     rows = sorted(token_files.token_files(odd, PATH).collect(), key=lambda r: r["start"])

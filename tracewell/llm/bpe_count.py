@@ -73,19 +73,20 @@ def merge_ranks(path: str) -> tuple[dict[int, int], list[str]]:
 
 
 def count_piece(piece: bytes, ranks: dict[int, int]) -> int:
-    """Symbols that are left of a piece after all merges. A heap entry is rank << SHIFT | position of the left symbol."""
+    """Symbols that are left of a piece after all merges. A heap entry is rank << bits | position of the left symbol, with bits enough for any position."""
     n = len(piece)
     if n < 2:
         return n
-    symbol, rank_of, low = list(piece), ranks.get, (1 << SHIFT) - 1
-    heap = [r << SHIFT | i for i in range(n - 1) if (r := rank_of(symbol[i] << SHIFT | symbol[i + 1])) is not None]
+    bits = n.bit_length()
+    symbol, rank_of, low = list(piece), ranks.get, (1 << bits) - 1
+    heap = [r << bits | i for i in range(n - 1) if (r := rank_of(symbol[i] << SHIFT | symbol[i + 1])) is not None]
     if not heap:
         return n
     heapq.heapify(heap)
     after, before, left_over = list(range(1, n + 1)), list(range(-1, n - 1)), n
     while heap:
         top = heapq.heappop(heap)
-        i, rank = top & low, top >> SHIFT
+        i, rank = top & low, top >> bits
         j = after[i]
         if j >= n or symbol[i] < 0 or rank_of(symbol[i] << SHIFT | symbol[j]) != rank:
             continue  # one of the two has been merged since
@@ -96,9 +97,9 @@ def count_piece(piece: bytes, ranks: dict[int, int]) -> int:
         if k < n:
             before[k] = i
             if (r := rank_of(made << SHIFT | symbol[k])) is not None:
-                heapq.heappush(heap, r << SHIFT | i)
+                heapq.heappush(heap, r << bits | i)
         if (h := before[i]) >= 0 and (r := rank_of(symbol[h] << SHIFT | made)) is not None:
-            heapq.heappush(heap, r << SHIFT | h)
+            heapq.heappush(heap, r << bits | h)
     return left_over
 
 
