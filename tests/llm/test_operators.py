@@ -396,6 +396,18 @@ def test_quotes(spark):
     assert quotes.conversations(table.limit(0)).count() == 0
 
 
+def test_quotes_of_lines(spark):
+    rows = [
+        (1, 0, "a\nb\nc"), (1, 1, "> b\nanswer"), (1, 2, "> a\nto a\n> b\n> c\nto both"), (1, 3, "> answer\n> cut here\nx"),
+        (2, 0, "first\r\nthanks\r\n\r\nlast"), (2, 1, "thanks"), (2, 2, "> Thanks\nwelcome"), (2, 3, "> to both\n> first\ny"), (2, 4, "> b\n> nowhere\ny"),
+    ]
+    table = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.threads(table).collect()}
+    assert {k: r["reply_to"] for k, r in got.items()} == {(1, 0): None, (1, 1): 0, (1, 2): 0, (1, 3): 1, (2, 0): None, (2, 1): None, (2, 2): 1, (2, 3): 0, (2, 4): None}
+    assert (got[1, 2]["n_quotes"], got[1, 2]["n_linked"], got[1, 3]["reply_path"]) == (2, 2, [0, 1, 3])
+    assert got[2, 3]["quotes_conv_id"] is None and (got[2, 4]["quotes_conv_id"], got[2, 4]["quotes_turn"]) == (1, 0)
+
+
 def test_threads_have_the_depth_of_their_quotes(spark):
     rows = [(1, t, "user", (f"> message number {t - 1} says\n" if t else "") + f"message number {t} says") for t in range(20)]
     got = quotes.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()

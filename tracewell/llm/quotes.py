@@ -2,9 +2,11 @@
 
 A line's quote level is the number of '>' marks at its start (blanks between them don't count). Neighbouring lines of one
 level form a passage; its words, in ASCII lower case and joined by single spaces, are hashed. A message's own passages
-(level 0) and paragraphs thereof are what others can quote. A quoted passage is joined by its hash to the first message of
-the conversation that has it as own text, by turn; failing that, to the first message of any conversation. The message
-answers the latest turn that it quotes at its lowest level; where that is none of an earlier turn, it starts a thread.
+(level 0), their paragraphs and their lines are what others can quote. A quoted passage is joined by its hash to the first
+message of the conversation that has it as own text, by turn, where a passage or paragraph goes before a line; failing that,
+by the hashes of its paragraphs, then of its lines, so that quotes may be trimmed or answered line by line (of several, the
+latest turn counts). What isn't found so goes to the first message of any conversation; single lines only if the
+conversation has nothing of the passage. The message answers the latest turn that it quotes at its lowest level; where that is none of an earlier turn, it starts a thread.
 Threads are ordered by pointer doubling over these answers: `thread_turn` is the first message, `depth` the number of
 answers in between, and `reply_path` the turns from the first message to this one, so that sorting by conversation and
 reply_path gives reply order.
@@ -52,10 +54,15 @@ def with_passages(messages: DataFrame, runs: str = "runs") -> DataFrame:
 
 
 def hashes(passage: Column) -> Column:
-    """Hashes of a passage as a whole and of its paragraphs, with the number of words in the whole."""
-    parts = F.concat(F.array(passage), F.split(passage, r"\n[ \t]*\n"))
-    kept = F.filter(F.transform(parts, normal_words), lambda p: p != "")
-    return F.array_distinct(F.transform(kept, lambda p: F.xxhash64(p, F.length(p))))
+    """Array of (part, hash): of a passage as a whole (part 0), of its paragraphs (1) and of its lines (2)."""
+    none = F.array().cast("array<string>")
+    parts = [F.array(passage), *(F.when(passage.contains("\n"), F.split(passage, by)).otherwise(none) for by in (r"\n[ \t\r]*\n", "\n"))]
+
+    def hashed(texts: Column, part: int) -> Column:
+        kept = F.filter(F.transform(texts, normal_words), lambda p: p != "")
+        return F.transform(kept, lambda p: F.struct(F.lit(part).alias("part"), F.xxhash64(p, F.length(p)).alias("hash")))
+
+    return F.array_distinct(F.concat(*(hashed(texts, k) for k, texts in enumerate(parts))))
 
 
 def answers(messages: DataFrame) -> DataFrame:
@@ -67,21 +74,33 @@ def answers(messages: DataFrame) -> DataFrame:
     rows = stored(rows.withColumn("message", F.monotonically_increasing_id()), "messages")
 
     placed = rows.where("conv_id is not null and turn is not null")
-    texts = placed.select("conv_id", "turn", F.explode(F.array_distinct(F.flatten(F.transform("own", hashes)))).alias("hash"))
+    own_hashes = F.transform(F.flatten(F.transform("own", hashes)), lambda h: F.struct((h["part"] == 2).alias("line"), h["hash"].alias("hash")))
+    texts = placed.select("conv_id", "turn", F.explode(F.array_distinct(own_hashes)).alias("h")).select("conv_id", "turn", "h.*")
     asked = placed.where(F.size("quoted") > 0).select("message", "conv_id", "turn", F.posexplode("quoted").alias("n", "q"))
-    asked = asked.select("message", "conv_id", "turn", "n", F.col("q.level").alias("level"), F.explode(hashes(F.col("q.body"))).alias("hash"))
-    wanted = asked.select("hash").distinct()
-    # one row for each quoted hash and conversation, and one for each hash: the first message that has it
+    asked = asked.select("message", "conv_id", "turn", "n", F.col("q.level").alias("level"), F.explode(hashes(F.col("q.body"))).alias("h")).select("*", "h.*").drop("h")
+    # stored, so that Spark knows its size and only shuffles the hashes of all texts where much is quoted
+    wanted = stored(asked.select("hash").distinct(), "quoted-hashes")
+    # one row for each quoted hash and conversation, and one for each hash: the first message that has it as a passage, and at all
     texts = texts.join(wanted, "hash", "left_semi")
-    here = texts.groupBy("hash", "conv_id").agg(F.min("turn").alias("here"))
-    anywhere = here.groupBy("hash").agg(F.min(F.struct("conv_id", F.col("here").alias("turn"))).alias("anywhere"))
+    here = texts.groupBy("hash", "conv_id").agg(F.min(F.when(~F.col("line"), F.col("turn"))).alias("whole"), F.min("turn").alias("here"))
+    first = lambda turn: F.min(F.when(F.col(turn).isNotNull(), F.struct("conv_id", F.col(turn).alias("turn"))))
+    anywhere = here.groupBy("hash").agg(F.coalesce(first("whole"), first("here")).alias("anywhere"))
     found = asked.join(here, ["hash", "conv_id"], "left").join(anywhere, "hash", "left")
-    earlier = F.when(F.col("here") < F.col("turn"), F.col("here"))
+    as_whole = F.coalesce(F.col("whole") < F.col("turn"), F.lit(False))
+    earlier = F.when(as_whole, F.col("whole")).when(F.col("here") < F.col("turn"), F.col("here"))
+    rank = 2 * F.col("part") + ((F.col("part") < 2) & ~as_whole).cast("int")
+    outside = F.col("whole").isNull() & earlier.isNull() & (F.col("anywhere.conv_id") != F.col("conv_id"))
+    found = found.groupBy("message", "n", "level").agg(
+        F.max(F.col("here").isNotNull()).alias("known"),
+        F.max(F.col("anywhere").isNotNull()).alias("linked"),
+        F.min(F.when(earlier.isNotNull(), F.struct(rank.alias("rank"), (-earlier).alias("back")))).alias("near"),
+        F.min(F.when(outside, F.struct("part", "anywhere"))).alias("far"),
+    )
     found = found.groupBy("message").agg(
-        F.countDistinct("n").alias("n_quotes"),
-        F.countDistinct(F.when(F.col("here").isNotNull() | F.col("anywhere").isNotNull(), F.col("n"))).alias("n_linked"),
-        F.max(F.when(earlier.isNotNull(), F.struct((-F.col("level")).alias("nearness"), earlier.alias("turn")))).alias("best"),
-        F.min(F.when(F.col("here").isNull() & (F.col("anywhere.conv_id") != F.col("conv_id")), F.col("anywhere"))).alias("elsewhere"),
+        F.count("*").alias("n_quotes"),
+        F.count_if("linked").alias("n_linked"),
+        F.max(F.when(F.col("near").isNotNull(), F.struct((-F.col("level")).alias("nearness"), (-F.col("near.back")).alias("turn")))).alias("best"),
+        F.min(F.when((F.col("far.part") < 2) | ~F.col("known"), F.col("far.anywhere"))).alias("elsewhere"),
     )
     joined = rows.join(found, "message", "left")
     return joined.select("message", "conv_id", "turn", "role", "body", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.col("best.turn").alias("reply_to"), F.col("elsewhere.conv_id").alias("quotes_conv_id"), F.col("elsewhere.turn").alias("quotes_turn"))
