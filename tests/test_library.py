@@ -11,8 +11,9 @@ from tracewell import schemas, sinks
 from tracewell.config import Catalog
 from tracewell.functions.names import model_name, normal_url
 from tracewell.operators.aggregates import percentages
-from tracewell.operators.closure import reachable
+from tracewell.operators.closure import reachable, roots_and_levels
 from tracewell.operators.joins import suffix_join, word_references
+from tracewell.plans.code import nested_fields
 from tracewell.plans.relations import action_table_columns, dashboards_with_keys, lineage_with_keys, procedure_columns, procedure_triggers, repo_references
 from tracewell.serve import Server
 from tracewell.sources import catalog, files
@@ -94,6 +95,14 @@ def test_closure_is_monotone_and_ends_on_cycles(spark):
     assert sizes == sorted(sizes) and sizes[-1] == 9
 
 
+def test_levels_and_fields_of_any_depth(spark):
+    edges = spark.createDataFrame([*((k + 1, k) for k in range(52)), (100, 101), (101, 100)], "s int, t int")
+    assert {r["node"]: r["level"] for r in roots_and_levels(edges, "s", "t").collect()} == {k: k for k in range(53)} | {100: None, 101: None}
+    fields = spark.createDataFrame([*((f"M{k}Read", "f", f"M{k + 1}Read") for k in range(8)), ("M8Read", "end", "int"), ("M8Read", "up", "M0Read")], "model string, field string, annotation string")
+    got = {r["dotted"] for r in nested_fields(fields).where("model = 'M0Read'").collect()}
+    assert got == {".".join(["f"] * k) for k in range(1, 9)} | {".".join([*["f"] * 8, x]) for x in ("end", "up")}
+
+
 def test_catalog(spark):
     tables = spark.createDataFrame([("D", "S1", "ORDERS", "BASE TABLE"), ("D", "S2", "ORDERS", "VIEW"), ("D", "S2", "CANVAS_X", "BASE TABLE"), ("E", "S2", "ITEMS", "VIEW")], "table_catalog string, table_schema string, table_name string, table_type string")
     assert cells(catalog.objects(tables, Catalog(schemas=("S2",))), "table_name") == [("ITEMS",), ("ORDERS",)]

@@ -2,7 +2,7 @@
 
 import pytest
 
-from tracewell.plans.lineage import view_lineage
+from tracewell.plans.lineage import resolve, view_lineage
 
 CASES = {
     "G1": ("CREATE VIEW S.V (A, B) AS SELECT t.x AS A, t.y AS B FROM S.T t", [("A", "DIRECT", "S.T", "X", ""), ("B", "DIRECT", "S.T", "Y", "")]),
@@ -34,3 +34,17 @@ def lineage(spark):
 @pytest.mark.parametrize("case", CASES)
 def test_case(lineage, case):
     assert lineage[case] == sorted(CASES[case][1])
+
+
+def test_chains_of_scopes_of_any_length(spark):
+    chain = ", ".join(["c0 AS (SELECT x AS a FROM S.T)", *(f"c{k} AS (SELECT a FROM c{k - 1})" for k in range(1, 24))])
+    rows = view_lineage(spark, [("V", f"CREATE VIEW V (A) AS WITH {chain} SELECT a FROM c23")]).collect()
+    assert [tuple(r)[1:] for r in rows] == [("A", "DIRECT", "S.T", "X", "")]
+
+
+def test_cycles_of_scopes_end(spark):
+    objects = spark.createDataFrame([("V", "OK", ["A"])], "object string, status string, columns array<string>")
+    items = spark.createDataFrame([("V", s, 0, 0, "a") for s in ("main", "r", "q")], "object string, scope string, branch int, ordinal int, out_col string")
+    links = [("main", "scope", "r", "a"), ("r", "scope", "q", "a"), ("q", "scope", "r", "a"), ("q", "base", "S.T", "x")]
+    edges = spark.createDataFrame([("V", s, 0, "a", "", True, kind, name, col, 0) for s, kind, name, col in links], "object string, scope string, branch int, out_col string, expr string, direct boolean, src_kind string, src_name string, src_col string, position int")
+    assert [(r["src_name"], r["src_col"]) for r in resolve(objects, items, edges).collect()] == [("S.T", "x")]

@@ -1,7 +1,9 @@
-"""What can be reached over edges in a bounded number of steps."""
+"""What can be reached over edges, and levels of nodes."""
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +24,16 @@ def reachable(edges: DataFrame, source: str, target: str, depth: int = 5) -> Dat
     return found
 
 
-def roots_and_levels(edges: DataFrame, source: str, target: str, depth: int = 50) -> DataFrame:
-    """Each node's level: the longest chain of edges that leads down from it, 0 for what depends on nothing; nodes on cycles have no level."""
-    step = edges.select(F.col(source).alias("node"), F.col(target).alias("below")).distinct()
+#: Closures write what they have found anew after so many rounds, so that plans don't grow with the number of rounds.
+ROUNDS = 16
+
+
+def roots_and_levels(edges: DataFrame, source: str, target: str) -> DataFrame:
+    """Each node's level: the longest chain of edges that leads down from it, 0 for what depends on nothing; nodes on or above cycles have no level."""
+    step = stored(edges.select(F.col(source).alias("node"), F.col(target).alias("below")).distinct(), "levels")
     nodes = step.select("node").unionByName(step.select(F.col("below").alias("node"))).distinct()
     done = stored(nodes.join(step.select("node").distinct(), "node", "left_anti").withColumn("level", F.lit(0)), "levels")
-    for n in range(1, depth + 1):
+    for n in count(1):
         open_ = step.join(done.select("node"), "node", "left_anti")
         waiting = open_.join(done.select(F.col("node").alias("below")), "below", "left_anti").select("node").distinct()
         ready = open_.select("node").distinct().join(waiting, "node", "left_anti")
@@ -35,4 +41,6 @@ def roots_and_levels(edges: DataFrame, source: str, target: str, depth: int = 50
         if new.isEmpty():
             break
         done = done.unionByName(new)
+        if n % ROUNDS == 0:
+            done = stored(done, "levels")
     return nodes.join(done, "node", "left")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import ast
 import re
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from tracewell.config import PROCEDURE_PREFIX
 from tracewell.functions.names import normal_url
 from tracewell.functions.predicates import sql_gate, table_candidate
-from tracewell.operators.closure import reachable
+from tracewell.operators.closure import ROUNDS, reachable
 from tracewell.operators.joins import enclosing_range
+from tracewell.storage import stored
 
 # Where SQL strings stand in code.
 CARRIERS = (
@@ -177,16 +179,21 @@ def model_fields(files: DataFrame) -> DataFrame:
     return by_file(files, find, "model string, field string, annotation string, optional boolean").distinct()
 
 
-def nested_fields(fields: DataFrame, depth: int = 5) -> DataFrame:
-    """Fields of models inside models: model, path of the field in dots. A model inside itself ends there."""
+def nested_fields(fields: DataFrame) -> DataFrame:
+    """Fields of models inside models, however deep: model, path of the field in dots. A model inside itself ends there."""
     from tracewell.functions.names import model_name
 
-    typed = fields.select("model", "field", model_name("annotation").alias("inner")).distinct()
+    typed = stored(fields.select("model", "field", model_name("annotation").alias("inner")).distinct(), "fields")
     found = level = typed.select("model", F.col("field").alias("dotted"), "inner", F.array("model").alias("seen"))
-    for _ in range(depth - 1):
-        deeper = typed.select(F.col("model").alias("inner"), F.col("field").alias("_f"), F.col("inner").alias("_i"))
+    deeper = typed.select(F.col("model").alias("inner"), F.col("field").alias("_f"), F.col("inner").alias("_i"))
+    for n in count(1):
         level = level.join(deeper, "inner").where(~F.array_contains("seen", F.col("inner"))).select("model", F.concat("dotted", F.lit("."), "_f").alias("dotted"), F.col("_i").alias("inner"), F.concat("seen", F.array("inner")).alias("seen"))
+        level = stored(level, "nested-fields")
+        if level.isEmpty():
+            break
         found = found.unionByName(level)
+        if n % ROUNDS == 0:
+            found = stored(found, "nested-fields")
     return found.select("model", "dotted")
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.operators.closure import ROUNDS
 from tracewell.plans.sql_scopes import scopes_of
 from tracewell.storage import stored
 
@@ -36,8 +38,11 @@ def bind(items: DataFrame, sources: DataFrame, catalog: DataFrame | None = None)
     return stars.unionByName(one).unionByName(none).withColumnsRenamed({"kind": "src_kind", "target": "src_name"})
 
 
-def resolve(objects: DataFrame, items: DataFrame, edges: DataFrame, depth: int = 20) -> DataFrame:
-    """Each column of each object with the base columns that it comes from: object, column, position, direct, expr, src_name, src_col."""
+def resolve(objects: DataFrame, items: DataFrame, edges: DataFrame) -> DataFrame:
+    """Each column of each object with the base columns that it comes from: object, column, position, direct, expr, src_name, src_col.
+
+    Scopes are followed however long their chain is; what has been asked of a scope before isn't asked again, which ends cycles.
+    """
     columns = objects.where("status = 'OK'").select("object", F.posexplode("columns").alias("position", "column"))
     first = items.where("scope = 'main' and branch = 0").groupBy("object").agg(F.max(F.col("out_col") == "*").alias("starred"), F.count("*").alias("width"))
     columns = columns.join(first, "object")
@@ -45,12 +50,13 @@ def resolve(objects: DataFrame, items: DataFrame, edges: DataFrame, depth: int =
     by_name = columns.where("starred").withColumn("asked", F.lower("column"))
     start = by_place.select("object", "column", "position", "asked").unionByName(by_name.select("object", "column", "position", "asked"))
     frontier = start.select("object", "column", "position", F.lit("main").alias("scope"), "asked", F.lit(True).alias("direct"), F.lit("").alias("expr")).distinct()
+    frontier = stored(frontier, "lineage-frontier")
     named = items.where("out_col != '*'").select("object", "scope", F.col("out_col").alias("asked")).distinct().withColumn("named", F.lit(True))
     star_in = items.where("out_col = '*'").select("object", F.col("scope").alias("src_name")).distinct().withColumn("passes", F.lit(True))
     gives = named.select("object", F.col("scope").alias("src_name"), "asked").withColumn("gives", F.lit(True))
     e = edges.select("object", "scope", "branch", "out_col", F.col("expr").alias("e_expr"), F.col("direct").alias("e_direct"), "src_kind", "src_name", "src_col", F.col("position").alias("e_position"))
-    found = None
-    for _ in range(depth):
+    found, seen = None, frontier
+    for n in count(1):
         asked = frontier.join(named, ["object", "scope", "asked"], "left")
         hit = asked.join(e, ["object", "scope"]).where((F.col("named") & (F.col("out_col") == F.col("asked"))) | (F.col("named").isNull() & (F.col("out_col") == "*")))
         hit = hit.withColumn("src_col", F.when(F.col("src_col") == "*", F.col("asked")).otherwise(F.col("src_col")))
@@ -64,9 +70,15 @@ def resolve(objects: DataFrame, items: DataFrame, edges: DataFrame, depth: int =
         step = stored(plain.unionByName(wild).distinct(), "lineage")
         ends = step.where("src_kind != 'scope'").drop("src_kind")
         found = ends if found is None else found.unionByName(ends)
-        frontier = step.where("src_kind = 'scope'").select("object", "column", "position", F.col("src_name").alias("scope"), F.col("src_col").alias("asked"), "direct", "expr").distinct()
+        onward = step.where("src_kind = 'scope'").select("object", "column", "position", F.col("src_name").alias("scope"), F.col("src_col").alias("asked"), "direct", "expr").distinct()
+        before = seen.alias("before")
+        new = onward.alias("new").join(before, [F.col(f"new.{c}").eqNullSafe(F.col(f"before.{c}")) for c in onward.columns], "left_anti")
+        frontier = stored(new, "lineage-frontier")
         if frontier.isEmpty():
             break
+        seen = seen.unionByName(frontier)
+        if n % ROUNDS == 0:
+            found, seen = stored(found.distinct(), "lineage"), stored(seen, "lineage-seen")
     return found.distinct()
 
 
