@@ -316,6 +316,14 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(table, bench.limit(0)).count() == 0
 
 
+def test_decontamination_by_items_without_id(spark):
+    texts = [BENCH[0][1], BENCH[1][1]]
+    bench = spark.createDataFrame([(None, t) for t in [*texts, None]], "item_id long, text string")
+    table = docs(spark, [(1, "x " + texts[0]), (2, "clean text of its own"), (3, texts[1] + " y")])
+    for chars in (50, 10**6):
+        assert [r["doc_id"] for r in decontaminate.without_benchmark(table, bench, block_chars=chars).collect()] == [2]
+
+
 def test_segments_found_within_their_edits():
     rng = random.Random(3)
     letters = "abcdefghijklmnop"

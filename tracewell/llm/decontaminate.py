@@ -184,8 +184,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, block_chars: int =
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of documents that hold no passage of the benchmark, with all their columns."""
+    """The rows of documents that hold no passage of the benchmark, with all their columns. Items without an id count too."""
     spark, at = documents.sparkSession, documents.columns.index("text")
+    # their texts stand in for ids, which only deal items to blocks here
+    benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.xxhash64("text")).alias("item_id"), "text")
     for index in index_blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast(index)
 
