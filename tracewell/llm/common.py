@@ -5,12 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.storage import shared_dir, stored
 
-__all__ = ["held_out", "labelled_sample", "mix64", "shared_dir", "stored", "words"]
+__all__ = ["bounded", "held_out", "labelled_sample", "mix64", "shared_dir", "stored", "words"]
 
 
 def words(text: str | None) -> list[bytes]:
@@ -35,12 +35,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, most: dict[int, int]) -> DataFrame:
     """At most most[v] documents of each label value v, outside the held-out fifth: doc_id, text and label.
 
-    The choice follows a hash of the id, so that reruns agree. Ids with contradictory labels count with the larger.
-    The chosen ids are at most sum(most.values()), which bounds the broadcast.
+    The choice follows a hash of the id, so that reruns agree. Ids with contradictory labels count with the larger, ids
+    with several texts with the last text in order. The chosen ids are at most sum(most.values()), which bounds the
+    broadcast and the rows.
     """
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     order = [F.xxhash64("doc_id", F.lit(7)), F.col("doc_id")]
     chosen = [rows.where(F.col("label") == v).orderBy(*order).limit(n) for v, n in most.items()]
     ids = reduce(DataFrame.unionByName, chosen)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(ids), "doc_id")
+    return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("doc_id", "text", "label")
+
+
+def bounded(rows: DataFrame, size: str, most: int) -> DataFrame:
+    """Of a labelled sample (stored, one row an id), the rows that come first by a hash of the id and have at most `most` in sum of size."""
+    order = Window.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fit = rows.select("doc_id", F.sum(size).over(order).alias("sum")).where(F.col("sum") <= most).select("doc_id")
+    return rows.join(F.broadcast(fit), "doc_id")

@@ -3,7 +3,8 @@
 Every line is labelled good or bad. Its potential is linear in features of its own and of the lines before and after it;
 a 2 x 2 matrix weighs the labels of neighbouring lines. Forward-backward gives each line's marginal probability of being
 good; a document's score is their mean weighted by line length, put through a logistic curve that was fitted, with the
-field, on a bounded sample of labelled documents (lines inherit their document's label).
+field, on a bounded sample of labelled documents (lines inherit their document's label): at most SAMPLE documents of each
+label and FIT_LINES lines in all, whole documents in either case.
 
 Defined results: null and empty texts are one empty line; a line's length counts one more than its characters, so empty
 lines weigh little and no document has weight 0; repeated rows are scored each; without labelled rows of both kinds all
@@ -19,8 +20,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tracewell.llm.common import held_out, labelled_sample
+from tracewell.llm.common import bounded, held_out, labelled_sample, stored
 
 SAMPLE = {0: 3000, 1: 6000}
 THRESHOLD = 0.3
@@ -28,7 +30,9 @@ OWN = ("symbols", "capitals", "exclaims", "repeats", "short_words", "long_words"
 #: Which of a line's features its neighbours look at.
 NEAR = ("symbols", "capitals", "repeats", "seen_before")
 N_FEATURES = 1 + len(OWN) + 2 * (len(NEAR) + 1)
-LONGEST_CHAIN = 64  # in the fit; scoring has no bound
+FIT_LINES = 500_000
+CHAIN = 512  # longer texts are several chains in the fit; scoring has one chain at any length
+BATCH_LINES = 100_000
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -131,12 +135,13 @@ def fit_field(examples: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 1
     labels = {y for _, _, y in examples}
     if len(labels) < 2:
         return Field(np.zeros(N_FEATURES), np.zeros((2, 2)), 0.0, 0.0)
-    parts = [(x[i : i + LONGEST_CHAIN], y) for x, _, y in examples for i in range(0, min(len(x), 4 * LONGEST_CHAIN), LONGEST_CHAIN)]
-    parts.sort(key=lambda p: len(p[0]))
-    batches = []
-    for i in range(0, len(parts), 1000):  # of like lengths
-        chunk = parts[i : i + 1000]
-        longest = len(chunk[-1][0])
+    parts = [(x[i : i + CHAIN], y) for x, _, y in examples for i in range(0, len(x), CHAIN)]
+    parts.sort(key=lambda p: -len(p[0]))
+    batches, i = [], 0
+    while i < len(parts):  # of like lengths
+        longest = len(parts[i][0])
+        chunk = parts[i : i + max(1, BATCH_LINES // longest)]
+        i += len(chunk)
         x, y, mask = np.zeros((len(chunk), longest, N_FEATURES)), np.zeros((len(chunk), longest), int), np.zeros((len(chunk), longest), bool)
         for k, (lines, label) in enumerate(chunk):
             x[k, : len(lines)], y[k], mask[k, : len(lines)] = lines, label, True
@@ -168,18 +173,23 @@ def logistic(x: np.ndarray, y: np.ndarray, decay: float = 1e-3) -> tuple[float,
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> Field:
-    """A field from a sample of labelled documents of bounded size; only line features come to the driver, of a document's first 4 * LONGEST_CHAIN lines."""
+    """A field from a sample of whole labelled documents of bounded size; only the features of their lines come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [line_features(t) for t in batch.column(1).to_pylist()]
-            flat = [x[: 4 * LONGEST_CHAIN].astype(np.float32).ravel() for x, _ in rows]
-            size = [s[: 4 * LONGEST_CHAIN].astype(np.float32) for _, s in rows]
+            flat = [x.astype(np.float32).ravel() for x, _ in rows]
+            size = [s.astype(np.float32) for _, s in rows]
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(flat, pa.list_(pa.float32())), pa.array(size, pa.list_(pa.float32()))], ["doc_id", "label", "x", "size"])
 
-    rows = labelled_sample(documents, labels, "quality", sample).select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, x array<float>, size array<float>")
-    got = sorted(rows.toArrow().to_pylist(), key=lambda r: (r["doc_id"], r["x"]))
-    return fit_field([(np.array(r["x"]).reshape(-1, N_FEATURES), np.array(r["size"]), r["label"]) for r in got])
+    texts = stored(labelled_sample(documents, labels, "quality", sample).withColumn("n_lines", F.size(F.split("text", "\n", -1))), "quality-sample")
+    rows = bounded(texts, "n_lines", FIT_LINES).select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, x array<float>, size array<float>")
+    got = rows.toArrow()
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+    x, size = (got.column(c).combine_chunks() for c in ("x", "size"))
+    lines, ends, y = size.values.to_numpy(), size.offsets.to_numpy(), got.column("label").to_numpy()
+    features = x.values.to_numpy().reshape(-1, N_FEATURES)
+    return fit_field([(features[ends[k] : ends[k + 1]].astype(float), lines[ends[k] : ends[k + 1]].astype(float), int(y[k])) for k in order])
 
 
 def score_quality(documents: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
