@@ -5,10 +5,12 @@ SEGMENT characters (shorter texts are one segment). A segment of m characters oc
 only where, by the q-gram lemma, the two share m - q + 1 - q * e character q-grams, all on diagonals (document position
 less segment position) no further than e apart. So shared q-grams are counted by segment and diagonal band, bands of
 2 * (e + 1) diagonals overlapping by half; bands below the bound are dropped, and what is left is verified by a banded
-alignment. A document is contaminated by the benchmark texts that have a verified segment in it.
+alignment. A document is contaminated by the benchmark texts that have a verified segment in it. Equal segments are one,
+so that repeating texts don't multiply the q-grams that a document shares with them, and shared q-grams are counted in
+parts of bounded size.
 
 The benchmark is a set of queries against all documents. It is indexed and broadcast in blocks of at most about
-BLOCK_CHARS characters; a larger benchmark takes more blocks, each its own pass.
+BLOCK_CHARS characters; a larger benchmark takes more blocks, through which the documents go one after the other.
 
 Defined results: null, empty and very short documents hold nothing; benchmark texts with fewer than q + 1 characters
 (null and empty ones too) cannot be told from chance and match nothing; repeated rows are searched each; several benchmark
@@ -18,8 +20,7 @@ rows with one id count as one; extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ STEP = 40
 EDIT_SHARE = 0.075
 BLOCK_CHARS = 4_000_000
 TABLE_BITS = 22
+MOST_PAIRS = 1_000_000  # of q-grams counted at once
 
 
 def normal(text: str | None) -> str:
@@ -55,7 +57,7 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Segment:
-    item_id: int
+    item_ids: tuple[int, ...]
     text: str
     edits: int
     least: int  # shared q-grams
@@ -71,7 +73,7 @@ def segments_of(item_id: int, text: str | None) -> list[Segment]:
         while edits and len(piece) - Q + 1 - Q * edits < Q:
             edits -= 1
         if len(piece) > Q:
-            found.append(Segment(item_id, piece, edits, len(piece) - Q + 1 - Q * edits))
+            found.append(Segment((item_id,), piece, edits, len(piece) - Q + 1 - Q * edits))
     return found
 
 
@@ -101,7 +103,11 @@ class Index:
     """The q-grams of segments; find() searches one document."""
 
     def __init__(self, segments: list[Segment]):
-        self.segments = segments
+        items: dict[str, dict[int, None]] = {}
+        for s in segments:
+            items.setdefault(s.text, {}).update(dict.fromkeys(s.item_ids))
+        first = {s.text: s for s in reversed(segments)}
+        self.segments = segments = [replace(first[text], item_ids=tuple(sorted(ids))) for text, ids in items.items()]
         self.codes = [codes_of(s.text) for s in segments]
         grams = [gram_hashes(c) for c in self.codes]
         sizes = [len(g) for g in grams]
@@ -134,25 +140,29 @@ class Index:
         np.add.at(near, np.minimum(starts + self.window, len(grams)), -1)
         place = np.flatnonzero(np.cumsum(near[:-1]) > 0)
         first, past = np.searchsorted(self.values, grams[place], "left"), np.searchsorted(self.values, grams[place], "right")
-        times = past - first
-        rows = np.repeat(first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        if not len(rows):
+        some = past > first
+        place, first, times = place[some], first[some], (past - first)[some]
+        if not len(place):
             return []
-        who, diagonal = self.owner[rows], np.repeat(place, times) - self.at[rows]
-        step = self.edits[who] + 1
-        band = (diagonal + self.window) // step  # this band and the one before cover the diagonal
-        keys = np.concatenate([who << 40 | band, who << 40 | (band - 1)])
-        keys, shared = np.unique(keys, return_counts=True)
+        counted = []
+        cuts = np.flatnonzero(np.diff(np.cumsum(times) // MOST_PAIRS)) + 1
+        for at, lo, n in zip(*(np.split(x, cuts) for x in (place, first, times)), strict=True):
+            rows = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            who, diagonal = self.owner[rows], np.repeat(at, n) - self.at[rows]
+            band = (diagonal + self.window) // (self.edits[who] + 1)  # this band and the one before cover the diagonal
+            counted.append(np.unique(np.concatenate([who << 40 | band, who << 40 | (band - 1)]), return_counts=True))
+        keys, where = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+        shared = np.bincount(where, np.concatenate([c for _, c in counted])).astype(np.int64)
         who, band = keys >> 40, keys & (1 << 40) - 1
         found: set[int] = set()
         for k in np.flatnonzero(shared >= self.least[who]).tolist():
             segment, s = self.segments[who[k]], int(who[k])
-            if segment.item_id in found:
+            if found.issuperset(segment.item_ids):
                 continue
             start = int(band[k]) * (segment.edits + 1) - self.window
             # the alignment may leave the diagonals of shared q-grams by its edits
             if edits_within(self.codes[s], codes, start - segment.edits, 4 * segment.edits + 3, segment.edits):
-                found.add(segment.item_id)
+                found.update(segment.item_ids)
         return sorted(found)
 
 
@@ -167,20 +177,20 @@ def index_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterat
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id and item_ids of the documents that hold passages of the benchmark, a row for each document and block of the benchmark."""
-    spark, found = documents.sparkSession, []
+    """doc_id and item_ids (in order) of the rows of documents that hold passages of the benchmark, one row for each."""
+    spark = documents.sparkSession
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.array().cast("array<long>").alias("item_ids"))
     for index in index_blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = sent.value
             for batch in batches:
-                hits = [index.find(t) for t in batch.column(1).to_pylist()]
-                rows = pa.record_batch([batch.column(0), pa.array(hits, pa.list_(pa.int64()))], ["doc_id", "item_ids"])
-                yield rows.filter(pa.array([bool(h) for h in hits], pa.bool_()))
+                hits = [sorted({*known, *index.find(t)}) for t, known in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(hits, pa.list_(pa.int64()))], ["doc_id", "text", "item_ids"])
 
-        found.append(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, item_ids array<long>"))
-    return reduce(DataFrame.unionByName, found)
+        rows = rows.mapInArrow(run, "doc_id long, text string, item_ids array<long>")
+    return rows.where(F.size("item_ids") > 0).select("doc_id", "item_ids")
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
