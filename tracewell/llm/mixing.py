@@ -30,7 +30,8 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 BLOCK_WORDS = 50_000
 MOST_BLOCKS = 16_384  # of a source; larger sources have larger blocks
-SHARDS = 64
+LEAST_SHARDS = 64
+SHARD_WORDS = 100_000_000
 SEED = 11
 
 
@@ -78,11 +79,12 @@ def _block(seed: int) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.col("n_blocks")).cast("int")
 
 
-def plan_draws(sizes: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def plan_draws(sizes: DataFrame, block_words: int = BLOCK_WORDS, shards: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """sizes: doc_id, source, size. Returns the sources (one row each) and, by source and block, its draws and where its partial draw is cut."""
     spark = sizes.sparkSession
     by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).orderBy(F.col("source").asc_nulls_last()).collect()  # one row for each source
     names, totals = [r["source"] for r in by_source], [r["source_size"] for r in by_source]
+    shards = shards or max(LEAST_SHARDS, -(-sum(totals) // SHARD_WORDS))
     goal = targets(totals, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(totals))])
     n_blocks = [min(MOST_BLOCKS, max(1, -(-t // block_words))) for t in totals]
     passes = [int(g // t) if t else 0 for g, t in zip(goal, totals, strict=True)]
@@ -133,11 +135,11 @@ def _sizes(documents: DataFrame) -> DataFrame:
 
 
 def taken(documents: DataFrame, seed: int = SEED, **options) -> DataFrame:
-    """What the mix takes of each document: doc_id, size, source_size, target, taken."""
+    """What the mix takes of each document: doc_id, size, source_size, target, taken, and the shards that its draws are dealt to, a shard for each draw."""
     sizes = _sizes(documents)
     rows = with_draws(sizes, *plan_draws(sizes, seed=seed, **options), seed=seed)
     size = F.col("_row.size")
-    return rows.select("_row.doc_id", size.alias("size"), "source_size", "target", (size * F.size("draws")).cast("long").alias("taken"))
+    return rows.select("_row.doc_id", size.alias("size"), "source_size", "target", (size * F.size("draws")).cast("long").alias("taken"), F.sort_array("draws.shard").alias("shards"))
 
 
 def mix(documents: DataFrame, seed: int = SEED, **options) -> DataFrame:
