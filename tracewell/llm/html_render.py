@@ -4,12 +4,14 @@ A tree builder reads the tokens of the standard library's tokenizer and applies
 have no content, a block closes an open p, items and cells close what they follow, missing end tags close with their
 parent. Cells and rows of a table get the rows and groups that have no tag; what stands in a table outside of its cells
 goes into a block before it. A renderer walks the tree without recursion. Invisible are head matter, scripts, styles,
-templates, form values, what frames, media and canvas hold for older browsers, definitions and descriptions inside svg,
+templates, values of fields other than a textarea's text and the chosen options of a select (the first one where none is
+marked), what frames, media and canvas hold for older browsers, definitions and descriptions inside svg,
 annotations inside math, elements with the hidden attribute or aria-hidden, and those whose inline style says display:none
 or visibility:hidden; all other text is kept, navigation and footers too. Inline text has its white space collapsed; pre keeps it. Blocks start
 on a new line, paragraphs and headings are set off by an empty line, br breaks the line, hr draws one, list items are
 indented by depth under a bullet or their number. A table with cells becomes lines in which each column is padded to its
-widest cell, cells being parted by ` | `; a cell's own line breaks become spaces and nested tables are rendered inside.
+widest cell, cells being parted by ` | `; a cell that spans columns or rows leaves those after it or below it empty; a
+cell's own line breaks become spaces. Nested tables are rendered inside, at any depth: innermost cells first.
 
 Defined results: null and empty pages give empty text; broken markup gives the text that the rules leave visible; repeated
 rows are rendered each; extra columns are not read.
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INVISIBLE = frozenset("head title script style noscript template iframe canvas audio video datalist select option textarea input".split())
+INVISIBLE = frozenset("head title script style noscript template iframe canvas audio video datalist input".split())
 #: Invisible inside svg or math.
 DEFINITIONS = frozenset("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
 #: Elements of svg and math that stand apart from each other.
@@ -60,16 +62,21 @@ SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+    """scope: the innermost element of CONTENTS that it stands in or is, else the root; p: the p that a block inside it closes."""
+
+    __slots__ = ("attrs", "children", "opened", "p", "parent", "scope", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        own = parent is None or tag in CONTENTS
+        self.scope = self if own else parent.scope
+        self.opened: dict[str, int] | None = {} if own else None  # of a scope: its open elements by tag
+        self.p = self if tag == "p" else None if own or tag == "button" else parent.p
 
     def hidden(self) -> bool:
         a = self.attrs
         return self.tag in INVISIBLE or (self.tag in DEFINITIONS and self.drawn()) or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(HIDDEN_STYLE.search(a.get("style") or ""))
 
-
     def drawn(self) -> bool:
         """Whether it stands inside svg or math."""
         node = self.parent
@@ -79,44 +86,68 @@ class Node:
 
 
 class Builder(HTMLParser):
-    """The tree of a page. A node's parent is the element that was open around it; its place in the tree may be before a table."""
+    """The tree of a page. A node's parent is the element that was open around it; its place in the tree may be before a table.
+
+    Open elements are counted by scope, so that a search for one that isn't there costs nothing at any depth.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", {}, None)
+        self.open: dict[str, int] = {}  # by tag, in all scopes
         self.before: dict[Node, Node] = {}  # by table, the block before it for what stands outside of its cells
 
     def close(self) -> Node:
         super().close()
         return self.root
 
+    def _to(self, node: Node) -> None:
+        """Closes what is open inside node."""
+        while self.at is not node:
+            # a scope's own element counts outside of it
+            (self.at.parent if self.at.opened is not None else self.at).scope.opened[self.at.tag] -= 1
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
+
+    def _push(self, node: Node) -> None:
+        opened = (node.parent if node.opened is not None else node).scope.opened
+        opened[node.tag] = opened.get(node.tag, 0) + 1
+        self.open[node.tag] = self.open.get(node.tag, 0) + 1
+        self.at = node
+
     def _close_open(self, tags: set[str] | frozenset[str], within: set[str] | frozenset[str]) -> None:
         """Closes the outermost open element of tags that no element of within has inside itself."""
-        node, last = self.at, None
+        if not any(map(self.open.get, tags)):
+            return
+        node, last, scope, left = self.at, None, None, 0
         while node is not self.root and node.tag not in within:
+            if node.scope is not scope:
+                scope = node.scope
+                left = sum(scope.opened.get(t, 0) for t in tags)
             if node.tag in tags:
                 last = node
+                left -= node is not scope
+            if not left and node is not scope:  # nothing more up to the scope's own element
+                node = scope
+                continue
             node = node.parent
         if last is not None:
-            self.at = last.parent
-
-    def _within(self, node: Node) -> Node:
-        """The innermost open element that is a table or the contents of one, from node upwards; else the root."""
-        while node is not self.root and node.tag not in CONTENTS:
-            node = node.parent
-        return node
+            self._to(last.parent)
 
     def _enter(self, tag: str) -> None:
         """Before a part of a table: leaves what it ends and opens the group and row around it that have no tag."""
-        table = self._within(self.at)
-        if table.tag in ("caption", "td", "th") and (outer := self._within(table.parent)).tag == "table":
-            self.at, table = table.parent, outer
+        table = self.at.scope
+        if table.tag in ("caption", "td", "th") and (outer := table.parent.scope).tag == "table":
+            self._to(table.parent)
+            table = outer
         if table.tag != "table":  # a part without a table
             tags, within = IMPLIED.get(tag, (set(), set()))
             return self._close_open(tags, within | {"template", "noscript"})
         inside = GROUPS | {"tr"} if tag in ("td", "th") else GROUPS if tag == "tr" else ()
-        while self.at is not table and self.at.tag not in inside:
-            self.at = self.at.parent
+        up = self.at
+        while up is not table and up.tag not in inside:
+            up = up.parent
+        self._to(up)
         if self.at is table and tag in ("td", "th", "tr"):
             self._open(Node("tbody", {}, table))
         if self.at.tag in GROUPS and tag in ("td", "th"):
@@ -127,11 +158,11 @@ class Builder(HTMLParser):
 
     def _open(self, node: Node) -> None:
         self.at.children.append(node)
-        self.at = node
+        self._push(node)
 
     def _children(self) -> list[Node | str]:
         """Where visible content goes: the open element's children, or the block before the table that it stands in."""
-        if self.at.tag in FRAME and (table := self._within(self.at)).tag == "table":
+        if self.at.tag in FRAME and (table := self.at.scope).tag == "table":
             if table not in self.before:
                 self.before[table] = Node("div", {}, table.parent)
                 table.parent.children.insert(-1, self.before[table])  # an open table is its parent's last child
@@ -141,20 +172,20 @@ class Builder(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in PARTS:
             self._enter(tag)
-        elif tag == "table" and (table := self._within(self.at)).tag == "table":
-            self.at = table.parent  # only cells and captions hold tables
-        elif tag == "form" and self.at.tag in FRAME and self._within(self.at).tag == "table":
+        elif tag == "table" and (table := self.at.scope).tag == "table":
+            self._to(table.parent)  # only cells and captions hold tables
+        elif tag == "form" and self.at.tag in FRAME and self.at.scope.tag == "table":
             return  # its fields are in cells
         elif tag in IMPLIED:
             self._close_open(*IMPLIED[tag])
         elif tag not in HEAD_ONLY:
             self._close_open({"head"}, set())
-        if tag in CLOSES_P:
-            self._close_open({"p"}, {"td", "th", "caption", "button", "table"})
+        if tag in CLOSES_P and self.at.p is not None:
+            self._to(self.at.p.parent)
         node = Node(tag, dict(attrs), self.at)
         (self.at.children if self.at.tag not in FRAME or tag in PARTS or node.hidden() else self._children()).append(node)
         if tag not in VOID:
-            self.at = node
+            self._push(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -162,25 +193,27 @@ class Builder(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             return self.handle_starttag("br", [])
-        node = self.at
+        node = self.at if self.open.get(tag) else self.root
         while node is not self.root and node.tag != tag:
+            if not node.scope.opened.get(tag) and node is not node.scope:
+                node = node.scope
+                continue
             if node.tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html", "template", "noscript"):
                 return None  # a stray end tag doesn't leave its cell
             if node.tag == "table" and tag in PARTS:
                 return None  # nor its table
             node = node.parent
         if node is not self.root:
-            self.at = node.parent
+            self._to(node.parent)
         return None
 
     def handle_data(self, data):
         if data.strip():
-            node = self.at
-            if node.tag == "head":
-                self.at = node.parent
+            if self.at.tag == "head":
+                self._to(self.at.parent)
             self._children().append(data)
         elif self.at.tag in FRAME:  # white space in a table only parts what stands before it
-            self.before.get(self._within(self.at), self.at).children.append(data)
+            self.before.get(self.at.scope, self.at).children.append(data)
         else:
             self.at.children.append(data)
 
@@ -246,15 +279,54 @@ def table_rows(table: Node) -> list[list[Node]]:
     return rows
 
 
+def span(cell: Node, name: str, most: int) -> int:
+    value = (cell.attrs.get(name) or "1").strip()
+    return max(1, min(most, int(value))) if re.fullmatch(r"\d{1,9}", value) else 1
+
+
+def grid(rows: list[list[Node]], texts: dict[Node, str]) -> list[list[str]]:
+    """The texts of the cells by row and column; spans go no further than the longest row's number of cells and the last row."""
+    widest = max(map(len, rows))
+    held: dict[int, int] = {}  # by column, the rows that a cell from above still takes
+    found = []
+    for i, row in enumerate(rows):
+        line: list[str] = []
+        fresh: dict[int, int] = {}
+        for cell in row:
+            while held.get(len(line), 0):
+                line.append("")
+            tall = span(cell, "rowspan", len(rows) - i)
+            for k in range(span(cell, "colspan", widest)):
+                fresh[len(line)] = tall
+                line.append("" if k else texts[cell])
+        held = {c: n - 1 for c, n in (held | fresh).items() if n > 1}
+        found.append(line)
+    return found
+
+
 def aligned(rows: list[list[str]]) -> list[str]:
     widths = [max((len(r[k]) for r in rows if k < len(r)), default=0) for k in range(max(map(len, rows)))]
     return [" | ".join(cell.ljust(w) for cell, w in zip(row, widths, strict=False)).rstrip() for row in rows]
 
 
-def laid_out(root: Node) -> str:
-    """A subtree's text. The walk keeps its own stack: leaving a node is an entry with `done`."""
+def shown(select: Node) -> list[Node]:
+    """The options that a select shows."""
+    options, todo = [], [select]
+    while todo:
+        node = todo.pop()
+        if node.tag == "option":
+            options.append(node)
+        elif node is select or not node.hidden():
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    options = [o for o in options if not o.hidden()]
+    if "multiple" in select.attrs or span(select, "size", 1000) > 1:
+        return options
+    return [o for o in options if "selected" in o.attrs][-1:] or options[:1]
+
+
+def laid_out(root: Node, texts: dict[Node, str]) -> str:
+    """A subtree's text; texts has those of the cells and captions of the tables inside it. The walk keeps its own stack: leaving a node is an entry with `done`."""
     out, todo, lists, pre = Lines(), [(root, False)], [], 0
-    cells: dict[Node, str] = {}
     while todo:
         node, done = todo.pop()
         if isinstance(node, str):
@@ -262,14 +334,15 @@ def laid_out(root: Node) -> str:
             continue
         tag = node.tag
         if done:
-            if tag == "pre":
+            if tag in ("pre", "textarea"):
                 pre -= 1
             if tag in ("ul", "ol", "menu"):
                 lists.pop()
             if tag == "li":
                 out.end_line()
                 out.prefix = ""
-            out.block(tag in SPACED and not (tag in ("ul", "ol") and lists))
+            if tag in BLOCK:
+                out.block(tag in SPACED and not (tag in ("ul", "ol") and lists))
             continue
         if node is not root and node.hidden():
             continue
@@ -282,15 +355,15 @@ def laid_out(root: Node) -> str:
         elif tag == "img":
             if alt := (node.attrs.get("alt") or "").strip():
                 out.text(alt, False)
+        elif tag == "select":
+            for option in reversed(shown(node)):
+                todo.extend((c, False) for c in (" ", *reversed(option.children), " "))
         elif tag == "table" and node is not root and (rows := table_rows(node)):
-            if any(c not in cells for row in rows for c in row):
-                # first the cells, each on its own, then the table again; nested tables go deeper the same way
-                cells.update({c: SPACE.sub(" ", render_cell(c)) for row in rows for c in row})
             out.block(True)
             for caption in (c for c in node.children if isinstance(c, Node) and c.tag == "caption" and not c.hidden()):
-                out.text(SPACE.sub(" ", render_cell(caption)), False)
+                out.text(texts[caption], False)
                 out.end_line()
-            for line in aligned([[cells[c] for c in row] for row in rows]):
+            for line in aligned(grid(rows, texts)):
                 if line:
                     out.text(line, True)
                 out.end_line()
@@ -298,8 +371,9 @@ def laid_out(root: Node) -> str:
         else:
             if tag in BLOCK:
                 out.block(tag in SPACED and not (tag in ("ul", "ol") and lists))
+            if tag in BLOCK or tag == "textarea":
                 todo.append((node, True))
-            if tag == "pre":
+            if tag in ("pre", "textarea"):
                 pre += 1
             if tag in ("ul", "ol", "menu"):
                 start = node.attrs.get("start") or "1"
@@ -313,26 +387,21 @@ def laid_out(root: Node) -> str:
     return str(out)
 
 
-DEEPEST = 40
-
-
-def render_cell(cell: Node) -> str:
-    """A cell's text; tables nested deeper than DEEPEST are read in document order without columns."""
-    depth, up = 0, cell.parent
-    while up is not None:
-        depth += up.tag == "table"
-        up = up.parent
-    return laid_out(cell) if depth <= DEEPEST else " ".join(plain_text(cell))
-
-
-def plain_text(root: Node) -> Iterator[str]:
-    todo: list[Node | str] = [root]
+def rendered(root: Node) -> str:
+    """The text of a page, after those of the cells and captions of its tables, inner ones before outer ones."""
+    parts: list[Node] = []
+    todo: list[Node] = [root]
     while todo:
         node = todo.pop()
-        if isinstance(node, str):
-            yield node.strip()
-        elif node is root or not node.hidden():
-            todo.extend(reversed(node.children))
+        if node is root or not node.hidden():
+            if node.tag == "table" and (rows := table_rows(node)):
+                parts += [c for row in rows for c in row]
+                parts += [c for c in node.children if isinstance(c, Node) and c.tag == "caption" and not c.hidden()]
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    texts: dict[Node, str] = {}
+    for part in reversed(parts):  # what is inside a part comes after it in parts
+        texts[part] = SPACE.sub(" ", laid_out(part, texts))
+    return laid_out(root, texts)
 
 
 def render(html: str | None) -> str:
@@ -340,7 +409,7 @@ def render(html: str | None) -> str:
         return ""
     builder = Builder()
     builder.feed(html)
-    return laid_out(builder.close())
+    return rendered(builder.close())
 
 
 def render_pages(pages: DataFrame) -> DataFrame:
