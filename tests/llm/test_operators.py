@@ -78,10 +78,11 @@ def test_elias_fano():
     for n, u in ((0, 0), (1, 0), (1, 10), (5, 5), (300, 100), (1000, 10**6), (200, 10**12)):
         values = np.sort(rng.integers(0, u + 1, n))
         ef = token_files.EliasFano.of(values, u)
-        assert ef.values().tolist() == values.tolist() == [ef.select(i) for i in range(n)]
-    assert token_files.EliasFano.of(np.sort(rng.integers(0, 10**6, 10**4)), 10**6).size() * 8 < 10**4 * 9.5
+        assert values.tolist() == [ef.select(i) for i in range(n)]
+        assert list(ef) == values.tolist()
+    assert token_files.EliasFano.of(np.sort(rng.integers(0, 10**6, 10**4)), 10**6).size() * 8 < 10**4 * 9.5  # with its directory
     bounds, ids = token_files.Block.read(token_files.Block.write(np.array([2, 3]), np.array([5, 6, 7], "<u2").tobytes(), 2))
-    assert bounds.values().tolist() == [2, 3] and ids.tolist() == [5, 6, 7]
+    assert list(bounds) == [2, 3] and ids.tolist() == [5, 6, 7]
 
 
 def test_join_against_all_pairs(spark):
@@ -119,6 +120,40 @@ def test_join_against_all_pairs(spark):
     assert ngram_join.jaccard_components(empty(spark), 3, 90).count() == 0 == ngram_join.one_of_each(empty(spark)).count()
 
 
+def test_join_of_large_components(spark, monkeypatch):
+    """Chunks of four sets: members apart from the largest class meet all chunks; repeated ids and rows without one."""
+    monkeypatch.setattr(ngram_join, "SETS", (4, 10**6))
+    monkeypatch.setattr(ngram_join, "SKETCHES", (6, 10**6))
+    monkeypatch.setattr(components, "HOT_ROWS", 10)
+    rng, texts, word = random.Random(14), [], iter(range(10**6))
+    for _ in range(3):
+        now = [f"a{next(word)}" for _ in range(100)]
+        for _ in range(40):  # a chain: neighbours link, ends don't
+            now = now[4:] + [f"a{next(word)}" for _ in range(4)]
+            texts.append(" ".join(now))
+    base = [f"b{i}" for i in range(80)]
+    for _ in range(60):
+        copy = list(base)
+        copy[rng.randrange(80)] = f"c{next(word)}"
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    sets = [set(ngram_join.shingles(t, 3).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for a, b in combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and root[a] != root[b]:
+            x, y = sorted((root[a], root[b]))
+            root = [x if r == y else r for r in root]
+    got = ngram_join.jaccard_components(docs(spark, enumerate(texts)), 3, 80).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(enumerate(root)) and len(set(root)) < 10
+
+
+def test_one_of_each_tells_rows_apart_by_text(spark):
+    a, b = " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    table = docs(spark, [(1, a), (2, a), (2, b), (2, b), (None, b), (None, "z " + a), (3, None), (3, None), (4, b + " end")])
+    kept = sorted((r["doc_id"], r["text"] or "") for r in ngram_join.one_of_each(table, 5, 80).collect())
+    assert kept == [(1, a), (2, b), (3, ""), (3, "")]
+
+
 def test_linked_sets_share_a_signature():
     rng = random.Random(5)
     for _ in range(400):
@@ -288,7 +323,7 @@ def test_mixing(spark):
     for s in order:
         assert abs(by_size[totals[s], float(goal[s])] - goal[s]) <= 200
     again = mixing.taken(table.repartition(7), block_words=500).collect()
-    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+    assert sorted(map(str, again)) == sorted(map(str, got))
     mixed = mixing.mix(table, block_words=500)
     assert mixed.columns == table.columns
     times = Counter(r["doc_id"] for r in mixed.select("doc_id").collect())
@@ -331,6 +366,34 @@ def test_decontamination_by_items_without_id(spark):
         assert [r["doc_id"] for r in decontaminate.without_benchmark(table, bench, block_chars=chars).collect()] == [2]
 
 
+def test_contaminated_has_a_row_for_each_row_at_any_size_of_blocks(spark):
+    rng = random.Random(15)
+    passage = lambda: " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(3, 8))) for _ in range(20))
+    items = [passage() for _ in range(6)]
+    benchmark = spark.createDataFrame([*enumerate(items), (9, items[0]), (None, "x" * 90), (10, "-" * 5000)], "item_id long, text string")
+    table = docs(spark, [(1, "start " + " middle ".join(items)), (2, items[2]), (2, items[2]), (3, passage()), (4, None), (5, "=" * 5000), (6, "-" * 20000)])
+    want = [(1, [0, 1, 2, 3, 4, 5, 9]), (2, [2]), (2, [2]), (6, [10])]
+    for size in (10**6, 100):
+        rows = decontaminate.contaminated(table, benchmark, size).collect()
+        assert sorted((r["doc_id"], r["item_ids"]) for r in rows) == want
+
+
+def test_banded_alignment_against_the_whole_table():
+    rng = random.Random(16)
+    for _ in range(300):
+        segment = "".join(rng.choices("ab", k=rng.randrange(3, 14)))
+        text = "".join(rng.choices("ab", k=rng.randrange(1, 25)))
+        diagonal, width, most = rng.randrange(-4, 12), rng.randrange(1, 8), rng.randrange(4)
+        cost = {(0, j): 0 if diagonal <= j < diagonal + width else 99 for j in range(len(text) + 1)}
+        for i in range(1, len(segment) + 1):
+            for j in range(len(text) + 1):
+                inside = diagonal <= j - i < diagonal + width
+                steps = [cost[i - 1, j] + 1, *((cost[i - 1, j - 1] + (segment[i - 1] != text[j - 1]), cost[i, j - 1] + 1) if j else ())]
+                cost[i, j] = min(steps) if inside else 99
+        want = min(cost[len(segment), j] for j in range(len(text) + 1)) <= most
+        assert decontaminate.edits_within(decontaminate.codes_of(segment), decontaminate.codes_of(text), diagonal, width, most) == want
+
+
 def test_segments_found_within_their_edits():
     rng = random.Random(3)
     letters = "abcdefghijklmnop"
@@ -439,3 +502,65 @@ def test_held_out_is_spark_and_python_alike(spark):
     from tracewell.llm.common import held_out
 
     assert all(r["h"] == held(r["doc_id"]) for r in spark.range(50).select(F.col("id").alias("doc_id")).withColumn("h", held_out()).collect())
+
+
+def test_targets_by_another_way():
+    """A level x such that min(3 * size, x * weight) add up to all words, by bisection."""
+    rng = random.Random(17)
+    for _ in range(50):
+        sizes = [rng.choice([0, 1, 5, 100, 10_000, 10**6]) for _ in range(rng.randrange(1, 9))]
+        weights = [i % 3 + 1 for i in range(len(sizes))]
+        low, high, total = 0.0, 4.0 * sum(sizes), sum(sizes)
+        for _ in range(200):
+            x = (low + high) / 2
+            low, high = (x, high) if sum(min(3 * s, x * w) for s, w in zip(sizes, weights, strict=True)) < total else (low, x)
+        for t, s, w in zip(mixing.targets(sizes, weights), sizes, weights, strict=True):
+            assert abs(float(t) - min(3 * s, high * w)) <= 1e-6 * (1 + total)
+
+
+def test_draws_are_dealt_to_shards_by_the_tree(spark):
+    rows = mixing.taken(docs(spark, [(i, "w " * (i % 50 + 1), "abc"[i % 3]) for i in range(900)]), block_words=200, shards=5).collect()
+    assert all(len(r["shards"]) * r["size"] == r["taken"] and set(r["shards"]) <= set(range(5)) for r in rows)
+    assert len({x for r in rows for x in r["shards"]}) == 5
+
+
+def test_ftrl_against_one_coordinate_at_a_time():
+    """The update rule in plain Python on a few examples, and scores from its weights."""
+    rng = np.random.default_rng(18)
+    examples = [(np.unique(rng.integers(0, 12, 5)), int(rng.random() < 0.4)) for _ in range(40)]
+    model = toxicity.ftrl(examples, l1=0.5, epochs=3)
+    z, n, last = defaultdict(float), defaultdict(float), 1 << toxicity.BITS
+
+    def weight(i):
+        if i == last:
+            return -z[i] / (1 + n[i] ** 0.5)
+        return 0.0 if abs(z[i]) <= 0.5 else -(z[i] - np.sign(z[i]) * 0.5) / (1 + n[i] ** 0.5 + 0.1)
+
+    order = np.random.default_rng(5)
+    for _ in range(3):
+        for k in order.permutation(len(examples)):
+            found, y = [*examples[k][0].tolist(), last], examples[k][1]
+            w = {i: weight(i) for i in found}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for i in found:
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) * w[i]
+                n[i] += g * g
+    assert abs(model.bias - weight(last)) < 1e-9
+    assert np.allclose(model.dense()[:12], [weight(i) for i in range(12)], atol=1e-6)
+
+
+def test_sample_bounds_keep_whole_documents(spark):
+    from tracewell.llm.common import bounded
+
+    rows = spark.createDataFrame([(i, 10) for i in range(20)], "doc_id long, n int")
+    assert bounded(rows, "n", 55).count() == 5 and bounded(rows, "n", 5).count() == 0
+
+
+def test_html_spans_fields_and_depth():
+    assert html_render.render("<table><tr><td colspan=2>Total<td>5<tr><td>1<td>2<td>3</table>") == "Total |   | 5\n1     | 2 | 3"
+    assert html_render.render("<table><tr><td rowspan=2>x<td>y<tr><td>p</table>") == "x | y\n  | p"
+    assert html_render.render("a<select><option>one<option selected>two</select>b<textarea>c d</textarea>") == "a two bc d"
+    assert html_render.render("<select multiple><option>one<option>two</select>") == "one two"
+    assert html_render.render("<table><tr><td>" * 3000 + "deep") == "deep"
+    for page in ("<div>" * 40_000 + "x", "<div>" * 40_000 + "</p>" * 40_000 + "x"):  # quadratic time would take minutes
+        assert html_render.render(page) == "x"

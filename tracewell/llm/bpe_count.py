@@ -27,6 +27,7 @@ SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 KEPT_PIECES = 1_000_000
 KEPT_WORDS = 500_000
+LONGEST_KEPT = 64
 #: Code points that the two pattern libraries class differently (letters of late Unicode versions), and planes not compared.
 UNSURE = "[\u0558\u058b\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c\uab6d\U00010000-\U0001efff\U0001fb00-\U0001ffff\U0002a6e0-\U0010ffff]"
 
@@ -104,16 +105,18 @@ def count_piece(piece: bytes, ranks: dict[int, int]) -> int:
 
 
 class Memo(dict):
-    """Values by string, computed on demand; emptied when full, so that its size is bounded."""
+    """Values by string, computed on demand. Emptied when full, and without long strings, so that its bytes are bounded."""
 
     def __init__(self, compute, most: int):
         super().__init__()
         self.compute, self.most = compute, most
 
     def __missing__(self, key: str):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.compute(key)
+        value = self.compute(key)
+        if len(key) <= LONGEST_KEPT:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
         return value
 
 
