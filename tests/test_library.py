@@ -154,10 +154,26 @@ def test_streaming_search(spark, tmp_path):
 
 
 def test_names(spark):
-    got = spark.range(1).select(normal_url(F.lit("${V2_URL}/a/${x.orderId}/${userName}?q=${z}")).alias("u"), model_name(F.lit("Optional[List[ItemRead]]")).alias("m"), model_name(F.lit("Dict[str, ItemRead]")).alias("d")).first()
-    assert tuple(got) == ("/a/{order_id}/{user_name}", "ItemRead", "ItemRead")
+    got = spark.range(1).select(normal_url(F.lit("${V2_URL}/a/${x.y.orderId}/${userName}?q=${z}"), {"V2_URL": "/api/v2"}).alias("u"), model_name(F.lit("Optional[List[ItemRead]]")).alias("m"), model_name(F.lit("Dict[str, ItemRead]")).alias("d")).first()
+    assert tuple(got) == ("/api/v2/a/{orderId}/{user_name}", "ItemRead", "ItemRead")
     assert schemas.parse_type("NUMBER(38,2)") == T.DecimalType(38, 2) and schemas.parse_type("VARCHAR(9)") == T.StringType()
 
 
 def test_percentages_of_nothing(spark):
     assert tuple(percentages(spark.range(0), some=F.col("id") > 1).first()) == (0, 0, 0.0)
+
+
+def test_functions_of_one_name_and_mapped_classes(spark):
+    from tracewell.plans.actions import action_mapping
+
+    route = lambda name, body: f'@router.get("/{name}")\ndef get_items():\n    return helper()\n\ndef helper():\n    return {body}\n'
+    backend = [
+        ("api/a.py", route("a", 'db.execute("SELECT x FROM TAB_A WHERE x > 1")')),
+        ("api/b.py", route("b", "db.scalars(select(ThingB).where(ThingB.idb == 1))")),
+        ("models.py", 'class ThingA(Base):\n    __tablename__ = "tab_a"\n    x: int\n\nclass ThingB(Base):\n    __tablename__ = "tab_b"\n    idb: int\n'),
+    ]
+    frontend = [("web/x.ts", "export const loadA = async () => {\n  return client.get(`/a`);\n};\nexport const loadB = async () => {\n  return tsClient.get(`/b/long`);\n};\nexport const loadB2 = async () => {\n  return tsClient.get(`${API_URL}/b`);\n};\n")]
+    code = lambda rows: spark.createDataFrame(rows, "path string, content string")
+    rows = action_mapping(code(frontend), code(backend), [("api/", "/api")], {"API_URL": "/api"}, ("client", "tsClient")).collect()
+    got = {r["frontend_function"]: (r["backend_file"], r["database_tables"], r["table_column_details"]) for r in rows}
+    assert got["loadB2"] == ("b.py", "TAB_B", "TAB_B:[IDB]")

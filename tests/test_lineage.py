@@ -20,6 +20,14 @@ CASES = {
     "star through scopes": ("CREATE VIEW V (A, Z) AS WITH c AS (SELECT t.x AS a, u.* FROM S.T t JOIN S.U u ON t.i=u.i) SELECT * FROM c", [("A", "DIRECT", "S.T", "X", ""), ("Z", "DIRECT", "S.U", "Z", "")]),
     "union": ("CREATE VIEW V (A) AS SELECT x FROM T1 UNION ALL SELECT y FROM T2", [("A", "DERIVED", "T1; T2", "X; Y", "")]),
     "scoped aliases": ("CREATE VIEW V (A) AS SELECT t.a FROM (SELECT t.b AS a FROM INNERT t) t", [("A", "DIRECT", "INNERT", "B", "")]),
+    "qualify": ("CREATE VIEW V (A) AS SELECT t.a FROM S.T t QUALIFY ROW_NUMBER() OVER (PARTITION BY t.k ORDER BY t.d) = 1", [("A", "DIRECT", "S.T", "A", "")]),
+    "scalar subquery": ("CREATE VIEW V (M) AS SELECT (SELECT MAX(u.z) FROM S.U u WHERE u.k = t.k) AS M FROM S.T t", [("M", "DERIVED", "S.U", "Z", "SUBQUERY")]),
+    "quoted and cast": ('CREATE OR REPLACE SECURE VIEW "S"."V" ("A b", B) COPY GRANTS COMMENT = \'x (y\' AS SELECT t."q c"::NUMBER(38,0) AS "A b", CAST(t.d AS DATE) B FROM "S"."T" t -- end', [("A B", "DERIVED", "S.T", "Q C", "CAST"), ("B", "DERIVED", "S.T", "D", "CAST")]),
+    "case and between": ("CREATE VIEW V (A, B) AS SELECT CASE WHEN t.x BETWEEN 1 AND 2 THEN t.y ELSE NULL END A, t.x || '-' || t.y FROM S.T t WHERE t.k IS NOT NULL", [("A", "DERIVED", "S.T", "X; Y", "CASE"), ("B", "DERIVED", "S.T", "X; Y", "CONCAT")]),
+    "columns of a CTE": ("CREATE VIEW V (A) AS WITH c (p, q) AS (SELECT x, y FROM S.T) SELECT q FROM c", [("A", "DIRECT", "S.T", "Y", "")]),
+    "flatten": ("CREATE VIEW V (A, B) AS SELECT f.value:name::VARCHAR A, t.id FROM S.T t, LATERAL FLATTEN(input => t.items) f", [("A", "DERIVED", "S.T", "ITEMS", "CAST"), ("B", "DIRECT", "S.T", "ID", "")]),
+    "nested joins": ("CREATE VIEW V (A, B) AS SELECT a.x, c.z FROM (A1 a JOIN B1 b ON a.k = b.k) LEFT JOIN C1 c USING (k)", [("A", "DIRECT", "A1", "X", ""), ("B", "DIRECT", "C1", "Z", "")]),
+    "table as select": ("CREATE TABLE T2 AS SELECT t.a, COUNT(*) AS n FROM S.T t GROUP BY 1", [("A", "DIRECT", "S.T", "A", ""), ("N", "DERIVED", "CALCULATED", "COUNT", "COUNT")]),
     "missing": (None, [("ERROR", "ERROR", "DDL_NOT_FOUND", "DDL_NOT_FOUND", "ERROR")]),
     "unreadable": ("CREATE VIEW V (A) AS SELEC x", [("ERROR", "ERROR", "ANALYSIS_ERROR", "ANALYSIS_ERROR", "ERROR")]),
 }

@@ -20,6 +20,8 @@ def main(arguments: list[str] | None = None) -> None:
     actions = commands.add_parser("actions", help="UI calls to routes, tables and procedures")
     actions.add_argument("--frontend", required=True)
     actions.add_argument("--backend", required=True)
+    actions.add_argument("--url-variable", action="append", default=[], metavar="NAME=TEXT", help="what a URL variable of the front end stands for")
+    actions.add_argument("--client", action="append", metavar="NAME", help="objects whose methods are calls (client)")
     references = commands.add_parser("references", help="tables and columns that repositories mention")
     references.add_argument("--search-dir", required=True)
     references.add_argument("--catalog", required=True, help="CSV with table_name,column_name")
@@ -32,19 +34,17 @@ def main(arguments: list[str] | None = None) -> None:
     a = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("tracewell").getOrCreate()
     if a.command == "actions":
-        out = action_mapping(code_files(spark, a.frontend, ("ts", "tsx"), False), code_files(spark, a.backend, ("py",), False))
+        out = action_mapping(code_files(spark, a.frontend, ("ts", "tsx"), False), code_files(spark, a.backend, ("py",), False), bases=dict(v.split("=", 1) for v in a.url_variable), clients=tuple(a.client or ("client",)))
         write_csv(out, a.output)
         mapping_summary(out).show()
     elif a.command == "references":
         write_csv(code_references(code_files(spark, a.search_dir), spark.read.csv(a.catalog, header=True)), a.output)
     elif a.command == "lineage":
-        rows = spark.read.parquet(a.definitions).select("view_name", "ddl").toLocalIterator()
-        out = view_lineage(spark, ((r[0], r[1]) for r in rows))
+        out = view_lineage(spark, spark.read.parquet(a.definitions).select("view_name", "ddl"))
         write_csv(out, a.output)
         success_rate(out).show()
     else:
-        rows = spark.read.parquet(a.definitions).select("procedure_name", "procedure_schema", "procedure_definition").toLocalIterator()
-        write_csv(column_uses(spark, (tuple(r) for r in rows)), a.output)
+        write_csv(column_uses(spark.read.parquet(a.definitions)), a.output)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from types import MappingProxyType
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,13 +39,15 @@ def camel_to_snake(name: str | Column) -> Column:
     return F.lower(F.regexp_replace(parted, r"([a-z0-9])([A-Z])", r"$1_$2"))
 
 
-def normal_url(url: str | Column) -> Column:
-    """A front-end URL template as a route: base variables go, ${a.b} is {b}, names are in snake case, no query."""
-    c = F.regexp_replace(col(url), F.lit(r"\$\{[A-Za-z0-9_]*URL\}"), F.lit(""))
-    c = F.regexp_replace(c, F.lit(r"\$\{(?:[^{}.]*\.)*([^{}.]*)\}"), F.lit("{$1}"))
-    pieces = F.split(F.regexp_replace(c, r"\?.*$", ""), r"(?=\{)|(?<=\})")
-    snake = F.transform(pieces, lambda p: F.when(p.startswith("{"), camel_to_snake(p)).otherwise(p))
-    return F.array_join(snake, "")
+def normal_url(url: str | Column, bases: Mapping[str, str] = MappingProxyType({})) -> Column:
+    """A front-end URL template as a route: ${V} of a variable in bases is its text, ${a.b} is {b}, ${userId} is {user_id}; no query."""
+    c = col(url)
+    for name, text in bases.items():
+        c = F.replace(c, F.lit("${" + name + "}"), F.lit(text))
+    c = F.regexp_replace(c, F.lit(r"\$\{[\w.]+\.(\w+)\}"), F.lit("{$1}"))
+    pieces = F.split(F.regexp_replace(c, r"\?.*$", ""), r"(?=\$\{\w+\})|(?<=\})")
+    plain = lambda p: F.concat(F.lit("{"), camel_to_snake(F.regexp_extract(p, r"^\$\{(\w+)\}$", 1)), F.lit("}"))
+    return F.trim(F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(r"^\$\{\w+\}$"), plain(p)).otherwise(p)), ""))
 
 
 def route_key(path: str | Column) -> Column:

@@ -11,11 +11,6 @@ def list_distinct(c: str | Column, delimiter: str = ",") -> Column:
     return F.array_join(F.array_sort(F.collect_set(c)), delimiter)
 
 
-def merge_tokens(c: str | Column, delimiter: str = ",") -> Column:
-    """The union of comma lists over a group, sorted. A group of one row is sorted too."""
-    return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split(c, delimiter))))), delimiter)
-
-
 def consolidate(relations: DataFrame, keys: list[str], tokens: str) -> DataFrame:
     """One row for each key with the union of its token lists."""
     one = relations.select(*keys, F.explode_outer(F.split(tokens, ",")).alias("_token")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.names import last_part, route_key, segment_similarity
@@ -63,15 +63,18 @@ def word_references(files: DataFrame, names: DataFrame, content: str, name: str)
 
 
 def contained_names(texts: DataFrame, names: DataFrame, text: str, name: str) -> DataFrame:
-    """Texts and the known names, of three characters or more, that are substrings of them: the columns of both.
+    """Texts and the known names that are substrings of them: the columns of both. Empty names are in none.
 
-    A name inside a text has its first three characters there too, so those are the join key.
+    A name inside a text has its first three characters there too, so those are the join key; shorter names are their own.
     """
     numbered = texts.withColumn("_text", F.xxhash64(*texts.columns))
-    gram = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substr(F.col(text), i, F.lit(3)))
-    grams = numbered.select("_text", F.explode(F.array_distinct(gram)).alias("_gram"))
-    keyed = names.where(F.length(name) >= 3).withColumn("_start", F.left(F.col(name), F.lit(3)))
-    likely = grams.join(keyed, grams["_gram"] == keyed["_start"]).select("_text", *names.columns).distinct()
+    likely = None
+    for size in (3, 2, 1):
+        gram = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i, size=size: F.substr(F.col(text), i, F.lit(size)))
+        grams = numbered.select("_text", F.explode(F.array_distinct(gram)).alias("_gram"))
+        keyed = names.where(F.length(name) >= 3 if size == 3 else F.length(name) == size).withColumn("_start", F.left(F.col(name), F.lit(size)))
+        found = grams.join(keyed, grams["_gram"] == keyed["_start"]).select("_text", *names.columns).distinct()
+        likely = found if likely is None else likely.unionByName(found)
     return numbered.join(likely, "_text").where(F.col(text).contains(F.col(name))).drop("_text")
 
 
@@ -114,8 +117,3 @@ def match_routes(calls: DataFrame, routes: DataFrame, call_path: str, route_path
 def _first_route(pairs: DataFrame, rank: str) -> DataFrame:
     columns = [c for c in pairs.columns if c.startswith("route_")]
     return pairs.groupBy("_call").agg(F.min_by(F.struct(*columns), F.col(rank)).alias("best")).select("_call", "best.*")
-
-
-def ranked(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """rank within keys, from 1."""
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))

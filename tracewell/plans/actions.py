@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from types import MappingProxyType
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from tracewell.config import UNKNOWN_COLUMN
 from tracewell.functions.names import model_name
 from tracewell.operators.joins import match_routes
 from tracewell.operators.ranking import numbered
-from tracewell.plans.code import backend_routes, call_facts, frontend_calls, function_uses, known_tables, model_fields, nested_fields, orm_columns
+from tracewell.plans.code import backend_routes, call_facts, frontend_calls, function_uses, known_tables, model_fields, nested_fields, orm_classes, orm_columns
 from tracewell.sinks import mapping_rows
 
 
@@ -18,16 +21,16 @@ def _file(path: str) -> Column:
 
 
 def _joined(uses: DataFrame, kind: str, to: str, delimiter: str) -> DataFrame:
-    return uses.where(F.col("kind") == kind).groupBy("function").agg(F.array_join(F.array_sort(F.collect_set("name")), delimiter).alias(to))
+    return uses.where(F.col("kind") == kind).groupBy("path", "function").agg(F.array_join(F.array_sort(F.collect_set("name")), delimiter).alias(to))
 
 
 def table_details(uses: DataFrame, columns: DataFrame) -> DataFrame:
-    """function and `T1:[c1,c2];T2:[unknown]` of the tables that it uses; columns: table_name, column_name."""
-    tables = uses.where("kind = 'table'").select("function", F.col("name").alias("table_name")).distinct()
+    """path, function and `T1:[c1,c2];T2:[unknown]` of the tables that it uses; columns: table_name, column_name."""
+    tables = uses.where("kind = 'table'").select("path", "function", F.col("name").alias("table_name")).distinct()
     listed = columns.groupBy("table_name").agg(F.array_sort(F.collect_set("column_name")).alias("columns"))
     found = tables.join(listed, "table_name", "left").withColumn("columns", F.coalesce("columns", F.array(F.lit(UNKNOWN_COLUMN))))
     text = F.concat("table_name", F.lit(":["), F.array_join("columns", ","), F.lit("]"))
-    return found.groupBy("function").agg(F.array_join(F.array_sort(F.collect_list(text)), ";").alias("table_column_details"))
+    return found.groupBy("path", "function").agg(F.array_join(F.array_sort(F.collect_list(text)), ";").alias("table_column_details"))
 
 
 def response_fields(files: DataFrame) -> DataFrame:
@@ -38,20 +41,20 @@ def response_fields(files: DataFrame) -> DataFrame:
     return dotted.groupBy("model").agg(F.array_join(own, ",").alias("response_fields"), F.array_join(nested, ",").alias("nested_fields"))
 
 
-def action_mapping(frontend: DataFrame, backend: DataFrame, prefixes: list[tuple[str, str]] = ()) -> DataFrame:
+def action_mapping(frontend: DataFrame, backend: DataFrame, prefixes: list[tuple[str, str]] = (), bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",)) -> DataFrame:
     """The fourteen columns of the mapping, a row for each front-end call; what has no route has empty strings.
 
     frontend, backend: path and content of code files. Routes are tried in the order of path and line.
     """
-    calls = frontend_calls(frontend)
+    calls = frontend_calls(frontend, bases=bases, clients=clients)
     routes = numbered(backend_routes(backend, prefixes), "place", F.col("path"), F.col("line"))
     matched = match_routes(calls, routes, "url", "route", "method", "place")
-    uses = function_uses(call_facts(backend), known_tables(backend))
+    uses = function_uses(call_facts(backend), known_tables(backend), orm_classes(backend))
     details = table_details(uses, orm_columns(backend).select("table_name", "column_name"))
     fields = response_fields(backend)
-    rows = matched.withColumn("function_", F.col("route_function"))
+    rows = matched
     for part in (_joined(uses, "table", "database_tables", ";"), _joined(uses, "procedure", "stored_procedures", ","), _joined(uses, "flow", "flow_calls", ","), details):
-        rows = rows.join(part.withColumnRenamed("function", "function_"), "function_", "left")
+        rows = rows.join(part.withColumnsRenamed({"path": "route_path", "function": "route_function"}), ["route_path", "route_function"], "left")
     rows = rows.withColumn("model", model_name("route_response_model")).join(fields, "model", "left")
     return mapping_rows(rows.select(
         _file("path").alias("frontend_file"), F.col("function").alias("frontend_function"), F.col("method").alias("http_method"), F.col("url").alias("frontend_url"),

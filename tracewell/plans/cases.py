@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.plans.actions import action_mapping
-from tracewell.plans.code import backend_routes, call_facts, code_references, frontend_calls, function_uses, known_tables, model_fields, nested_fields, orm_columns
+from tracewell.plans.code import backend_routes, call_facts, code_references, frontend_calls, function_uses, known_tables, model_fields, nested_fields, orm_classes, orm_columns
 from tracewell.plans.lineage import success_rate, view_lineage
 from tracewell.plans.procedures import column_uses, profile, variables
 
@@ -58,7 +58,7 @@ def procedure_variable_cases(spark: SparkSession, _: str) -> DataFrame:
 
 
 def procedure_column_cases(spark: SparkSession, _: str) -> DataFrame:
-    return column_uses(spark, [(n, s, d) for n, d, s in PROCEDURES])
+    return column_uses(_procedures(spark))
 
 
 def code_reference_cases(spark: SparkSession, _: str) -> DataFrame:
@@ -75,11 +75,11 @@ def nested_field_cases(spark: SparkSession, _: str) -> DataFrame:
 
 def function_use_cases(spark: SparkSession, _: str) -> DataFrame:
     files = _files(spark)
-    return function_uses(call_facts(files), known_tables(files))
+    return function_uses(call_facts(files), known_tables(files), orm_classes(files))
 
 
 def frontend_call_cases(spark: SparkSession, _: str) -> DataFrame:
-    return frontend_calls(_files(spark))
+    return frontend_calls(_files(spark), bases={"V2_URL": "/api/v2"})
 
 
 def backend_route_cases(spark: SparkSession, _: str) -> DataFrame:
@@ -88,7 +88,7 @@ def backend_route_cases(spark: SparkSession, _: str) -> DataFrame:
 
 def action_mapping_cases(spark: SparkSession, _: str) -> DataFrame:
     files = _files(spark)
-    return action_mapping(files.where("extension = 'ts'"), files.where("extension = 'py'"), [("alpha/", "/api/v2")])
+    return action_mapping(files.where("extension = 'ts'"), files.where("extension = 'py'"), [("alpha/", "/api/v2")], {"V2_URL": "/api/v2"})
 
 
 QUERIES = {f.__name__: f for f in (view_lineage_cases, view_success_cases, procedure_profile_cases, procedure_variable_cases, procedure_column_cases, code_reference_cases, orm_column_cases, nested_field_cases, function_use_cases, frontend_call_cases, backend_route_cases, action_mapping_cases)}

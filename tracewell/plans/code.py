@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import ast
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from itertools import count
+from types import MappingProxyType
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -170,6 +171,16 @@ def orm_columns(files: DataFrame) -> DataFrame:
     return by_file(files, find, "table_name string, column_name string").distinct()
 
 
+def orm_classes(files: DataFrame) -> DataFrame:
+    """class and table_name of mapped classes; of classes with one name, the last by path."""
+    def find(content: str) -> list[tuple]:
+        classes = (n for n in ast.walk(parsed(content) or ast.Module([], [])) if isinstance(n, ast.ClassDef))
+        return [(c.name, str(s.value.value)) for c in classes for s in c.body if isinstance(s, ast.Assign) and isinstance(s.value, ast.Constant) and any(isinstance(t, ast.Name) and t.id == "__tablename__" for t in s.targets)]
+
+    found = by_file(files, find, "class string, table_name string")
+    return found.groupBy("class").agg(F.max_by("table_name", F.struct("path", "table_name")).alias("table_name"))
+
+
 def model_fields(files: DataFrame) -> DataFrame:
     """path, model, field, annotation and whether it is optional, of classes named as models of responses."""
     def find(content: str) -> list[tuple]:
@@ -206,7 +217,7 @@ def known_tables(files: DataFrame) -> DataFrame:
 # Calls in Python
 
 def call_facts(files: DataFrame) -> DataFrame:
-    """path, function, kind (call, string, attribute, procedure, flow) and name: what each function of a file mentions."""
+    """path, function, kind (call, string, class, procedure, flow) and name: what each function of a file mentions."""
     def name_of(n: ast.AST) -> str | None:
         return n.id if isinstance(n, ast.Name) else n.attr if isinstance(n, ast.Attribute) else None
 
@@ -216,6 +227,7 @@ def call_facts(files: DataFrame) -> DataFrame:
             services = {i.optional_vars.id for w in ast.walk(f) if isinstance(w, ast.With | ast.AsyncWith) for i in w.items if isinstance(i.optional_vars, ast.Name) and isinstance(i.context_expr, ast.Call) and "flow" in (name_of(i.context_expr.func) or "").lower()}
             for n in ast.walk(f):
                 if isinstance(n, ast.Call):
+                    rows.update((f.name, "class", a.id) for a in n.args if isinstance(a, ast.Name) and a.id[:1].isupper())
                     if isinstance(n.func, ast.Name) and n.func.id not in SKIPPED_CALLS:
                         rows.add((f.name, "call", n.func.id))
                     if isinstance(n.func, ast.Attribute):
@@ -231,7 +243,7 @@ def call_facts(files: DataFrame) -> DataFrame:
                     if name_of(n.value) == PROCEDURE_PREFIX.rstrip("."):
                         rows.add((f.name, "procedure", n.attr.upper()))
                     elif isinstance(n.value, ast.Name):
-                        rows.add((f.name, "attribute", n.value.id))
+                        rows.add((f.name, "class", n.value.id))
                 elif isinstance(n, ast.Constant) and isinstance(n.value, str):
                     rows.add((f.name, "string", n.value))
         return sorted(rows)
@@ -243,35 +255,46 @@ CALLED = r"(?i)\bCALL\s+(?:IDENTIFIER\s*\(\s*')?([\w.]+)|\bCREATE\s+(?:OR\s+REPL
 
 
 def function_uses(facts: DataFrame, tables: DataFrame, models: DataFrame | None = None, depth: int = 5) -> DataFrame:
-    """function, kind (table, procedure, flow) and name, of a function itself and of all that it calls in up to `depth` steps.
+    """path, function, kind (table, procedure, flow) and name, of a function itself and of all that it calls in up to `depth` steps.
 
-    tables: known table_names. models: class and table_name, for attributes of mapped classes.
+    Functions of one name in several files are different: a call goes to the function of its own file, else to that of
+    the last file (by path) that has one. tables: known table_names. models: class and table_name of mapped classes,
+    which a function uses when it mentions them.
     """
+    at = ["path", "function"]
     names = tables.select(F.upper("table_name").alias("name")).distinct()
     strings = facts.where("kind = 'string'")
-    in_sql = strings.where("length(name) > 20").select("function", F.explode(sql_tables("name")).alias("name")).select("function", F.upper("name").alias("name")).join(names, "name", "left_semi")
-    plain = strings.select("function", F.upper("name").alias("name")).join(names, "name", "left_semi")
+    in_sql = strings.where("length(name) > 20").select(*at, F.explode(sql_tables("name")).alias("name")).select(*at, F.upper("name").alias("name")).join(names, "name", "left_semi")
+    plain = strings.select(*at, F.upper("name").alias("name")).join(names, "name", "left_semi")
     used = in_sql.unionByName(plain)
     if models is not None:
-        used = used.unionByName(facts.where("kind = 'attribute'").join(models, F.col("name") == models["class"]).select("function", F.upper(models["table_name"]).alias("name")))
-    called = strings.select("function", F.upper(F.concat(F.regexp_extract("name", CALLED, 1), F.regexp_extract("name", CALLED, 2))).alias("name")).where("name != ''")
-    kinds = used.withColumn("kind", F.lit("table")).unionByName(called.withColumn("kind", F.lit("procedure"))).unionByName(facts.where("kind in ('procedure', 'flow')").select("function", "name", "kind"))
-    kinds = kinds.select("function", "kind", "name").distinct()
-    defined = facts.select(F.col("function").alias("name")).distinct()
-    edges = facts.where("kind = 'call'").join(defined, "name", "left_semi").select(F.col("function").alias("caller"), F.col("name").alias("callee"))
-    below = reachable(edges, "caller", "callee", depth).select(F.col("source").alias("caller"), F.col("target").alias("function"))
-    return kinds.unionByName(below.join(kinds, "function").select(F.col("caller").alias("function"), "kind", "name")).distinct()
+        mapped = models.select(F.col("class").alias("name"), F.upper("table_name").alias("mapped"))
+        used = used.unionByName(facts.where("kind = 'class'").join(mapped, "name").select(*at, F.col("mapped").alias("name")))
+    called = strings.select(*at, F.upper(F.concat(F.regexp_extract("name", CALLED, 1), F.regexp_extract("name", CALLED, 2))).alias("name")).where("name != ''")
+    kinds = used.withColumn("kind", F.lit("table")).unionByName(called.withColumn("kind", F.lit("procedure"))).unionByName(facts.where("kind in ('procedure', 'flow')").select(*at, "name", "kind"))
+    kinds = kinds.select(F.struct(*at).alias("node"), "kind", "name").distinct()
+    defined = facts.select(*at).distinct()
+    own = defined.select("path", F.col("function").alias("name"), F.col("path").alias("own"))
+    last = defined.groupBy(F.col("function").alias("name")).agg(F.max("path").alias("last"))
+    calls = facts.where("kind = 'call'").join(own, ["path", "name"], "left").join(last, "name", "left")
+    edges = calls.select(F.struct(*at).alias("caller"), F.struct(F.coalesce("own", "last").alias("path"), F.col("name").alias("function")).alias("callee")).where("callee.path is not null")
+    below = reachable(edges, "caller", "callee", depth).select(F.col("source").alias("caller"), F.col("target").alias("node"))
+    return kinds.unionByName(below.join(kinds, "node").select(F.col("caller").alias("node"), "kind", "name")).distinct().select("node.*", "kind", "name")
 
 
 # Front end and routes
 
-CALL = re.compile(r"""\b(?:tsClient|client)(?:\.|\[["'])(get|post|put|patch|delete)(?:["']\])?\b""", re.I)
 FUNCTION = re.compile(r"(?:export\s+)?(?:async\s+)?function\s+(\w+)|(?:export\s+)?(?:const|let|var)\s+(\w+)\s*(?::[^=]+)?=\s*(?:async\s*)?(?:\([^)]*\)|\w+)\s*(?::[^=]+)?=>")
 URL = re.compile(r"""[`"']([^`"']*)[`"']""")
 
 
-def frontend_calls(files: DataFrame, window: int = 10) -> DataFrame:
-    """path, line, function, method and url of API calls; comment lines and downloads of blobs are none."""
+def frontend_calls(files: DataFrame, window: int = 10, bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",)) -> DataFrame:
+    """path, line, function, method and url of API calls; comment lines and downloads of blobs are none.
+
+    bases: texts of URL variables. clients: names of the objects whose methods are calls.
+    """
+    call_of = re.compile(rf"""\b(?:{"|".join(map(re.escape, clients))})(?:\.|\[["'])(get|post|put|patch|delete)(?:["']\])?\b""", re.I)
+
     def url_in(text: str) -> str | None:
         return next((u for u in URL.findall(text) if u.startswith("/") or "${" in u or "api" in u or "workflow" in u), None)
 
@@ -288,7 +311,7 @@ def frontend_calls(files: DataFrame, window: int = 10) -> DataFrame:
             if m := re.search(r"(?:const|let|var)\s+(\w+)\s*=\s*(.*)", line):
                 if u := url_in(m[2] or (lines[k + 1] if k + 1 < len(lines) else "")):
                     assigned[m[1]] = u
-            if (m := CALL.search(line)) and current:
+            if (m := call_of.search(line)) and current:
                 call = "\n".join(lines[k : k + window])[m.start() :].split(";")[0]
                 if re.search(r"blob|responseType:", call):
                     continue
@@ -298,7 +321,7 @@ def frontend_calls(files: DataFrame, window: int = 10) -> DataFrame:
         return rows
 
     found = by_file(files, find, "line long, function string, method string, url string")
-    return found.withColumn("url", normal_url("url")).where(F.length("url") > 3).dropDuplicates(["path", "line", "method"])
+    return found.withColumn("url", normal_url("url", bases)).where(F.length("url") > 3).dropDuplicates(["path", "line", "method"])
 
 
 def backend_routes(files: DataFrame, prefixes: list[tuple[str, str]] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.operators.closure import ROUNDS
-from tracewell.plans.sql_scopes import scopes_of
+from tracewell.plans.sql_scopes import as_definitions, scopes_of
 from tracewell.storage import stored
 
 PLACE = ["object", "scope", "branch"]
@@ -24,7 +24,8 @@ def bind(items: DataFrame, sources: DataFrame, catalog: DataFrame | None = None)
     refs = items.select(*PLACE, "ordinal", "out_col", "expr", "direct", F.explode_outer("refs").alias("ref")).select("*", F.col("ref.qualifier").alias("qualifier"), F.col("ref.col").alias("src_col")).drop("ref")
     puts = items.select("object", F.col("scope").alias("target"), F.col("out_col").alias("src_col")).distinct().withColumn("puts", F.lit(True))
     known = (catalog if catalog is not None else items.sparkSession.createDataFrame([], "table_name string, column_names string")).select(F.lower(F.split_part("table_name", F.lit("."), F.lit(-1))).alias("_table"), F.lower("column_names").alias("_column")).distinct().withColumn("known", F.lit(True))
-    pairs = refs.where("src_col is not null").join(sources, PLACE).where(F.col("qualifier").isNull() | (F.col("qualifier") == F.col("alias")))
+    # aliases with # are queries inside expressions: only their own reference leads to them
+    pairs = refs.where("src_col is not null").join(sources, PLACE).where((F.col("qualifier").isNull() & ~F.col("alias").startswith("#")) | (F.col("qualifier") == F.col("alias")))
     pairs = pairs.join(puts, ["object", "target", "src_col"], "left")
     pairs = pairs.join(known, (F.lower(F.split_part("target", F.lit("."), F.lit(-1))) == F.col("_table")) & (F.col("src_col") == F.col("_column")) & (F.col("kind") == "base"), "left")
     sure = F.col("puts").isNotNull() | F.col("known").isNotNull()
@@ -110,9 +111,12 @@ def emit(objects: DataFrame, resolved: DataFrame, drop_unknown: bool = False) ->
     return lineage.unionByName(failed)
 
 
-def view_lineage(spark: SparkSession, definitions: Iterable[tuple[str, str | None]], catalog: DataFrame | None = None) -> DataFrame:
-    """VIEW_TO_SOURCE_COLUMN_LINEAGE of (name, ddl) pairs; catalog (table_name, column_names) settles unqualified names."""
-    objects, items, sources = scopes_of(spark, definitions)
+def view_lineage(spark: SparkSession, definitions: DataFrame | Iterable[tuple[str, str | None]], catalog: DataFrame | None = None) -> DataFrame:
+    """VIEW_TO_SOURCE_COLUMN_LINEAGE of definitions (name, ddl); catalog (table_name, column_names) settles unqualified names."""
+    read = stored(scopes_of(as_definitions(spark, definitions)), "scopes")
+    objects = read.drop("items", "sources")
+    items = read.select("object", F.explode("items").alias("i")).select("object", "i.*")
+    sources = read.select("object", F.explode("sources").alias("s")).select("object", "s.*")
     edges = stored(bind(items, sources, catalog), "lineage-edges")  # every step of the closure reads them
     return emit(objects, resolve(objects, items, edges))
 

@@ -1,147 +1,268 @@
-"""Stored procedures: variables, language, temporary tables, cursors, dynamic SQL and the columns that they use."""
+"""Stored procedures: variables, language, temporary tables, cursors, dynamic SQL and the columns that they use.
+
+A definition is read in the task that holds its row, statement by statement from its tokens; only flat rows come out.
+"""
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterator
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.functions.predicates import matches, table_like_value
-from tracewell.plans.sql_scopes import STAR, Node, dialect, listed, tree
+from tracewell.functions.predicates import table_like_value
+from tracewell.plans.sql_scopes import Scopes
+from tracewell.plans.sql_text import Part, chain, is_name, is_query, is_sign, is_word, nested, split, tokens
 from tracewell.schemas import PROCEDURE_COLUMNS
 
-DEFINITION = "procedure_definition"
-#: In order: what a later form assigns replaces what an earlier one did.
-ASSIGNMENTS = (
-    r"(?i)(\w+)\s*:=\s*'([A-Za-z_][\w.]*)'",
-    r"(?i)LET\s+(\w+)\s+\w+\s*:=\s*'([A-Za-z_][\w.]*)'",
-    r"(?i)SET\s+(\w+)\s*=\s*'([A-Za-z_][\w.]*)'",
-    r"(?i)(\w+)\s*:=\s*'?([A-Za-z_][\w.]*)'?\s*\|\|[^;]*RANDSTR",
-)
-TEMP_TABLE = r"(?i)CREATE\s+(?:OR\s+REPLACE\s+)?TEMP(?:ORARY)?\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?(?:IDENTIFIER\s*\(\s*:?([\w.]+)\s*\)|([\w.]+))"
-CURSOR = r"(?i)LET\s+(\w+)\s+CURSOR\s+FOR"
-DYNAMIC = r"(?i)EXECUTE\s+IMMEDIATE|DYNAMIC_SQL\s*:=|\|\|\s*'|IDENTIFIER\s*\(\s*\?"
+STATEMENTS = ("WITH", "SELECT", "INSERT", "UPDATE", "DELETE", "MERGE", "CREATE")
+#: Labels of the relationship relation.
+CREATES, USES_TABLE = "PROCEDURE_CREATES_TABLE", "USES_TABLE"
+
+
+def lines_of(definition: str | None) -> list[list[Part]]:
+    """The tokens of each statement, flat."""
+    return split(list(tokens(definition or "")), lambda t: is_sign(t, ";"))
+
+
+def literal(t: Part | None) -> str | None:
+    """What a quoted text says, in either kind of quotes."""
+    return None if t is None or isinstance(t, list) else t.text if t.kind == "string" else t.own if t.kind == "quoted" else None
+
+
+def assigned(statements: list[list[Part]]) -> dict[str, str]:
+    """Names given a text by := or SET =, or a made-up one that starts with a text or name; the last one given holds."""
+    found: dict[str, str] = {}
+    for parts in statements:
+        for i, t in enumerate(parts[:-1]):
+            equals = is_sign(t, "=") and i >= 2 and is_word(parts[i - 2], "SET")
+            if not (i and (is_sign(t, ":=") or equals)):
+                continue
+            place = i - 1
+            if place >= 2 and is_word(parts[place - 2], "LET"):  # LET name type := ...
+                place -= 1
+            value, after = parts[i + 1], parts[i + 2 :]
+            text = literal(value)
+            if text is None and is_name(value) and any(is_word(x, "RANDSTR") for x in after):
+                text = value.own
+            if text is not None and is_name(parts[place]):
+                found[parts[place].own] = text
+    return found
+
+
+def of_definitions(procedures: DataFrame, read: Callable[..., list[tuple]], schema: str) -> DataFrame:
+    """Rows that `read` finds in each (name, schema, definition), after the name."""
+    columns = ["procedure_name", *(c.split()[0] for c in schema.split(", "))]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(n, *row) for n, s, d in zip(*(frame[c] for c in frame.columns), strict=True) for row in read(s, d)]
+            yield pd.DataFrame(rows, columns=columns)
+
+    given = procedures.select("procedure_name", "procedure_schema", "procedure_definition")
+    return given.mapInPandas(run, f"procedure_name string, {schema}")
 
 
 def variables(procedures: DataFrame) -> DataFrame:
     """procedure_name, variable and the table-like text that it holds."""
-    def assigned(form: int, pattern: str) -> Column:
-        names, values = (F.regexp_extract_all(DEFINITION, F.lit(pattern), i) for i in (1, 2))
-        return F.transform(F.arrays_zip(names.alias("variable"), values.alias("value")), lambda v, i: F.struct(F.lit(form).alias("form"), i.alias("at"), v["variable"].alias("variable"), v["value"].alias("value")))
+    found = of_definitions(procedures, lambda _, d: list(assigned(lines_of(d)).items()), "variable string, value string")
+    return found.where(table_like_value("value"))
 
-    found = [assigned(k, p) for k, p in enumerate(ASSIGNMENTS)]
-    rows = procedures.select("procedure_name", F.explode(F.concat(*found)).alias("v")).select("procedure_name", "v.*")
-    return rows.where(table_like_value("value")).groupBy("procedure_name", "variable").agg(F.max_by("value", F.struct("form", "at")).alias("value"))
 
+def language(statements: list[list[Part]]) -> str:
+    named = {parts[i + 1].text for parts in statements for i, t in enumerate(parts[:-1]) if is_word(t, "LANGUAGE") and is_name(parts[i + 1])}
+    return "MIXED" if {"PYTHON", "SQL"} <= named else "PYTHON" if "PYTHON" in named else "SQL"
 
-def language(c: str | Column = DEFINITION) -> Column:
-    python, sql = matches(c, r"LANGUAGE\s+PYTHON"), matches(c, r"LANGUAGE\s+SQL")
-    return F.when(python & sql, "MIXED").when(python, "PYTHON").otherwise("SQL")
 
+def created(parts: list[Part]) -> tuple[str, bool, int] | None:
+    """Of a nested CREATE TABLE: the table, whether it is temporary, and where what follows the name starts."""
+    at = next((i for i, t in enumerate(parts[:6]) if is_word(t, "TABLE")), None)
+    if at is None or not is_word(parts[0], "CREATE"):
+        return None
+    temporary, i = any(is_word(t, "TEMP", "TEMPORARY") for t in parts[:at]), at + 1
+    while i < len(parts) and is_word(parts[i], "IF", "NOT", "EXISTS"):
+        i += 1
+    name, i = relation(parts, i)
+    return (name, temporary, i) if name else None
 
-def profile(procedures: DataFrame) -> DataFrame:
-    """One row for each procedure: language, temporary tables, cursors, and whether it makes SQL at run time."""
-    temps = F.transform(F.arrays_zip(F.regexp_extract_all(DEFINITION, F.lit(TEMP_TABLE), 1).alias("a"), F.regexp_extract_all(DEFINITION, F.lit(TEMP_TABLE), 2).alias("b")), lambda t: F.upper(F.concat(t["a"], t["b"])))
-    return procedures.select(
-        "procedure_name",
-        "procedure_schema",
-        language().alias("language"),
-        F.array_sort(F.array_distinct(temps)).alias("temp_tables"),
-        F.array_sort(F.array_distinct(F.regexp_extract_all(DEFINITION, F.lit(CURSOR), 1))).alias("cursors"),
-        F.coalesce(F.col(DEFINITION).rlike(DYNAMIC), F.lit(False)).alias("dynamic_sql"),
-    )
-
-
-# Which plan nodes use a column how.
-USES = {
-    "condition": {"Join": "USED_AS_JOIN", "Filter": "USED_AS_FILTER", "UnresolvedHaving": "USED_AS_HAVING", "DeleteFromTable": "USED_AS_DELETE", "UpdateTable": "USED_AS_FILTER"},
-    "havingCondition": {"UnresolvedHaving": "USED_AS_HAVING"},
-    "projectList": {"Project": "USED_AS_SELECT"},
-    "aggregateExpressions": {"Aggregate": "USED_AS_SELECT"},
-    "groupingExpressions": {"Aggregate": "USED_AS_GROUP_BY"},
-    "order": {"Sort": "USED_AS_ORDER_BY"},
-    "mergeCondition": {"MergeIntoTable": "USED_AS_MERGE"},
-    "matchedActions": {"MergeIntoTable": "USED_AS_MERGE"},
-    "notMatchedActions": {"MergeIntoTable": "USED_AS_MERGE"},
-    "assignments": {"UpdateTable": "USED_AS_UPDATE"},
-}
-WRITES = {"InsertIntoStatement": "USED_AS_INSERT", "CreateTableAsSelect": "CREATES_TABLE", "ReplaceTableAsSelect": "CREATES_TABLE", "DeleteFromTable": "USED_AS_DELETE", "UpdateTable": "USED_AS_UPDATE", "MergeIntoTable": "USED_AS_MERGE"}
-#: Statements that say which table they write before the query that they take.
-CREATES = re.compile(r"CREATE\s+(?:OR\s+REPLACE\s+)?(?:TEMP(?:ORARY)?\s+|TRANSIENT\s+)*TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?([\w.`]+)\s+AS\s+(.*)", re.I | re.S)
-
-
-def statements(definition: str, values: dict[str, str]) -> list[str]:
-    """The statements of a body with its variables put in."""
-    text = re.sub(r"--[^\n]*", "", definition)
-    text = re.sub(r"IDENTIFIER\s*\(\s*:?(\w+)\s*\)", lambda m: values.get(m[1], m[1]), text, flags=re.I)
-    text = re.sub(r"IDENTIFIER\s*\(\s*'([^']+)'\s*\)", r"\1", text, flags=re.I)
-    text = re.sub(r"(?is)^.*?\bBEGIN\b", "", text, count=1) if re.search(r"\bBEGIN\b", text, re.I) else text
-    found = (s.strip().strip("$").strip() for s in text.split(";"))
-    keep = re.compile(r"(?is)^(?:.*?\b(?:FOR|DO|THEN|RESULTSET\s+DEFAULT|:=)\s*\(?\s*)?((?:WITH|SELECT|INSERT|UPDATE|DELETE|MERGE|CREATE)\b.*)$")
-    return [m[1].rstrip(") ") if m[1].count(")") > m[1].count("(") else m[1] for s in found if (m := keep.match(s))]
-
-
-def _tables(node: Node, aliases: dict[str, str], ctes: set[str]) -> None:
-    """Aliases of the relations below a plan node."""
-    for n in node.walk():
-        if n.kind == "UnresolvedRelation":
-            name = ".".join(listed(n.fields["multipartIdentifier"]))
-            if name.lower() not in ctes:
-                aliases.setdefault(name.split(".")[-1].lower(), name)
-        elif n.kind == "SubqueryAlias" and n.children[0].kind == "UnresolvedRelation":
-            name = ".".join(listed(n.children[0].fields["multipartIdentifier"]))
-            if name.lower() not in ctes:
-                aliases[n.fields["identifier"]["name"].lower()] = name
-
-
-def uses(plan: Node, found: set[tuple[str, str, str]], ctes: frozenset[str] = frozenset()) -> None:
-    """Adds (table, column, use) of a plan; a column without a qualifier belongs to the only table there is, if there is one."""
-    if plan.kind == "UnresolvedWith":
-        for cte in plan.fields["cteRelations"]:
-            uses(tree(cte["_2"]), found, ctes)
-            ctes = ctes | {cte["_1"].lower()}
-    aliases: dict[str, str] = {}
-    _tables(plan, aliases, set(ctes))
-    for node in plan.walk():
-        if node.kind in WRITES and node.children and node.children[0].kind in ("UnresolvedRelation", "SubqueryAlias"):
-            target: dict[str, str] = {}
-            _tables(node.children[0], target, set())
-            found.update((t.upper(), "*", WRITES[node.kind]) for t in target.values())
-        for field, kinds in USES.items():
-            if node.kind in kinds:
-                for e in node.expressions(field):
-                    for a in e.walk():
-                        if a.kind == "UnresolvedStar":
-                            found.update((t.upper(), "*", kinds[node.kind]) for t in aliases.values())
-                        if a.kind == "UnresolvedAttribute":
-                            parts = listed(a.fields["nameParts"])
-                            table = aliases.get(parts[-2].lower()) if len(parts) > 1 else next(iter(set(aliases.values()))) if len(set(aliases.values())) == 1 else None
-                            if table:
-                                found.add((table.upper(), "*" if parts[-1] == STAR else parts[-1].upper(), kinds[node.kind]))
-
-
-def column_uses(spark: SparkSession, procedures: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """PROCEDURE_COLUMNS of (name, schema, definition) rows, by Spark's parser; temporary tables are left out."""
-    parser, rows = spark._jsparkSession.sessionState().sqlParser(), []
-    for name, schema, definition in procedures:
-        text = definition or ""
-        values = {m[1]: m[2] for p in ASSIGNMENTS for m in re.finditer(p[4:], text, re.I)}
-        temps = {values.get(a or b, a or b).upper() for a, b in re.findall(TEMP_TABLE[4:], text, re.I)}
-        python, sql = bool(re.search(r"LANGUAGE\s+PYTHON", text, re.I)), bool(re.search(r"LANGUAGE\s+SQL", text, re.I))
-        lang = "MIXED" if python and sql else "PYTHON" if python else "SQL"
-        found: set[tuple[str, str, str]] = set()
-        for statement in statements(text, values):
-            if m := CREATES.match(statement):
-                found.add((m[1].strip("`").upper(), "*", "CREATES_TABLE"))
-                statement = m[2]
+
+def relation(parts: list[Part], i: int) -> tuple[str | None, int]:
+    """The table named from i on, IDENTIFIER(...) included, and where it ends."""
+    if i >= len(parts) or not is_name(parts[i]):
+        return None, i
+    names, past = chain(parts, i)
+    if names[-1].upper() == "IDENTIFIER" and past < len(parts) and isinstance(parts[past], list):
+        inside = [t for t in parts[past] if not is_sign(t, ":")]
+        text = literal(inside[0]) if inside else None
+        return text or (".".join(chain(inside, 0)[0]) if inside and is_name(inside[0]) else None), past + 1
+    return ".".join(names), past
+
+
+def bound(parts: list[Part], values: dict[str, str]) -> list[Part]:
+    """Nested tokens with IDENTIFIER(:variable) and IDENTIFIER(variable) replaced by the texts of variables (names in lower case)."""
+    out: list[Part] = []
+    for i, t in enumerate(parts):
+        if isinstance(t, list):
+            after_identifier = i and is_word(parts[i - 1], "IDENTIFIER")
+            inner = [x for x in t if not is_sign(x, ":")] if after_identifier else t
+            if after_identifier and len(inner) == 1 and is_name(inner[0]):
+                inner = list(tokens(f"'{values.get(inner[0].own.lower(), inner[0].own)}'"))
+            out.append(inner if after_identifier else bound(inner, values))
+        else:
+            out.append(t)
+    return out
+
+
+def statements_in(flat: list[Part], values: dict[str, str]) -> Iterator[list[Part]]:
+    """The nested statements of a piece of a body between two semicolons: what follows BEGIN, DO, := and the like, and queries in parentheses before it."""
+    try:
+        parts = bound(nested(iter(flat)), values)
+    except ValueError:  # not SQL: adds nothing
+        return
+    start = next((i for i, t in enumerate(parts) if is_word(t, *STATEMENTS) and not (is_word(t, "CREATE") and any(is_word(x, "PROCEDURE", "FUNCTION") for x in parts[i : i + 6]))), len(parts))
+    for t in parts[:start]:
+        if is_query(t):
+            yield t
+    if start < len(parts):
+        yield parts[start:]
+
+
+class Uses:
+    """(table, column, use) of statements; a column without a qualifier belongs to the only table of its statement, if there is one."""
+
+    def __init__(self):
+        self.found: set[tuple[str, str, str]] = set()
+        self.temporary: set[str] = set()
+
+    def statement(self, parts: list[Part]) -> None:
+        scopes, word = Scopes(), parts[0].text if not isinstance(parts[0], list) else "SELECT"
+        place = ("main", {}, 0)
+        if made := created(parts):
+            name, temporary, i = made
+            self.found.add((name.upper(), "*", CREATES))
+            if temporary:
+                self.temporary.add(name.upper())
+            query = next((parts[k + 1 :] for k in range(i, len(parts)) if is_word(parts[k], "AS")), [])
+            if query:
+                scopes.query(query, "main", {})
+        elif word == "INSERT":
+            into = next((i for i, t in enumerate(parts) if is_word(t, "INTO", "TABLE")), 0)
+            name, i = relation(parts, into + 1)
+            if name:
+                self.found.add((name.upper(), "*", "USED_AS_INSERT"))
+                if i < len(parts) and isinstance(parts[i], list) and not is_query(parts[i]):
+                    self.found |= {(name.upper(), c[0].own.upper(), "USED_AS_INSERT") for c in split(parts[i], lambda t: is_sign(t, ",")) if len(c) == 1 and is_name(c[0])}
+                    i += 1
+                if i < len(parts) and not is_word(parts[i], "VALUES"):
+                    scopes.query(parts[i:], "main", {})
+        elif word == "UPDATE":
+            at = next((i for i, t in enumerate(parts) if is_word(t, "SET")), len(parts))
+            past = next((i for i in range(at, len(parts)) if is_word(parts[i], "FROM", "WHERE")), len(parts))
+            where = next((i for i in range(past, len(parts)) if is_word(parts[i], "WHERE")), len(parts))
+            self._target(parts[1:at], "USED_AS_UPDATE", scopes)
+            scopes._from(parts[past + 1 : where], *place)
+            scopes._use("UPDATE", parts[at + 1 : past], *place)
+            scopes._use("FILTER", parts[where + 1 :], *place)
+        elif word == "DELETE":
+            where = next((i for i, t in enumerate(parts) if is_word(t, "WHERE")), len(parts))
+            using = next((i for i, t in enumerate(parts[:where]) if is_word(t, "USING")), where)
+            self._target(parts[2:using], "USED_AS_DELETE", scopes)
+            scopes._from(parts[using + 1 : where], *place)
+            scopes._use("DELETE", parts[where + 1 :], *place)
+        elif word == "MERGE":
+            using = next((i for i, t in enumerate(parts) if is_word(t, "USING")), len(parts))
+            on = next((i for i in range(using, len(parts)) if is_word(parts[i], "ON")), len(parts))
+            self._target(parts[2:using], "USED_AS_MERGE", scopes)
+            scopes._from(parts[using + 1 : on], *place)
+            clauses = [t for t in parts[on + 1 :] if not is_word(t, "MATCHED", "UPDATE", "INSERT", "DELETE", "SET", "VALUES")]
+            scopes._use("MERGE", clauses, *place)
+        else:
+            scopes.query(parts, "main", {})
+        self._bind(scopes)
+
+    def _target(self, parts: list[Part], use: str, scopes: Scopes) -> None:
+        scopes._from(parts, "main", {}, 0)
+        self.found |= {(s[5].upper(), "*", use) for s in scopes.sources if s[4] == "base"}
+
+    def _bind(self, scopes: Scopes) -> None:
+        base = {(s[0], s[1], s[3]): s[5] for s in scopes.sources if s[4] == "base"}
+        inner = {(s[0], s[1], s[3]) for s in scopes.sources if s[4] == "scope" and not s[3].startswith("#")}
+        tables = {t.upper() for t in base.values()}
+        anywhere = {alias: table for (_, _, alias), table in base.items()}
+        for use, scope, branch, qualifier, column in scopes.uses:
+            if qualifier is not None:
+                key = scope, branch, qualifier
+                table = base.get(key) or (None if key in inner else anywhere.get(qualifier))
+                of = {table.upper()} if table else set()
+            elif column == "*":
+                of = {t.upper() for (s, b, _), t in base.items() if (s, b) == (scope, branch)}
+            else:
+                own = {t.upper() for (s, b, _), t in base.items() if (s, b) == (scope, branch)}
+                of = own if len(own) == 1 and not any(k[:2] == (scope, branch) for k in inner) else tables if len(tables) == 1 else set()
+            self.found |= {(t, column.upper(), f"USED_AS_{use}") for t in of}
+        self.found |= {(t, "*", USES_TABLE) for t in tables}
+
+
+def used_columns(schema: str | None, definition: str | None) -> list[tuple]:
+    """schema, language, table, column and use of one procedure; temporary tables are left out."""
+    flat = lines_of(definition)
+    values, uses = {k.lower(): v for k, v in assigned(flat).items()}, Uses()
+    for piece in flat:
+        for statement in statements_in([t for t in piece if not is_sign(t, "$$")], values):
             try:
-                uses(tree(json.loads(parser.parsePlan(dialect(statement)).toJSON())), found)
-            except Exception:  # a statement that the parser refuses adds nothing
+                uses.statement(statement)
+            except (ValueError, IndexError, AttributeError, RecursionError):  # not SQL: adds nothing
                 continue
-        rows += [(name.upper(), (schema or "").upper(), lang, t, c, use) for t, c, use in found if t not in temps]
-    out = spark.createDataFrame(rows, PROCEDURE_COLUMNS)
-    key = [c for c in out.columns if c != "relationship_types"]
-    return out.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set("relationship_types")), ",").alias("relationship_types"))
+    lang = language(flat)
+    return [((schema or "").upper(), lang, *row) for row in sorted(uses.found) if row[0] not in uses.temporary]
+
+
+def profile(procedures: DataFrame) -> DataFrame:
+    """One row for each procedure: language, temporary tables, cursors, and whether it makes SQL at run time."""
+
+    def read(schema: str | None, definition: str | None) -> list[tuple]:
+        flat = lines_of(definition)
+        temps, cursors, dynamic = set(), set(), False
+        for piece in flat:
+            for i, t in enumerate(piece):
+                if is_word(t, "CREATE") and (made := _safely(partial(created, nested_rest(piece[i:])))) and made[1]:
+                    temps.add(made[0].upper())
+                if is_word(t, "CURSOR") and i and is_name(piece[i - 1]) and i + 1 < len(piece) and is_word(piece[i + 1], "FOR"):
+                    cursors.add(piece[i - 1].own)
+                follows = piece[i + 1] if i + 1 < len(piece) else None
+                dynamic |= is_word(t, "EXECUTE") and is_word(follows, "IMMEDIATE") or is_sign(t, "||") and getattr(follows, "kind", "") == "string"
+                dynamic |= is_word(t, "DYNAMIC_SQL") and is_sign(follows, ":=") or is_word(t, "IDENTIFIER") and is_sign(follows, "(") and i + 2 < len(piece) and is_sign(piece[i + 2], "?")
+        return [(schema, language(flat), sorted(temps), sorted(cursors), dynamic)]
+
+    return of_definitions(procedures, read, "procedure_schema string, language string, temp_tables array<string>, cursors array<string>, dynamic_sql boolean")
+
+
+def nested_rest(flat: list[Part]) -> list[Part]:
+    """As much of flat as nests."""
+    depth, past = 0, len(flat)
+    for k, t in enumerate(flat):
+        depth += is_sign(t, "(") - is_sign(t, ")")
+        if depth < 0:
+            past = k
+            break
+    opened = [k for k in range(past) if is_sign(flat[k], "(")]
+    while depth > 0 and opened:
+        past, depth = opened.pop(), depth - 1
+    return _safely(lambda: nested(iter(flat[:past]))) or []
+
+
+def _safely(read: Callable):
+    try:
+        return read()
+    except (ValueError, IndexError):
+        return None
+
+
+def column_uses(procedures: DataFrame) -> DataFrame:
+    """PROCEDURE_COLUMNS of a table of procedures (procedure_name, procedure_schema, procedure_definition)."""
+    found = of_definitions(procedures, used_columns, "sp_schema string, sp_language string, table_name string, column_name string, use string")
+    keys = [F.upper("procedure_name").alias("sp_name"), "sp_schema", "sp_language", "table_name", "column_name"]
+    out = found.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("use")), ",").alias("relationship_types"))
+    return out.select(*(c.strip().split()[0] for c in PROCEDURE_COLUMNS.split(",")))

@@ -280,11 +280,12 @@ def route_matching(spark, d):
     return match_routes(calls, routes, "path", "path", "method", "place", threshold=0.4).select("method", "path", F.col("route_path").alias("route"))
 
 
-@query("""SELECT page_id, regexp_replace(regexp_replace('/v1/' || page_id || '/{user_id}', '\\?.*$', ''), 'x^', '') AS route, len(list_intersect(list_distinct(string_split(url, '/')), list_distinct(string_split('https://a/en/b', '/')))) * 1.0 / len(list_distinct(list_concat(string_split(url, '/'), string_split('https://a/en/b', '/')))) AS similarity FROM pages""")
+@query("""SELECT page_id, '/api/v1/' || lower(split_part(url, '/', 4)) || '/{' || CASE WHEN page_id % 2 = 0 THEN 'userId' ELSE 'user_id' END || '}' AS route, len(list_intersect(list_distinct(string_split(url, '/')), list_distinct(string_split('https://a/en/b', '/')))) * 1.0 / len(list_distinct(list_concat(string_split(url, '/'), string_split('https://a/en/b', '/')))) AS similarity FROM pages""")
 def url_templates(spark, d):
     """URL normalisation and segment similarity."""
-    template = F.concat(F.lit("${V2_URL}/v1/"), F.col("page_id").cast("string"), F.lit("/${params.userId}?page=${p}"))
-    return table(spark, d, "pages").select("page_id", normal_url(template).alias("route"), segment_similarity("url", F.lit("https://a/en/b")).alias("similarity"))
+    place = F.lower(F.split_part("url", F.lit("/"), F.lit(4)))
+    template = F.concat(F.lit("${BASE_URL}/v1/"), place, F.when(F.col("page_id") % 2 == 0, "/${params.userId}").otherwise("/${userId}"), F.lit("?page=${p}"))
+    return table(spark, d, "pages").select("page_id", normal_url(template, {"BASE_URL": "/api"}).alias("route"), segment_similarity("url", F.lit("https://a/en/b")).alias("similarity"))
 
 
 @query("""SELECT c_custkey, 'market_segment_' || lower(c_mktsegment) AS snake, c_name AS last, split_part(c_name, '#', 1) || '...' AS short, 'https://h/#/pinboard/' || c_custkey AS link FROM customer""")
