@@ -177,3 +177,11 @@ def test_functions_of_one_name_and_mapped_classes(spark):
     rows = action_mapping(code(frontend), code(backend), [("api/", "/api")], {"API_URL": "/api"}, ("client", "tsClient")).collect()
     got = {r["frontend_function"]: (r["backend_file"], r["database_tables"], r["table_column_details"]) for r in rows}
     assert got["loadB2"] == ("b.py", "TAB_B", "TAB_B:[IDB]")
+
+
+def test_contained_names_of_any_length(spark):
+    from tracewell.operators.joins import contained_names
+
+    texts = spark.createDataFrame([("select a from t1",), ("x",), ("",), (None,)], "text string")
+    names = spark.createDataFrame([("t1",), ("x",), ("from",), ("none",), ("",), (None,)], "name string")
+    assert {(r["text"], r["name"]) for r in contained_names(texts, names, "text", "name").collect()} == {("select a from t1", "t1"), ("select a from t1", "from"), ("x", "x")}

@@ -62,6 +62,11 @@ def word_references(files: DataFrame, names: DataFrame, content: str, name: str)
     return found.unionByName(checked)
 
 
+def _grams(text: str, size: int) -> Column:
+    """What has this many characters from each place of a text."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i: F.substr(F.col(text), i, F.lit(size)))
+
+
 def contained_names(texts: DataFrame, names: DataFrame, text: str, name: str) -> DataFrame:
     """Texts and the known names that are substrings of them: the columns of both. Empty names are in none.
 
@@ -70,8 +75,7 @@ def contained_names(texts: DataFrame, names: DataFrame, text: str, name: str) ->
     numbered = texts.withColumn("_text", F.xxhash64(*texts.columns))
     likely = None
     for size in (3, 2, 1):
-        gram = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i, size=size: F.substr(F.col(text), i, F.lit(size)))
-        grams = numbered.select("_text", F.explode(F.array_distinct(gram)).alias("_gram"))
+        grams = numbered.select("_text", F.explode(F.array_distinct(_grams(text, size))).alias("_gram"))
         keyed = names.where(F.length(name) >= 3 if size == 3 else F.length(name) == size).withColumn("_start", F.left(F.col(name), F.lit(size)))
         found = grams.join(keyed, grams["_gram"] == keyed["_start"]).select("_text", *names.columns).distinct()
         likely = found if likely is None else likely.unionByName(found)
