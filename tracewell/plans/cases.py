@@ -92,3 +92,14 @@ def action_mapping_cases(spark: SparkSession, _: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (view_lineage_cases, view_success_cases, procedure_profile_cases, procedure_variable_cases, procedure_column_cases, code_reference_cases, orm_column_cases, nested_field_cases, function_use_cases, frontend_call_cases, backend_route_cases, action_mapping_cases)}
+
+#: Rows worked out by hand from the definitions above.
+SQL = {
+    "view_lineage_cases": """SELECT * FROM (VALUES
+('V_ORDERS', 'ORDER_ID', 'DIRECT', 'SALES.ORDERS', 'ORDER_ID', ''), ('V_ORDERS', 'TOTAL', 'DERIVED', 'SALES.ITEMS', 'PRICE; QTY', 'MUL'),
+('V_STARS', 'A', 'DIRECT', 'S.T', 'A', ''), ('V_STARS', 'B', 'DIRECT', 'S.T', 'B', ''),
+('V_TOTALS', 'K', 'DIRECT', 'S.T', 'K', ''), ('V_TOTALS', 'TOT', 'DERIVED', 'S.T', 'V', 'SUM'),
+('V_BAD', 'ERROR', 'ERROR', 'DDL_NOT_FOUND', 'DDL_NOT_FOUND', 'ERROR')) t(view_name, view_column, column_type, source_table, source_column, expression_type)""",
+    "procedure_variable_cases": "SELECT 'load_orders' AS procedure_name, 'tgt' AS variable, 'SALES.ORDERS_TMP' AS value",
+    "orm_column_cases": "SELECT 'alpha/models.py' AS path, 'ORDERS' AS table_name, 'ORDER_ID' AS column_name",
+}
