@@ -30,14 +30,14 @@ ROUNDS = 16
 
 def roots_and_levels(edges: DataFrame, source: str, target: str) -> DataFrame:
     """Each node's level: the longest chain of edges that leads down from it, 0 for what depends on nothing; nodes on or above cycles have no level."""
-    step = stored(edges.select(F.col(source).alias("node"), F.col(target).alias("below")).distinct(), "levels")
-    nodes = step.select("node").unionByName(step.select(F.col("below").alias("node"))).distinct()
-    done = stored(nodes.join(step.select("node").distinct(), "node", "left_anti").withColumn("level", F.lit(0)), "levels")
+    waiting = stored(edges.select(F.col(source).alias("node"), F.col(target).alias("below")).distinct(), "levels")
+    nodes = waiting.select("node").unionByName(waiting.select(F.col("below").alias("node"))).distinct()
+    done = new = stored(nodes.join(waiting.select("node"), "node", "left_anti").withColumn("level", F.lit(0)), "levels")
     for n in count(1):
-        open_ = step.join(done.select("node"), "node", "left_anti")
-        waiting = open_.join(done.select(F.col("node").alias("below")), "below", "left_anti").select("node").distinct()
-        ready = open_.select("node").distinct().join(waiting, "node", "left_anti")
-        new = stored(ready.withColumn("level", F.lit(n)), "levels")
+        # edges to nodes of the last level are done with; a node follows once it has no other edge
+        below = new.select(F.col("node").alias("below"))
+        touched, waiting = waiting.join(below, "below", "left_semi").select("node").distinct(), stored(waiting.join(below, "below", "left_anti"), "levels")
+        new = stored(touched.join(waiting.select("node"), "node", "left_anti").withColumn("level", F.lit(n)), "levels")
         if new.isEmpty():
             break
         done = done.unionByName(new)
