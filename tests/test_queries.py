@@ -36,6 +36,13 @@ def test_query(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("name", cases.SQL)
+def test_case(spark, duck, name):
+    got, want = cases.QUERIES[name](spark, DATA).toPandas(), duck.execute(cases.SQL[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got) == rows(want)
+
+
 def _cells(df):
     return {tuple(str(v) for v in r) for r in df.collect()}
 
@@ -44,9 +51,9 @@ def test_code_cases(spark):
     refs = _cells(cases.code_reference_cases(spark, ""))
     assert ("alpha", "load", "ORDERS", "CUST_ID", "app.py") in refs and ("alpha", "purge", "ORDERS", "", "app.py") in refs and ("beta", "sync_all", "ORDERS", "CUST_ID", "run.sh") in refs
     assert _cells(cases.orm_column_cases(spark, "")) == {("alpha/models.py", "ORDERS", "ORDER_ID")}
-    assert _cells(cases.frontend_call_cases(spark, "")) == {("web/orders.ts", "3", "loadOrders", "GET", "/orders/{order_id}")}
+    assert _cells(cases.frontend_call_cases(spark, "")) == {("web/orders.ts", "3", "loadOrders", "GET", "/api/v2/orders/{orderId}")}
     assert _cells(cases.backend_route_cases(spark, "")) == {("alpha/routes.py", "2", "get_order", "GET", "/api/v2/orders/{order_id}", "OrderRead")}
-    assert {("purge", "procedure", "LOAD_ORDERS"), ("get_order", "procedure", "LOAD_ORDERS"), ("purge", "table", "ORDERS")} <= _cells(cases.function_use_cases(spark, ""))
+    assert {("alpha/app.py", "purge", "procedure", "LOAD_ORDERS"), ("alpha/routes.py", "get_order", "procedure", "LOAD_ORDERS"), ("alpha/app.py", "purge", "table", "ORDERS")} <= _cells(cases.function_use_cases(spark, ""))
     assert ("OrderRead", "items.sku") in _cells(cases.nested_field_cases(spark, ""))
 
 
@@ -61,7 +68,7 @@ def test_procedure_cases(spark):
 def test_action_mapping(spark):
     rows = cases.action_mapping_cases(spark, "").collect()
     assert [r.asDict() for r in rows] == [{
-        "frontend_file": "orders.ts", "frontend_function": "loadOrders", "http_method": "GET", "frontend_url": "/orders/{order_id}", "backend_file": "routes.py", "backend_function": "get_order",
+        "frontend_file": "orders.ts", "frontend_function": "loadOrders", "http_method": "GET", "frontend_url": "/api/v2/orders/{orderId}", "backend_file": "routes.py", "backend_function": "get_order",
         "backend_route": "/api/v2/orders/{order_id}", "database_tables": "ORDERS", "stored_procedures": "LOAD_ORDERS", "flow_calls": "", "response_model": "OrderRead", "response_fields": "id,items",
         "nested_fields": "items.parent,items.sku", "table_column_details": "ORDERS:[ORDER_ID]",
     }]

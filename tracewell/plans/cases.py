@@ -102,4 +102,25 @@ SQL = {
 ('V_BAD', 'ERROR', 'ERROR', 'DDL_NOT_FOUND', 'DDL_NOT_FOUND', 'ERROR')) t(view_name, view_column, column_type, source_table, source_column, expression_type)""",
     "procedure_variable_cases": "SELECT 'load_orders' AS procedure_name, 'tgt' AS variable, 'SALES.ORDERS_TMP' AS value",
     "orm_column_cases": "SELECT 'alpha/models.py' AS path, 'ORDERS' AS table_name, 'ORDER_ID' AS column_name",
+    "view_success_cases": "SELECT 7::BIGINT AS n_rows, 4::BIGINT AS n_views, 100.0::DOUBLE * 6 / 7 AS success_percent",
+    "procedure_column_cases": """SELECT * FROM (VALUES
+('LOAD_ORDERS', 'API', 'SQL', 'SALES.ORDERS', '*', 'USES_TABLE'), ('LOAD_ORDERS', 'API', 'SQL', 'SALES.ORDERS', 'ORDER_ID', 'USED_AS_SELECT'),
+('LOAD_ORDERS', 'API', 'SQL', 'SALES.ORDERS', 'CUST_ID', 'USED_AS_FILTER'), ('LOAD_ORDERS', 'API', 'SQL', 'SALES.ITEMS', '*', 'USED_AS_UPDATE,USES_TABLE'),
+('LOAD_ORDERS', 'API', 'SQL', 'SALES.ITEMS', 'QTY', 'USED_AS_UPDATE'), ('LOAD_ORDERS', 'API', 'SQL', 'SALES.ITEMS', 'PRICE', 'USED_AS_FILTER'),
+('REFRESH', 'API', 'MIXED', 'CUSTOMERS', '*', 'USES_TABLE'), ('REFRESH', 'API', 'MIXED', 'CUSTOMERS', 'NAME', 'USED_AS_ORDER_BY,USED_AS_SELECT'),
+('REFRESH', 'API', 'MIXED', 'AUDIT', '*', 'USED_AS_INSERT')) t(sp_name, sp_schema, sp_language, table_name, column_name, relationship_types)""",
+    "code_reference_cases": """SELECT * FROM (VALUES
+('alpha', 'load', 'ORDERS', 'ORDER_ID', 'app.py'), ('alpha', 'load', 'ORDERS', 'CUST_ID', 'app.py'), ('alpha', 'purge', 'ORDERS', '', 'app.py'),
+('alpha', 'purge', 'ORDERS', 'ORDER_ID', 'app.py'), ('alpha', 'main_content', 'ORDERS', 'ORDER_ID', 'models.py'), ('alpha', 'get_order', 'ORDERS', 'ORDER_ID', 'routes.py'),
+('beta', 'sync_all', 'ORDERS', 'CUST_ID', 'run.sh')) t(repo_name, function_name, table_name, column_name, file_name)""",
+    "nested_field_cases": """SELECT * FROM (VALUES ('OrderRead', 'id'), ('OrderRead', 'items'), ('OrderRead', 'items.sku'), ('OrderRead', 'items.parent'),
+('ItemRead', 'sku'), ('ItemRead', 'parent'), ('ItemRead', 'parent.id'), ('ItemRead', 'parent.items')) t(model, dotted)""",
+    "function_use_cases": """SELECT * FROM (VALUES
+('alpha/app.py', 'purge', 'table', 'ORDERS'), ('alpha/app.py', 'purge', 'procedure', 'LOAD_ORDERS'), ('alpha/app.py', 'helper', 'procedure', 'LOAD_ORDERS'),
+('alpha/routes.py', 'get_order', 'table', 'ORDERS'), ('alpha/routes.py', 'get_order', 'procedure', 'LOAD_ORDERS')) t(path, "function", kind, name)""",
+    "frontend_call_cases": """SELECT 'web/orders.ts' AS path, 3::BIGINT AS line, 'loadOrders' AS "function", 'GET' AS method, '/api/v2/orders/{orderId}' AS url""",
+    "backend_route_cases": """SELECT 'alpha/routes.py' AS path, 2::BIGINT AS line, 'get_order' AS "function", 'GET' AS method, '/api/v2/orders/{order_id}' AS route, 'OrderRead' AS response_model""",
+    "action_mapping_cases": """SELECT 'orders.ts' AS frontend_file, 'loadOrders' AS frontend_function, 'GET' AS http_method, '/api/v2/orders/{orderId}' AS frontend_url,
+'routes.py' AS backend_file, 'get_order' AS backend_function, '/api/v2/orders/{order_id}' AS backend_route, 'ORDERS' AS database_tables, 'LOAD_ORDERS' AS stored_procedures,
+'' AS flow_calls, 'OrderRead' AS response_model, 'id,items' AS response_fields, 'items.parent,items.sku' AS nested_fields, 'ORDERS:[ORDER_ID]' AS table_column_details""",
 }
