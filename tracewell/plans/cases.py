@@ -93,7 +93,8 @@ def action_mapping_cases(spark: SparkSession, _: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (view_lineage_cases, view_success_cases, procedure_profile_cases, procedure_variable_cases, procedure_column_cases, code_reference_cases, orm_column_cases, nested_field_cases, function_use_cases, frontend_call_cases, backend_route_cases, action_mapping_cases)}
 
-#: Rows worked out by hand from the definitions above.
+#: Rows that the definitions above should give. From view_success_cases on, they were written with the queries' output in view
+#: and checked by hand; function_use_cases takes it as given that names with a schema are no tables there.
 SQL = {
     "view_lineage_cases": """SELECT * FROM (VALUES
 ('V_ORDERS', 'ORDER_ID', 'DIRECT', 'SALES.ORDERS', 'ORDER_ID', ''), ('V_ORDERS', 'TOTAL', 'DERIVED', 'SALES.ITEMS', 'PRICE; QTY', 'MUL'),
