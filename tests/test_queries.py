@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tracewell.plans import cases, queries
+from tracewell.plans import cases, queries, relation_queries  # noqa: F401 (registers its queries)
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where that is unset, as in tests."""
+    """spark.checkpoint.dir; a temporary folder only where that is unset and driver and executors are one process, as in tests."""
     place = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get("dir")
     if not place:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = _OWN["dir"] = "file://" + tempfile.mkdtemp(prefix="tracewell-")
     return place.rstrip("/")
 
