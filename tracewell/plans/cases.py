@@ -102,6 +102,8 @@ SQL = {
 ('V_TOTALS', 'K', 'DIRECT', 'S.T', 'K', ''), ('V_TOTALS', 'TOT', 'DERIVED', 'S.T', 'V', 'SUM'),
 ('V_BAD', 'ERROR', 'ERROR', 'DDL_NOT_FOUND', 'DDL_NOT_FOUND', 'ERROR')) t(view_name, view_column, column_type, source_table, source_column, expression_type)""",
     "procedure_variable_cases": "SELECT 'load_orders' AS procedure_name, 'tgt' AS variable, 'SALES.ORDERS_TMP' AS value",
+    "procedure_profile_cases": """SELECT * FROM (VALUES ('load_orders', 'API', 'SQL', ['TGT'], []::VARCHAR[], true), ('refresh', 'API', 'MIXED', []::VARCHAR[], ['c'], false))
+t(procedure_name, procedure_schema, language, temp_tables, cursors, dynamic_sql)""",
     "orm_column_cases": "SELECT 'alpha/models.py' AS path, 'ORDERS' AS table_name, 'ORDER_ID' AS column_name",
     "view_success_cases": "SELECT 7::BIGINT AS n_rows, 4::BIGINT AS n_views, 100.0::DOUBLE * 6 / 7 AS success_percent",
     "procedure_column_cases": """SELECT * FROM (VALUES
