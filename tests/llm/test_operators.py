@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tracewell.llm import bpe_count, components, decontaminate, html_render, mixing, ngram_join, quality_crf, quotes, rule_lists, token_files, toxicity
+from tracewell.llm import queries as llm_queries
 from tracewell.llm.components import connected_components
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -492,6 +494,33 @@ def test_threads_have_the_depth_of_their_quotes(spark):
     assert all(r["depth"] == r["turn"] and r["thread_turn"] == 0 and r["reply_path"] == list(range(r["turn"] + 1)) for r in got)
 
 
+def test_quotes_against_sql(spark):
+    rng = random.Random(5)
+    rows = [(1, 1, "user", None), (1, 1, "user", "> > A b\n>\n> c"), (1, 1, "user", "> > A b\n>\n> c"), (None, 0, "user", "> c\nd"), (2, None, "x", "a b"), (3, 0, "user", "a b\n\nc\n")]
+    for conv in range(1, 9):
+        said = []
+        for turn in range(14):
+            lines = []
+            for _ in range(rng.randrange(4)):
+                source = rng.choice(said[-2:]) if said and rng.random() < 0.8 else "\n".join(rng.choice("abcd") + " " + rng.choice("EFG") for _ in range(rng.randrange(1, 4)))
+                part = rng.choice([source, rng.choice(source.split("\n")), rng.choice(source.split("\n\n"))])
+                mark = rng.choice(["> ", ">", " > > ", "\t>> "]) if rng.random() < 0.6 else ""
+                lines += [mark + line for line in part.split("\n")] + ([""] if rng.random() < 0.4 else [])
+            said.append(rng.choice(["\n", "\r\n"]).join([*lines, f"new {conv} {turn}"]))
+            rows.append((conv, turn, rng.choice(["user", "assistant"]), said[-1]))
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = quotes.conversations(table)
+    con = duckdb.connect()
+    con.register("conversations", table.toArrow())
+    want = con.execute(llm_queries.SQL["op3_quote_linking"])
+    columns = [c[0] for c in want.description]
+    assert sorted(columns) == sorted(got.columns)
+    want = sorted(repr(r) for r in want.fetchall())
+    assert sorted(repr(tuple(r)) for r in got.select(*columns).collect()) == want
+    found = got.select("n_linked", "depth").collect()
+    assert sum(r["n_linked"] for r in found) > 50 and max(r["depth"] for r in found) > 2
+
+
 def test_quotes_use_no_python(spark):
     table = spark.createDataFrame([(1, 0, "user", "> a\nb")], "conv_id long, turn long, role string, text string")
     plan = quotes.answers(table)._jdf.queryExecution().executedPlan().toString()

@@ -74,6 +74,35 @@ QUERIES = {
     )
 }
 SQL: dict[str, str] = {
+    "op3_quote_linking": r"""
+WITH RECURSIVE m AS MATERIALIZED (SELECT row_number() OVER () AS message, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+l AS (SELECT message, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM (
+  SELECT message, CASE WHEN regexp_matches(text, '(?m)^[ \t]*>') THEN regexp_split_to_array(text, '\r?\n') ELSE [text] END AS lines FROM m)),
+v AS (SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]*)+)', 1), '[ \t]', '', 'g')) AS level FROM l),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY message, level ORDER BY i) AS island FROM v),
+runs AS MATERIALIZED (SELECT message, level, min(i) AS place, string_agg(regexp_replace(line, '^[ \t]*((?:>[ \t]*)+)', ''), chr(10) ORDER BY i) AS body FROM r GROUP BY message, level, island),
+own AS (SELECT message, trim(string_agg(body, chr(10) ORDER BY place), ' ' || chr(9) || chr(10)) AS body FROM runs WHERE level = 0 GROUP BY 1),
+pieces AS (SELECT message, level, place, 0 AS part, body AS piece FROM runs
+  UNION ALL SELECT message, level, place, 1, unnest(regexp_split_to_array(body, '\n[ \t\r]*\n')) FROM runs WHERE contains(body, chr(10))
+  UNION ALL SELECT message, level, place, 2, unnest(string_split(body, chr(10))) FROM runs WHERE contains(body, chr(10))),
+norms AS (SELECT DISTINCT message, level, place, part, trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm FROM pieces),
+placed AS MATERIALIZED (SELECT norms.*, conv_id, turn FROM norms JOIN m USING (message) WHERE norm <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+here AS (SELECT norm, conv_id, min(turn) FILTER (part < 2) AS whole, min(turn) AS here FROM placed WHERE level = 0 GROUP BY 1, 2),
+anywhere AS (SELECT norm, coalesce(min(struct_pack(conv := conv_id, turn := whole)) FILTER (whole IS NOT NULL), min(struct_pack(conv := conv_id, turn := here))) AS spot FROM here GROUP BY 1),
+asked AS (SELECT a.message, a.level, a.place, a.part, a.conv_id, h.whole, h.here, w.spot, coalesce(h.whole < a.turn, false) AS as_whole, CASE WHEN h.whole < a.turn THEN h.whole WHEN h.here < a.turn THEN h.here END AS earlier
+  FROM placed a LEFT JOIN here h ON a.norm = h.norm AND a.conv_id = h.conv_id LEFT JOIN anywhere w ON a.norm = w.norm WHERE a.level > 0),
+passages AS (SELECT message, place, level, count(here) > 0 AS known, count(spot) > 0 AS linked,
+  min(struct_pack(rank := 2 * part + CASE WHEN part < 2 AND NOT as_whole THEN 1 ELSE 0 END, back := -earlier)) FILTER (earlier IS NOT NULL) AS near,
+  min(struct_pack(part := part, spot := spot)) FILTER (whole IS NULL AND earlier IS NULL AND spot.conv <> conv_id) AS far FROM asked GROUP BY 1, 2, 3),
+found AS (SELECT message, count(*) AS n_quotes, count(*) FILTER (linked) AS n_linked, max(struct_pack(nearness := -level, turn := -near.back)) FILTER (near IS NOT NULL) AS best,
+  min(far.spot) FILTER (far.part < 2 OR NOT known) AS elsewhere FROM passages GROUP BY 1),
+answers AS MATERIALIZED (SELECT conv_id, turn, role, coalesce(own.body, '') AS body, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, best.turn AS reply_to, elsewhere.conv AS quotes_conv_id, elsewhere.turn AS quotes_turn
+  FROM m LEFT JOIN own USING (message) LEFT JOIN found USING (message)),
+nodes AS (SELECT conv_id, turn, max(reply_to) AS up FROM answers WHERE reply_to IS NOT NULL GROUP BY 1, 2),
+paths AS (SELECT conv_id, turn, up, [CAST(up AS BIGINT)] AS path FROM nodes UNION ALL SELECT p.conv_id, p.turn, n.up, list_prepend(CAST(n.up AS BIGINT), p.path) FROM paths p JOIN nodes n ON n.conv_id = p.conv_id AND n.turn = p.up),
+longest AS (SELECT conv_id, turn, arg_max(path, len(path)) AS path FROM paths GROUP BY 1, 2)
+SELECT a.*, coalesce(path[1], turn)::BIGINT AS thread_turn, coalesce(len(path), 0)::BIGINT AS depth, list_append(coalesce(path, []::BIGINT[]), turn::BIGINT) AS reply_path
+FROM answers a LEFT JOIN longest USING (conv_id, turn)""",
     "op8_ngram_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
