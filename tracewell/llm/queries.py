@@ -10,6 +10,7 @@ from tracewell.llm.decontaminate import contaminated
 from tracewell.llm.html_render import render_pages
 from tracewell.llm.mixing import taken
 from tracewell.llm.ngram_join import jaccard_components
+from tracewell.llm.packing import pack
 from tracewell.llm.quality_crf import fit_quality, score_quality
 from tracewell.llm.quotes import conversations
 from tracewell.llm.rule_lists import apply_rules, fit_rules
@@ -17,6 +18,7 @@ from tracewell.llm.token_files import token_files
 from tracewell.llm.toxicity import fit_toxicity, score_toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,11 +68,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY), capacity=4096, end_id=1)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_crf, op2_html_render, op3_quote_linking, op4_token_counts, op5_source_mixing,
         op6_rule_lists, op7_toxicity, op8_ngram_join, op9_decontaminate, op10_token_files,
+        op11_best_two_fit,
     )
 }
 SQL: dict[str, str] = {
