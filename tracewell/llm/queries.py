@@ -13,9 +13,11 @@ from tracewell.llm.ngram_join import jaccard_components
 from tracewell.llm.packing import pack
 from tracewell.llm.quality_crf import fit_quality, score_quality
 from tracewell.llm.quotes import conversations
+from tracewell.llm.resampling import resample
 from tracewell.llm.rule_lists import apply_rules, fit_rules
 from tracewell.llm.token_files import token_files
 from tracewell.llm.toxicity import fit_toxicity, score_toxicity
+from tracewell.llm.whitening import whiten
 
 VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -72,12 +74,20 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY), capacity=4096, end_id=1)
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), grams=1, buckets=10_000, percent=10, least_words=20, seed="2024")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_crf, op2_html_render, op3_quote_linking, op4_token_counts, op5_source_mixing,
         op6_rule_lists, op7_toxicity, op8_ngram_join, op9_decontaminate, op10_token_files,
-        op11_best_two_fit,
+        op11_best_two_fit, op12_embedding_whitening, op13_importance_resampling,
     )
 }
 SQL: dict[str, str] = {
@@ -120,4 +130,19 @@ links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY 1) r ON d.doc_id = r.a""",
+    "op13_importance_resampling": r"""
+WITH texts AS (SELECT doc_id, true AS own, text FROM documents UNION ALL SELECT NULL, false, text FROM benchmark),
+w AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts),
+each AS MATERIALIZED (SELECT k, own, word, count(*) AS n FROM (SELECT k, own, unnest(ws) AS word FROM w) GROUP BY 1, 2, 3),
+crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1))) ORDER BY i) AS t FROM range(256) r(i)),
+bytes AS (SELECT word, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b FROM (SELECT word, hex(word) AS h FROM (SELECT DISTINCT word FROM each))),
+hashed AS MATERIALIZED (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc),
+counted AS (SELECT bucket, coalesce(sum(n) FILTER (own), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT own), 0)::DOUBLE AS t FROM each JOIN hashed USING (word) GROUP BY 1),
+sums AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counted),
+gains AS (SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + 10000)) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain FROM counted, sums),
+weighed AS (SELECT k, sum(n * gain)::BIGINT AS weight FROM each JOIN hashed USING (word) JOIN gains USING (bucket) WHERE own GROUP BY 1),
+scored AS (SELECT k, doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM w LEFT JOIN weighed USING (k) WHERE own),
+ranked AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= 10 * able // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (k)""",
 }
