@@ -76,6 +76,12 @@ def test_ids_equal_the_library():
         assert np.frombuffer(ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_each_letter_below_u0300_equals_the_library():
+    tokenizer, ids = Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    for text in (f"{a}{chr(c)}{b}" for c in range(0x300) for a, b in (("", ""), ("x", "'s"), ("A ", "7"))):
+        assert np.frombuffer(ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_blocks_of_long_texts(monkeypatch):
     ids = packing.WordIds(PATH)
     want = [ids(t or "") for t in ODD]

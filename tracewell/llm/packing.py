@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,18 +30,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracewell.llm.bpe_count import Memo
+from tracewell.llm.bpe_count import Memo, byte_symbols
 from tracewell.llm.common import stored
 
 CAPACITY = 4096
 MOST_CAPACITY = 1 << 17  # bounds the histogram and the plan
 END_ID = 1
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 BLOCK_CHARS = 1 << 20  # of a text whose words are listed at once
 FLUSH_IDS = 1 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, part int, nth long"
@@ -151,22 +153,53 @@ def drops_white_space(path: str) -> bool:
 
 
 class WordIds:
-    """The library's ids of a text as little-endian 32-bit integers; where white space separates, words of a bounded table aren't encoded again."""
+    """The library's ids of a text as little-endian 32-bit integers.
+
+    Where white space separates, words of a bounded table aren't encoded again, and a new word of letters below U+0300
+    (which normal forms leave alone) is split by the vocabulary's own pattern into pieces, of which new ones go through
+    the library's model. All other words and vocabularies go through the whole library.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.by_word = drops_white_space(path)
-        self.known = Memo(self.encoded, KEPT_WORDS)
+        self.known, self.pieces = Memo(self.of_word, KEPT_WORDS), Memo(self.of_piece, KEPT_WORDS)
         self.white = re.compile(r"[\x20\x09-\x0D]").search
+        self.separators = re.compile(r"[\x1C-\x1F]").search  # white for Python, not for the library
         self.words = re.compile(r"[^\x20\x09-\x0D]+").findall
+        self.plain = re.compile(r"[\x00-\u02FF]*").fullmatch
+        self.stand_ins = {b: c for c, b in byte_symbols().items()}
+        if self.by_word:
+            with open(path, encoding="utf-8") as f:
+                self.split = regex.compile(json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+
+    @staticmethod
+    def raw(ids: list[int]) -> bytes:
+        values = array("I", ids)
+        if sys.byteorder == "big":
+            values.byteswap()
+        return values.tobytes()
 
     def encoded(self, text: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return np.array(ids, "<u4").tobytes()
+        return self.raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def of_piece(self, piece: str) -> bytes:
+        symbols = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.stand_ins)
+        return self.raw([t.id for t in self.model.tokenize(symbols)])
+
+    def of_word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():  # one piece
+            return self.pieces[word.lower()]
+        if "<|" in word or not self.plain(word):
+            return self.encoded(word)
+        return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
 
     def __call__(self, text: str) -> bytes:
         if not self.by_word:
             return self.encoded(text)
+        if len(text) <= BLOCK_CHARS and not self.separators(text):
+            return b"".join(map(self.known.__getitem__, text.split()))
         parts, begin = [], 0
         while begin < len(text):
             white = self.white(text, begin + BLOCK_CHARS)
