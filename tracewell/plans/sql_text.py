@@ -46,7 +46,7 @@ def tokens(sql: str) -> Iterator[Part]:
 
 
 def nested(flat: Iterator[Part]) -> list[Part]:
-    """Parentheses become lists; ValueError if they don't match."""
+    """Parentheses become lists, those around nothing but other parentheses left out; ValueError if they don't match."""
     stack: list[list[Part]] = [[]]
     for t in flat:
         if t.kind == "sign" and t.text == "(":
@@ -55,7 +55,7 @@ def nested(flat: Iterator[Part]) -> list[Part]:
             if len(stack) == 1:
                 raise ValueError("unbalanced parentheses")
             inner = stack.pop()
-            stack[-1].append(inner)
+            stack[-1].append(inner[0] if len(inner) == 1 and isinstance(inner[0], list) else inner)
         else:
             stack[-1].append(t)
     if len(stack) > 1:
