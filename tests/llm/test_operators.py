@@ -585,6 +585,85 @@ def test_sample_bounds_keep_whole_documents(spark):
     assert bounded(rows, "n", 55).count() == 5 and bounded(rows, "n", 5).count() == 0
 
 
+def test_a_very_large_row_of_the_sample_changes_nothing_but_itself(spark):
+    from tracewell.llm.common import bounded
+
+    rows = [(i, 10) for i in range(20)]
+    plain = {r["doc_id"] for r in bounded(spark.createDataFrame(rows, "doc_id long, n int"), "n", 1000).collect()}
+    for large in (700, 10**6):
+        for k in range(20, 40):  # wherever its hash comes
+            found = {r["doc_id"] for r in bounded(spark.createDataFrame([*rows, (k, large)], "doc_id long, n int"), "n", 1000).collect()}
+            assert found - {k} == plain and (k in found) == (large <= 800)
+
+
+def test_quality_with_a_very_long_labelled_text(spark):
+    table, labels = labelled(spark, 150)
+    long = table.withColumn("text", F.when(F.col("doc_id") == 4, F.repeat(F.lit("\n"), quality_crf.FIT_LINES + 1)).otherwise(F.col("text")))
+    short = table.where("doc_id is null or doc_id != 4")
+    scores = lambda t, fit: {(r["doc_id"], r["score"]) for r in quality_crf.score_quality(t, quality_crf.fit_quality(fit, labels)).collect()}
+    assert scores(short, long) == scores(short, short)
+
+
+def test_chains_of_a_long_text_weigh_as_one():
+    x, y, mask = np.random.default_rng(1).normal(size=(3, 4, quality_crf.N_FEATURES)), np.ones((3, 4), int), np.ones((3, 4), bool)
+    w, links = np.full(quality_crf.N_FEATURES, 0.1), np.zeros((2, 2))
+    whole = quality_crf.chain_gradient(x, y, mask, w, links, np.array([1.0, 0.5, 0.5]))
+    parts = [quality_crf.chain_gradient(x[k : k + 1], y[k : k + 1], mask[k : k + 1], w, links) for k in range(3)]
+    for k in (0, 1):
+        assert np.allclose(whole[k] * 3, parts[0][k] + 0.5 * parts[1][k] + 0.5 * parts[2][k])
+
+
+def test_contaminated_by_items_without_id_and_by_long_items(spark):
+    texts = [BENCH[0][1], BENCH[1][1]]
+    bench = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (5, texts[0]), (6, " ".join(str(i * i) for i in range(3000)) + texts[1])], "item_id long, text string")
+    table = docs(spark, [(1, "x " + texts[0]), (2, "clean text of its own"), (3, texts[1] + " y")])
+    for chars in (300, 10**7):
+        rows = decontaminate.contaminated(table, bench, block_chars=chars).collect()
+        assert sorted((r["doc_id"], r["item_ids"]) for r in rows) == [(1, [None, 5]), (3, [None, 6])]
+
+
+def test_contaminated_against_alignment_of_every_segment(spark):
+    """Every text against every segment by a whole table of edits, without filters."""
+    rng = random.Random(19)
+    sentence = lambda n: " ".join("".join(rng.choices("abcdefghijkl", k=rng.randrange(2, 9))) for _ in range(n))
+    items = [(i, sentence(rng.choice([3, 8, 25]))) for i in range(8)]
+
+    def spoiled(text, n):
+        text = list(text)
+        for _ in range(n):
+            k = rng.randrange(len(text))
+            text[k : k + rng.randrange(2)] = rng.choice(["", "z", " "])
+        return "".join(text)
+
+    rows = [(k, " ".join([sentence(6), spoiled(items[k % 8][1], rng.randrange(12)), sentence(4)])) for k in range(60)] + [(100 + k, sentence(30)) for k in range(10)]
+
+    def occurs(segment, text):
+        cost = [0] * (len(text) + 1)
+        for i, c in enumerate(segment, 1):
+            new = [i]
+            for j, t in enumerate(text, 1):
+                new.append(min(cost[j] + 1, new[-1] + 1, cost[j - 1] + (c != t)))
+            cost = new
+        return min(cost)
+
+    want = {}
+    for k, text in rows:
+        found = [i for i, item in items if any(occurs(s.text, decontaminate.normal(text)) <= s.edits for s in decontaminate.segments_of(i, item))]
+        if found:
+            want[k] = found
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 20 and got == want
+
+
+def test_toxicity_is_calibrated_for_few_positives():
+    rng = np.random.default_rng(20)
+    examples = [(np.unique(np.concatenate([rng.integers(100, 5000, 40), rng.integers(0, 20, 2 if y else 0)])), y) for y in [int(k % 12 == 0) for k in range(1200)]]
+    model = toxicity.fit(examples)
+    p = toxicity.sums(model, examples) > 0
+    y = np.array([y for _, y in examples], bool)
+    assert p[y].mean() > 0.95 and p[~y].mean() < 0.02
+
+
 def test_html_spans_fields_and_depth():
     assert html_render.render("<table><tr><td colspan=2>Total<td>5<tr><td>1<td>2<td>3</table>") == "Total |   | 5\n1     | 2 | 3"
     assert html_render.render("<table><tr><td rowspan=2>x<td>y<tr><td>p</table>") == "x | y\n  | p"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewell.storage import shared_dir, stored
 
-__all__ = ["bounded", "held_out", "labelled_sample", "mix64", "shared_dir", "stored", "words"]
+__all__ = ["bounded", "held_out", "labelled_sample", "logistic", "mix64", "shared_dir", "stored", "words"]
 
 
 def words(text: str | None) -> list[bytes]:
@@ -47,8 +47,30 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, most: d
     return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("doc_id", "text", "label")
 
 
+#: Rows larger than this part of a sample's bound come last, so that they take no other row's place.
+LARGEST_SHARE = 64
+
+
 def bounded(rows: DataFrame, size: str, most: int) -> DataFrame:
-    """Of a labelled sample (stored, one row an id), the rows that come first by a hash of the id and have at most `most` in sum of size."""
-    order = Window.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    fit = rows.select("doc_id", F.sum(size).over(order).alias("sum")).where(F.col("sum") <= most).select("doc_id")
+    """Of a labelled sample (stored, one row an id), the rows that come first by a hash of the id and have at most `most` in sum of size.
+
+    Rows of more than most / LARGEST_SHARE come after all others, and those of more than most not at all, so a very large
+    row changes nothing but itself.
+    """
+    order = Window.orderBy(F.col(size) > most // LARGEST_SHARE, F.xxhash64("doc_id", F.lit(7)), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fit = rows.where(F.col(size) <= most).select("doc_id", F.sum(size).over(order).alias("sum")).where(F.col("sum") <= most).select("doc_id")
     return rows.join(F.broadcast(fit), "doc_id")
+
+
+def logistic(x: np.ndarray, y: np.ndarray, decay: float = 1e-3) -> tuple[float, float]:
+    """Slope and offset by Newton steps, both label values weighing the same."""
+    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    a = b = 0.0
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
+        g = np.array([(share * (y - p) * x).sum() - decay * a, (share * (y - p)).sum()])
+        w = share * p * (1 - p)
+        h = np.array([[(w * x * x).sum() + decay, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-6]])
+        step = np.linalg.solve(h, g)
+        a, b = a + step[0], b + step[1]
+    return float(a), float(b)

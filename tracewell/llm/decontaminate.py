@@ -9,12 +9,14 @@ alignment. A document is contaminated by the benchmark texts that have a verifie
 so that repeating texts don't multiply the q-grams that a document shares with them, and shared q-grams are counted in
 parts of bounded size.
 
-The benchmark is a set of queries against all documents. It is indexed and broadcast in blocks of at most about
-BLOCK_CHARS characters; a larger benchmark takes more blocks, through which the documents go one after the other.
+The benchmark is a set of queries against all documents. Its segments are dealt by hash to blocks of at most about
+BLOCK_CHARS characters, which are indexed and broadcast; a larger benchmark, or a longer text of it, takes more blocks,
+through which the documents go one after the other.
 
 Defined results: null, empty and very short documents hold nothing; benchmark texts with fewer than q + 1 characters
 (null and empty ones too) cannot be told from chance and match nothing; repeated rows are searched each; several benchmark
-rows with one id count as one; extra columns are not read.
+rows with one id count as one, and so do those without an id, which stand as null, first, among the ids found; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -27,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import mix64
+from tracewell.llm.common import mix64, stored
 
 Q = 8
 SEGMENT = 80
 STEP = 40
 EDIT_SHARE = 0.075
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 8_000_000  # of segments, which overlap by half
 TABLE_BITS = 22
 MOST_PAIRS = 1_000_000  # of q-grams counted at once
 
@@ -63,18 +65,23 @@ class Segment:
     least: int  # shared q-grams
 
 
-def segments_of(item_id: int, text: str | None) -> list[Segment]:
+def pieces_of(text: str | None) -> list[str]:
+    """The overlapping segments of a benchmark text that can be searched."""
     text = normal(text)
-    found = []
     last = max(0, len(text) - SEGMENT)
-    for start in dict.fromkeys([*range(0, last, STEP), last]):
-        piece = text[start : start + SEGMENT]
-        edits = int(len(piece) * EDIT_SHARE)
-        while edits and len(piece) - Q + 1 - Q * edits < Q:
-            edits -= 1
-        if len(piece) > Q:
-            found.append(Segment((item_id,), piece, edits, len(piece) - Q + 1 - Q * edits))
-    return found
+    pieces = (text[start : start + SEGMENT] for start in dict.fromkeys([*range(0, last, STEP), last]))
+    return [p for p in pieces if len(p) > Q]
+
+
+def segment_of(item_ids: tuple[int, ...], piece: str) -> Segment:
+    edits = int(len(piece) * EDIT_SHARE)
+    while edits and len(piece) - Q + 1 - Q * edits < Q:
+        edits -= 1
+    return Segment(item_ids, piece, edits, len(piece) - Q + 1 - Q * edits)
+
+
+def segments_of(item_id: int, text: str | None) -> list[Segment]:
+    return [segment_of((item_id,), p) for p in pieces_of(text)]
 
 
 def edits_within(segment: np.ndarray, text: np.ndarray, diagonal: int, width: int, most: int) -> bool:
@@ -166,14 +173,26 @@ class Index:
         return sorted(found)
 
 
+NO_ID = -(1 << 63)  # stands for null while texts are searched
+
+
 def index_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
-    """Indexes of bounded parts of the benchmark."""
-    items = benchmark.where("item_id is not null and text is not null")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    """Indexes of bounded parts of the benchmark's segments; a segment lies in one part, with the ids of all items that have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                pieces = pieces_of(text.as_py())
+                yield pa.record_batch([pa.array([item_id.as_py()] * len(pieces), pa.int64()), pa.array(pieces, pa.string())], ["item_id", "piece"])
+
+    items = benchmark.where("text is not null").select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), "text")
+    segments = items.mapInArrow(run, "item_id long, piece string").groupBy("piece").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    segments = stored(segments, "benchmark-segments")
+    size = segments.agg(F.sum(F.length("piece"))).first()[0] or 0
     parts = max(1, -(-size // block_chars))
     for k in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).select("item_id", "text").orderBy("item_id", "text").collect()
-        yield Index([s for r in rows for s in segments_of(r["item_id"], r["text"])])
+        rows = segments.where(F.pmod(F.xxhash64("piece"), F.lit(parts)) == k).orderBy("piece").collect()  # about block_chars characters
+        yield Index([segment_of(tuple(r["item_ids"]), r["piece"]) for r in rows])
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -190,14 +209,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, block_chars: int =
                 yield pa.record_batch([batch.column(0), batch.column(1), pa.array(hits, pa.list_(pa.int64()))], ["doc_id", "text", "item_ids"])
 
         rows = rows.mapInArrow(run, "doc_id long, text string, item_ids array<long>")
-    return rows.where(F.size("item_ids") > 0).select("doc_id", "item_ids")
+    ids = F.transform("item_ids", lambda i: F.when(i != NO_ID, i))
+    return rows.where(F.size("item_ids") > 0).select("doc_id", ids.alias("item_ids"))
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of documents that hold no passage of the benchmark, with all their columns. Items without an id count too."""
     spark, at = documents.sparkSession, documents.columns.index("text")
-    # their texts stand in for ids, which only deal items to blocks here
-    benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.xxhash64("text")).alias("item_id"), "text")
     for index in index_blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast(index)
 

@@ -4,7 +4,10 @@ Every line is labelled good or bad. Its potential is linear in features of its o
 a 2 x 2 matrix weighs the labels of neighbouring lines. Forward-backward gives each line's marginal probability of being
 good; a document's score is their mean weighted by line length, put through a logistic curve that was fitted, with the
 field, on a bounded sample of labelled documents (lines inherit their document's label): at most SAMPLE documents of each
-label and FIT_LINES lines in all, whole documents in either case.
+label and FIT_LINES lines in all, whole documents in either case; very long ones
+come last, so that they take no other document's place. The fit reads texts of more than CHAIN lines as several chains,
+without the links between them, that together weigh as much as one text; calibration and scoring have one chain at any
+length.
 
 Defined results: null and empty texts are one empty line; a line's length counts one more than its characters, so empty
 lines weigh little and no document has weight 0; repeated rows are scored each; without labelled rows of both kinds all
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import bounded, held_out, labelled_sample, stored
+from tracewell.llm.common import bounded, held_out, labelled_sample, logistic, stored
 
 SAMPLE = {0: 3000, 1: 6000}
 THRESHOLD = 0.3
@@ -31,7 +34,7 @@ OWN = ("symbols", "capitals", "exclaims", "repeats", "short_words", "long_words"
 NEAR = ("symbols", "capitals", "repeats", "seen_before")
 N_FEATURES = 1 + len(OWN) + 2 * (len(NEAR) + 1)
 FIT_LINES = 500_000
-CHAIN = 512  # longer texts are several chains in the fit; scoring has one chain at any length
+CHAIN = 512
 BATCH_LINES = 100_000
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -100,9 +103,10 @@ class Field:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * self.mean(text) + self.offset))))
 
 
-def chain_gradient(x: np.ndarray, y: np.ndarray, mask: np.ndarray, weights: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the mean log-likelihood. x: chains, lines, features; y: labels of lines; mask: which lines there are."""
+def chain_gradient(x: np.ndarray, y: np.ndarray, mask: np.ndarray, weights: np.ndarray, links: np.ndarray, share: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Of the mean log-likelihood. x: chains, lines, features; y: labels of lines; mask: which lines there are; share: how much each chain weighs (1)."""
     chains, length, _ = x.shape
+    share = np.ones(chains) if share is None else share
     good = x @ weights
     alpha = np.zeros((chains, length, 2))
     alpha[:, 0, 1] = good[:, 0]
@@ -122,11 +126,11 @@ def chain_gradient(x: np.ndarray, y: np.ndarray, mask: np.ndarray, weights: np.n
         for a in (0, 1):
             for b in (0, 1):
                 p = np.exp(alpha[:, t, a] + links[a, b] + ahead[:, b] - total)
-                pairs[a, b] += ((y[:, t] == a) & (y[:, t + 1] == b) & there).sum() - p[there].sum()
+                pairs[a, b] += share[(y[:, t] == a) & (y[:, t + 1] == b) & there].sum() - (share * p)[there].sum()
         back = np.stack([lse(links[k, 0] + ahead[:, 0], links[k, 1] + ahead[:, 1]) for k in (0, 1)], 1)
         beta[:, t] = np.where(there[:, None], back, beta[:, t + 1])
     p_good = np.exp(alpha[:, :, 1] + beta[:, :, 1] - total[:, None])
-    off = np.where(mask, y - p_good, 0)
+    off = np.where(mask, y - p_good, 0) * share[:, None]
     return np.einsum("ct,ctf->f", off, x) / chains, pairs / chains
 
 
@@ -135,7 +139,7 @@ def fit_field(examples: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 1
     labels = {y for _, _, y in examples}
     if len(labels) < 2:
         return Field(np.zeros(N_FEATURES), np.zeros((2, 2)), 0.0, 0.0)
-    parts = [(x[i : i + CHAIN], y) for x, _, y in examples for i in range(0, len(x), CHAIN)]
+    parts = [(x[i : i + CHAIN], y, min(1.0, CHAIN / len(x))) for x, _, y in examples for i in range(0, len(x), CHAIN)]
     parts.sort(key=lambda p: -len(p[0]))
     batches, i = [], 0
     while i < len(parts):  # of like lengths
@@ -143,14 +147,14 @@ def fit_field(examples: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 1
         chunk = parts[i : i + max(1, BATCH_LINES // longest)]
         i += len(chunk)
         x, y, mask = np.zeros((len(chunk), longest, N_FEATURES)), np.zeros((len(chunk), longest), int), np.zeros((len(chunk), longest), bool)
-        for k, (lines, label) in enumerate(chunk):
+        for k, (lines, label, _) in enumerate(chunk):
             x[k, : len(lines)], y[k], mask[k, : len(lines)] = lines, label, True
-        batches.append((x, y, mask))
+        batches.append((x, y, mask, np.array([share for *_, share in chunk])))
     theta = np.zeros(N_FEATURES + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        parts_of = [chain_gradient(*b, theta[:-4], theta[-4:].reshape(2, 2)) for b in batches]
-        g = sum(np.concatenate([w * len(b[0]), p.ravel() * len(b[0])]) for (w, p), b in zip(parts_of, batches, strict=True)) / len(parts) - decay * theta
+        parts_of = [chain_gradient(*b[:3], theta[:-4], theta[-4:].reshape(2, 2), b[3]) for b in batches]
+        g = sum(np.concatenate([w * len(b[0]), p.ravel() * len(b[0])]) for (w, p), b in zip(parts_of, batches, strict=True)) / len(examples) - decay * theta
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     field = Field(theta[:-4], theta[-4:].reshape(2, 2), 0.0, 0.0)
@@ -158,20 +162,6 @@ def fit_field(examples: list[tuple[np.ndarray, np.ndarray, int]], steps: int = 1
     return Field(field.weights, field.links, *logistic(means, np.array([y for _, _, y in examples])))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, decay: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset by Newton steps, both label values weighing the same."""
-    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    a = b = 0.0
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([(share * (y - p) * x).sum() - decay * a, (share * (y - p)).sum()])
-        w = share * p * (1 - p)
-        h = np.array([[(w * x * x).sum() + decay, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        a, b = a + step[0], b + step[1]
-    return float(a), float(b)
-
-
 def fit_quality(documents: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> Field:
     """A field from a sample of whole labelled documents of bounded size; only the features of their lines come to the driver."""
 

@@ -4,7 +4,8 @@ Features of a text are the distinct hash buckets of its words, word pairs and pa
 case, punctuation at the ends removed). The fit holds z and n for each bucket: the step of a bucket shrinks with the
 squares of its own gradients, and L1 keeps a weight at exactly 0 until |z| exceeds it, so that few weights remain; those
 (at most 2^BITS) are broadcast. L1 is the strength that loses least on a quarter of the sample that the fit for this choice
-leaves out; the model is then fitted on the whole sample: at most SAMPLE documents of each label and FIT_FEATURES distinct
+leaves out. On that quarter the sums of weights are also put through a logistic curve, both labels weighing the same, as few
+texts are toxic; the model is then fitted on the whole sample and its sums take the same slope and offset: at most SAMPLE documents of each label and FIT_FEATURES distinct
 buckets of documents in all, whole documents in either case.
 
 Defined results: null and empty texts have no feature and score sigmoid(bias); repeated rows are scored each; without
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm.bpe_count import Memo
-from tracewell.llm.common import bounded, held_out, labelled_sample, mix64, stored
+from tracewell.llm.common import bounded, held_out, labelled_sample, logistic, mix64, stored
 
 BITS = 20
 SAMPLE = {0: 9000, 1: 4000}
@@ -92,26 +93,38 @@ def ftrl(examples: list[tuple[np.ndarray, int]], alpha: float = 1.0, beta: float
     return Model(float(w[-1]), index, w[index].astype(np.float32))
 
 
+def sums(model: Model, examples: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    dense = model.dense()
+    return np.array([model.bias + float(dense[i].sum()) for i, _ in examples])
+
+
 def loss(model: Model, examples: list[tuple[np.ndarray, int]]) -> float:
     """Mean log loss, both labels weighing the same."""
-    dense, by_label = model.dense(), ([], [])
-    for i, y in examples:
-        score = np.clip(model.bias + float(dense[i].sum()), -35, 35)
+    by_label = ([], [])
+    for score, (_, y) in zip(np.clip(sums(model, examples), -35, 35), examples, strict=True):
         by_label[y].append(np.log1p(np.exp(-score if y else score)))
     return float(np.mean([np.mean(x) for x in by_label if x]))
 
 
+def calibrated(model: Model, slope: float, offset: float) -> Model:
+    return Model(slope * model.bias + offset, model.index, (slope * model.weight).astype(np.float32))
+
+
 def fit(examples: list[tuple[np.ndarray, int]]) -> Model:
-    """ftrl() with the strength of L1 that loses least on every fourth example of each label."""
+    """ftrl() with the strength of L1 that loses least on every fourth example of each label, calibrated on these."""
     turn, check = [0, 0], []
     for _, y in examples:
         check.append(turn[y] % 4 == 3)
         turn[y] += 1
     left_out = [e for e, c in zip(examples, check, strict=True) if c]
     others = [e for e, c in zip(examples, check, strict=True) if not c]
-    if not left_out:
+    if len({y for _, y in left_out}) < 2:
         return ftrl(examples, l1=L1[0])
-    return ftrl(examples, l1=min(L1, key=lambda l1: loss(ftrl(others, l1=l1), left_out)))
+    tried = {l1: ftrl(others, l1=l1) for l1 in L1}
+    best = min(L1, key=lambda l1: loss(tried[l1], left_out))
+    slope, offset = logistic(sums(tried[best], left_out), np.array([y for _, y in left_out]))
+    model = ftrl(examples, l1=best)
+    return calibrated(model, slope, offset) if slope > 0 else model
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> Model:
