@@ -12,7 +12,8 @@ from tracewell.config import UNKNOWN_COLUMN
 from tracewell.functions.names import model_name
 from tracewell.operators.joins import match_routes
 from tracewell.operators.ranking import numbered
-from tracewell.plans.code import backend_routes, call_facts, frontend_calls, function_uses, known_tables, model_fields, nested_fields, orm_classes, orm_columns
+from tracewell.plans.code import backend_routes, frontend_calls, known_tables, model_fields, nested_fields, orm_classes, orm_columns
+from tracewell.plans.python_code import call_facts, function_uses
 from tracewell.sinks import mapping_rows
 
 

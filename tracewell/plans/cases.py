@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.plans.actions import action_mapping
-from tracewell.plans.code import backend_routes, call_facts, code_references, frontend_calls, function_uses, known_tables, model_fields, nested_fields, orm_classes, orm_columns
+from tracewell.plans.code import backend_routes, code_references, frontend_calls, known_tables, model_fields, nested_fields, orm_classes, orm_columns
 from tracewell.plans.lineage import success_rate, view_lineage
+from tracewell.plans.python_code import call_facts, function_uses
 from tracewell.plans.procedures import column_uses, profile, variables
 
 VIEWS = [
@@ -22,7 +23,7 @@ PROCEDURES = [
 FILES = [
     ("alpha/app.py", "alpha", "app.py", "py", 'def load(db):\n    sql = """SELECT o.ORDER_ID, o.CUST_ID FROM SALES.ORDERS o WHERE o.CUST_ID = 3"""\n    return db.execute(sql)\n\ndef purge(db):\n    db.execute("DELETE FROM ORDERS WHERE ORDER_ID = 1")\n    helper(db)\n\ndef helper(db):\n    db.execute(text("CALL LOAD_ORDERS(1) -- with a long comment"))\n'),
     ("alpha/models.py", "alpha", "models.py", "py", 'class Order(Base):\n    __tablename__ = "orders"\n    order_id: int\n    _hidden: int\n    items: list = relationship("Item")\n\nclass OrderRead(BaseModel):\n    id: int\n    items: Optional[List[ItemRead]]\n\nclass ItemRead(BaseModel):\n    sku: str\n    parent: OrderRead\n'),
-    ("alpha/routes.py", "alpha", "routes.py", "py", '@router.get("/orders/{order_id}", response_model=OrderRead)\nasync def get_order(order_id: int):\n    return purge(order_id)\n'),
+    ("alpha/routes.py", "alpha", "routes.py", "py", '@router.get("/orders/{order_id}", response_model=OrderRead)\nasync def get_order(order_id: int):\n    return purge(order_id)\n\nfrom alpha.app import purge\n'),
     ("web/orders.ts", "web", "orders.ts", "ts", "export const loadOrders = async (id) => {\n  // client.get('/api/no')\n  const r = await client.get(`${V2_URL}/orders/${order.orderId}?x=1`);\n  return r;\n};\n"),
     ("beta/run.sh", "beta", "run.sh", "sh", "sync_all() {\n  echo orders cust_id\n}\n"),
 ]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ast
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator, Mapping
 from itertools import count
 from types import MappingProxyType
@@ -16,11 +17,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.config import PROCEDURE_PREFIX
 from tracewell.functions.names import normal_url
 from tracewell.functions.predicates import sql_gate, table_candidate
-from tracewell.operators.closure import ROUNDS, reachable
+from tracewell.operators.closure import ROUNDS
 from tracewell.operators.joins import enclosing_range
+from tracewell.plans.code_tokens import BRACES, Innermost, Range, function_ranges, mask, pairs
 from tracewell.storage import stored
 
 # Where SQL strings stand in code.
@@ -38,15 +39,6 @@ SYSTEM_NAMES = ("INFORMATION_SCHEMA", "SYS", "DUAL", "PUBLIC", "SELF", "OS", "NP
 OPERANDS = r"(?i)\b([A-Za-z_]\w*)\s*(?:!=|<>|<=|>=|=|<|>|\bBETWEEN\b|\bIN\b|\bIS\b|\bLIKE\b)"
 OPERAND_WORDS = ("AND", "OR", "NOT", "WHERE", "ON", "SET", "CASE", "WHEN", "NULL")
 SKIPPED_CALLS = ("print", "len", "str", "int", "float", "list", "dict", "set", "tuple", "range", "isinstance", "getattr", "setattr", "hasattr", "super", "sorted", "min", "max", "sum", "any", "all", "zip", "map", "filter", "enumerate", "type", "open")
-FUNCTION_FORMS = {
-    "js": r"(?m)(?:function\s+(\w+)|(?:const|let|var)\s+(\w+)\s*=\s*(?:async\s*)?\()",
-    "ts": r"(?m)(?:function\s+(\w+)|(?:const|let|var)\s+(\w+)\s*=\s*(?:async\s*)?\()",
-    "java": r"(?m)(?:public|private|protected)\s+(?:static\s+)?[\w<>\[\]]+\s+(\w+)\s*\(()",
-    "scala": r"(?m)def\s+(\w+)()",
-    "r": r"(?m)(\w+)\s*<-\s*function()",
-    "sh": r"(?m)^\s*(?:function\s+)?(\w+)\s*\(\)()",
-}
-
 
 def by_file(files: DataFrame, read: Callable[[str], list[tuple]], schema: str) -> DataFrame:
     """Rows that `read` finds in each file's content, after its path."""
@@ -59,6 +51,12 @@ def by_file(files: DataFrame, read: Callable[[str], list[tuple]], schema: str) -
     return files.select("path", "content").mapInPandas(run, f"path string, {schema}")
 
 
+def line_numbers(content: str) -> Callable[[int], int]:
+    """Lines, from 1, of places in a text."""
+    ends = [m.start() for m in re.finditer("\n", content)]
+    return lambda at: bisect_left(ends, at) + 1
+
+
 def parsed(content: str) -> ast.Module | None:
     try:
         return ast.parse(content)
@@ -101,27 +99,33 @@ def column_mentions(sqls: DataFrame) -> DataFrame:
 
 
 def functions(files: DataFrame) -> DataFrame:
-    """path, function_name, first_line, last_line and place of functions; files in other languages than Python have the line of the first match only."""
-    def find(content: str) -> list[tuple]:
+    """path, function_name, first_line, last_line and place (outer ones first) of functions, in Python by its syntax tree, else by tokens and brackets."""
+    def python(content: str) -> list[tuple]:
         root = parsed(content)
         if root is None:
             return []
         return [(n.name, n.lineno, n.end_lineno, k) for k, n in enumerate(x for x in ast.walk(root) if isinstance(x, ast.FunctionDef | ast.AsyncFunctionDef))]
 
+    def other(extension: str) -> Callable[[str], list[tuple]]:
+        def find(content: str) -> list[tuple]:
+            code, _ = mask(content, extension)
+            line = line_numbers(content)
+            return [(r.name, line(r.begin), line(r.end - 1), k) for k, r in enumerate(function_ranges(code, pairs(code), extension))]
+
+        return find
+
     schema = "function_name string, first_line long, last_line long, place long"
-    python = by_file(files.where("extension = 'py'"), find, schema)
-    for extension, pattern in FUNCTION_FORMS.items():
-        names = F.transform(F.arrays_zip(F.regexp_extract_all("content", F.lit(pattern), 1).alias("a"), F.regexp_extract_all("content", F.lit(pattern), 2).alias("b")), lambda p: F.concat(p["a"], p["b"]))
-        found = files.where(F.col("extension") == extension).select("path", F.posexplode(names).alias("place", "function_name"))
-        python = python.unionByName(found.where("function_name != ''").select("path", "function_name", F.lit(None).cast("long").alias("first_line"), F.lit(None).cast("long").alias("last_line"), F.col("place").cast("long").alias("place")))
-    return python
+    found = by_file(files.where("extension = 'py'"), python, schema)
+    for extension in BRACES:
+        found = found.unionByName(by_file(files.where(F.col("extension") == extension), other(extension), schema))
+    return found
 
 
 def code_references(files: DataFrame, catalog: DataFrame) -> DataFrame:
     """REPO_REFERENCES: tables and columns of the catalog (table_name, column_name) that files mention, and the function that does.
 
     A qualified column counts for its alias's table; an unqualified one for every table of the statement that has it. A
-    file without SQL counts by its words: tables named in it, and their columns named in it.
+    file without SQL counts by its words: tables named in it, and their columns named in it, where these stand.
     """
     sqls = sql_strings(files)
     known = catalog.select(F.upper("table_name").alias("table_name"), F.upper("column_name").alias("column")).where("table_name is not null").distinct()
@@ -135,9 +139,10 @@ def code_references(files: DataFrame, catalog: DataFrame) -> DataFrame:
     whole = direct.where("column = ''").join(tables, "table_name").select("table_name", "column", "path", "line")
     found = columns.select("table_name", "column", "path", "line").unionByName(whole).distinct()
 
-    bare = files.join(sqls.select("path").distinct(), "path", "left_anti").select("path", F.explode(F.array_distinct(F.regexp_extract_all(F.upper("content"), F.lit(r"(\w+)"), 1))).alias("word"))
-    named = bare.join(tables, bare["word"] == tables["table_name"]).select("path", "table_name")
-    words = named.join(known, "table_name").join(bare, ["path"]).where(F.col("word") == F.col("column")).select("table_name", "column", "path", F.lit(None).cast("long").alias("line"))
+    bare = files.join(sqls.select("path").distinct(), "path", "left_anti").select("path", F.posexplode(F.split(F.upper("content"), "\n")).alias("line", "text"))
+    bare = bare.select("path", (F.col("line") + 1).cast("long").alias("line"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\w+)"), 1))).alias("word"))
+    named = bare.join(tables, bare["word"] == tables["table_name"]).select("path", "table_name").distinct()
+    words = named.join(known, "table_name").join(bare.withColumnRenamed("word", "column"), ["path", "column"]).select("table_name", "column", "path", "line")
 
     ranges = functions(files)
     placed = enclosing_range(found.unionByName(words.distinct()), ranges.where("first_line is not null"), "path", "line", "first_line", "last_line", "place")
@@ -214,114 +219,53 @@ def known_tables(files: DataFrame) -> DataFrame:
     return files.select("path", F.explode(F.concat(*(F.regexp_extract_all("content", F.lit(p), 1) for p in forms))).alias("table_name")).distinct()
 
 
-# Calls in Python
-
-def call_facts(files: DataFrame) -> DataFrame:
-    """path, function, kind (call, string, class, procedure, flow) and name: what each function of a file mentions."""
-    def name_of(n: ast.AST) -> str | None:
-        return n.id if isinstance(n, ast.Name) else n.attr if isinstance(n, ast.Attribute) else None
-
-    def find(content: str) -> list[tuple]:
-        rows: set[tuple] = set()
-        for f in (n for n in ast.walk(parsed(content) or ast.Module([], [])) if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef)):
-            services = {i.optional_vars.id for w in ast.walk(f) if isinstance(w, ast.With | ast.AsyncWith) for i in w.items if isinstance(i.optional_vars, ast.Name) and isinstance(i.context_expr, ast.Call) and "flow" in (name_of(i.context_expr.func) or "").lower()}
-            for n in ast.walk(f):
-                if isinstance(n, ast.Call):
-                    rows.update((f.name, "class", a.id) for a in n.args if isinstance(a, ast.Name) and a.id[:1].isupper())
-                    if isinstance(n.func, ast.Name) and n.func.id not in SKIPPED_CALLS:
-                        rows.add((f.name, "call", n.func.id))
-                    if isinstance(n.func, ast.Attribute):
-                        owner = name_of(n.func.value)
-                        if owner in services or "flow_service" in (owner or ""):
-                            rows.add((f.name, "flow", n.func.attr))
-                        if n.func.attr == "add_task" and n.args and (task := name_of(n.args[0])):
-                            rows.add((f.name, "call", task))
-                    for k in n.keywords:
-                        if k.arg == "proc_name" and (p := k.value.value if isinstance(k.value, ast.Constant) else name_of(k.value)):
-                            rows.add((f.name, "procedure", str(p).upper()))
-                elif isinstance(n, ast.Attribute):
-                    if name_of(n.value) == PROCEDURE_PREFIX.rstrip("."):
-                        rows.add((f.name, "procedure", n.attr.upper()))
-                    elif isinstance(n.value, ast.Name):
-                        rows.add((f.name, "class", n.value.id))
-                elif isinstance(n, ast.Constant) and isinstance(n.value, str):
-                    rows.add((f.name, "string", n.value))
-        return sorted(rows)
-
-    return by_file(files, find, "function string, kind string, name string")
-
-
-CALLED = r"(?i)\bCALL\s+(?:IDENTIFIER\s*\(\s*')?([\w.]+)|\bCREATE\s+(?:OR\s+REPLACE\s+)?PROCEDURE\s+([\w.]+)"
-
-
-def function_uses(facts: DataFrame, tables: DataFrame, models: DataFrame | None = None, depth: int = 5) -> DataFrame:
-    """path, function, kind (table, procedure, flow) and name, of a function itself and of all that it calls in up to `depth` steps.
-
-    Functions of one name in several files are different: a call goes to the function of its own file, else to that of
-    the last file (by path) that has one. tables: known table_names. models: class and table_name of mapped classes,
-    which a function uses when it mentions them.
-    """
-    at = ["path", "function"]
-    names = tables.select(F.upper("table_name").alias("name")).distinct()
-    strings = facts.where("kind = 'string'")
-    in_sql = strings.where("length(name) > 20").select(*at, F.explode(sql_tables("name")).alias("name")).select(*at, F.upper("name").alias("name")).join(names, "name", "left_semi")
-    plain = strings.select(*at, F.upper("name").alias("name")).join(names, "name", "left_semi")
-    used = in_sql.unionByName(plain)
-    if models is not None:
-        mapped = models.select(F.col("class").alias("name"), F.upper("table_name").alias("mapped"))
-        used = used.unionByName(facts.where("kind = 'class'").join(mapped, "name").select(*at, F.col("mapped").alias("name")))
-    called = strings.select(*at, F.upper(F.concat(F.regexp_extract("name", CALLED, 1), F.regexp_extract("name", CALLED, 2))).alias("name")).where("name != ''")
-    kinds = used.withColumn("kind", F.lit("table")).unionByName(called.withColumn("kind", F.lit("procedure"))).unionByName(facts.where("kind in ('procedure', 'flow')").select(*at, "name", "kind"))
-    kinds = kinds.select(F.struct(*at).alias("node"), "kind", "name").distinct()
-    defined = facts.select(*at).distinct()
-    own = defined.select("path", F.col("function").alias("name"), F.col("path").alias("own"))
-    last = defined.groupBy(F.col("function").alias("name")).agg(F.max("path").alias("last"))
-    calls = facts.where("kind = 'call'").join(own, ["path", "name"], "left").join(last, "name", "left")
-    edges = calls.select(F.struct(*at).alias("caller"), F.struct(F.coalesce("own", "last").alias("path"), F.col("name").alias("function")).alias("callee")).where("callee.path is not null")
-    below = reachable(edges, "caller", "callee", depth).select(F.col("source").alias("caller"), F.col("target").alias("node"))
-    return kinds.unionByName(below.join(kinds, "node").select(F.col("caller").alias("node"), "kind", "name")).distinct().select("node.*", "kind", "name")
-
-
 # Front end and routes
 
-FUNCTION = re.compile(r"(?:export\s+)?(?:async\s+)?function\s+(\w+)|(?:export\s+)?(?:const|let|var)\s+(\w+)\s*(?::[^=]+)?=\s*(?:async\s*)?(?:\([^)]*\)|\w+)\s*(?::[^=]+)?=>")
-URL = re.compile(r"""[`"']([^`"']*)[`"']""")
-
-
-def frontend_calls(files: DataFrame, window: int = 10, bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",)) -> DataFrame:
-    """path, line, function, method and url of API calls; comment lines and downloads of blobs are none.
+def frontend_calls(files: DataFrame, bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",)) -> DataFrame:
+    """path, line, function, method and url of API calls; calls in comments and strings and downloads of blobs are none.
 
+    A call belongs to the innermost function around it, else to `unknown`. Its URL is the first text like one between its
+    parentheses, or the text given before, in a function around the call or outside of all, to the variable there.
     bases: texts of URL variables. clients: names of the objects whose methods are calls.
     """
-    call_of = re.compile(rf"""\b(?:{"|".join(map(re.escape, clients))})(?:\.|\[["'])(get|post|put|patch|delete)(?:["']\])?\b""", re.I)
+    call_of = re.compile(rf"""(?<![\w$])(?:{"|".join(map(re.escape, clients))})\s*(?:\??\.\s*(get|post|put|patch|delete)|\[\s+\])\s*(?:<[^()]{{0,80}}>)?\s*\(""", re.I)
+    given = re.compile(r"([\w$]+)\s*(?::[^=;:\n]{1,80})?=(?![=>])")
 
-    def url_in(text: str) -> str | None:
-        return next((u for u in URL.findall(text) if u.startswith("/") or "${" in u or "api" in u or "workflow" in u), None)
+    def like_url(u: str) -> bool:
+        return u.startswith("/") or "${" in u or "api" in u or "workflow" in u
 
     def find(content: str) -> list[tuple]:
-        rows, current, depth, lines = [], "", 0, content.split("\n")
-        assigned: dict[str, str] = {}
-        for k, line in enumerate(lines):
-            bare = line.strip()
-            if bare.startswith(("//", "*", "/*")):
+        code, strings = mask(content, "ts")
+        closing, line = pairs(code), line_numbers(content)
+        inside = Innermost(function_ranges(code, closing, "ts"))
+        begins = [a for a, _ in strings]
+
+        def texts(a: int, b: int) -> Iterator[str]:
+            for k in range(bisect_left(begins, a), bisect_left(begins, b)):
+                yield content[strings[k][0] + 1 : strings[k][1] - 1]
+
+        assigned: dict[str, list[tuple[int, Range | None, str]]] = {}
+        for m in given.finditer(code):
+            k = bisect_left(begins, m.end())
+            if k < len(begins) and begins[k] - m.end() < 200 and not code[m.end() : begins[k]].strip() and like_url(u := content[begins[k] + 1 : strings[k][1] - 1]):
+                assigned.setdefault(m[1], []).append((m.start(), inside(m.start()), u))
+        rows = []
+        for m in call_of.finditer(code):
+            method = m[1] or next(texts(m.start(), m.end()), "")
+            if method.lower() not in ("get", "post", "put", "patch", "delete"):
+                continue
+            end = closing.get(m.end() - 1, len(code))
+            if re.search(r"blob|responseType:", content[m.start() : end]):
                 continue
-            if (m := FUNCTION.search(line)) and (depth <= 0 or line.lstrip().startswith("export")):
-                current, depth = m[1] or m[2], 0
-            depth += line.count("{") - line.count("}")
-            if m := re.search(r"(?:const|let|var)\s+(\w+)\s*=\s*(.*)", line):
-                if u := url_in(m[2] or (lines[k + 1] if k + 1 < len(lines) else "")):
-                    assigned[m[1]] = u
-            if (m := call_of.search(line)) and current:
-                call = "\n".join(lines[k : k + window])[m.start() :].split(";")[0]
-                if re.search(r"blob|responseType:", call):
-                    continue
-                after = re.search(r"\(\s*(\w+)\s*[,)]", call)
-                if u := (assigned.get(after[1]) if after and after[1] in assigned else url_in(call)):
-                    rows.append((k + 1, current, m[1].upper(), u))
+            around = inside(m.start())
+            first = re.match(r"\s*([\w$]+)\s*(?:[,)]|$)", code[m.end() : m.end() + 200])
+            known = [u for at, scope, u in assigned.get(first[1], ()) if at < m.start() and (scope is None or scope.begin <= m.start() < scope.end)] if first else []
+            if u := known[-1] if known else next((u for u in texts(m.end(), end) if like_url(u)), None):
+                rows.append((line(m.start()), around.name if around else "unknown", method.upper(), u))
         return rows
 
     found = by_file(files, find, "line long, function string, method string, url string")
-    return found.withColumn("url", normal_url("url", bases)).where(F.length("url") > 3).dropDuplicates(["path", "line", "method"])
+    return found.withColumn("url", normal_url("url", bases)).where(F.length("url") > 3).dropDuplicates(["path", "line", "method", "url"])
 
 
 def backend_routes(files: DataFrame, prefixes: list[tuple[str, str]] = ()) -> DataFrame:
