@@ -2,8 +2,8 @@
 
 import pytest
 
-from tracewell.plans.code import known_tables, orm_classes
-from tracewell.plans.python_code import call_facts, function_uses
+from tracewell.plans.code import PrefixRule, backend_routes, known_tables, orm_classes, path_prefix
+from tracewell.plans.python_code import call_facts, function_uses, router_prefixes
 
 FILES = {
     "app/orm/tables.py": 'from sqlalchemy import Table\norders_t = Table("orders_core", meta)\nitems_t: Table = Table("items_core", meta)\nNAME = "audit_log"\n',
@@ -81,3 +81,29 @@ def test_long_chains_and_cycles(spark):
 def test_nothing(spark):
     files = spark.createDataFrame([], "path string, content string")
     assert function_uses(call_facts(files), known_tables(files), orm_classes(files)).count() == 0
+
+
+ROUTERS = {
+    "svc/main.py": "from fastapi import FastAPI\nfrom svc.api import api\napp = FastAPI()\napp.include_router(api, prefix='/v9')\n",
+    "svc/api/__init__.py": "from .top import api\n",
+    "svc/api/top.py": "from . import orders\nfrom .users import router as people\napi = APIRouter(prefix='/api')\napi.include_router(orders.router, prefix='/o')\napi.include_router(people)\napi.include_router(people, prefix='/again')\n",
+    "svc/api/orders.py": "router = APIRouter(prefix='/orders')\n@router.get('/{id}')\ndef one(id): pass\n",
+    "svc/api/users.py": "router = APIRouter()\n@router.post('/users')\ndef new(): pass\nalone = APIRouter(prefix='/alone')\n@alone.get('/x')\ndef x(): pass\n@unknown.get('/y')\ndef y(): pass\nrouter.include_router(router)\n",
+}
+
+
+def test_prefixes_of_routers(spark):
+    files = spark.createDataFrame(list(ROUTERS.items()), "path string, content string")
+    rows = backend_routes(files, routers=router_prefixes(call_facts(files))).collect()
+    assert sorted((r["function"], r["route"]) for r in rows) == [("new", "/v9/api/again/users"), ("new", "/v9/api/users"), ("one", "/v9/api/o/orders/{id}"), ("x", "/alone/x"), ("y", "/y")]
+
+
+def test_prefixes_of_paths(spark):
+    rules = [
+        PrefixRule("any", "", "/base"), PrefixRule("folder", "admin", "/admin"), PrefixRule("folder", "flows", "/flows"), PrefixRule("stem_contains", "book", "/books", "file"), PrefixRule("stem_contains", "bookings", "/never", "file"),
+        PrefixRule("path_contains", "money", "/money", once=True), PrefixRule("stem", "tagsets", "/own", replaces=True),
+    ]
+    paths = {"flows/admin/x.py": "/base/admin/flows", "a/bookings.py": "/base/books", "money/b.py": "/base/money", "admin/tagsets.py": "/own", "adminx/y.py": "/base", "my_money/book.py": "/base/books/money"}
+    got = {r["path"]: r["p"] for r in spark.createDataFrame([(p,) for p in paths], "path string").withColumn("p", path_prefix("path", rules)).collect()}
+    assert got == paths
+    assert {r["p"] for r in spark.createDataFrame([("a/b.py",)], "path string").withColumn("p", path_prefix("path", [("z", "/z"), ("b", "/b"), ("a", "/a")])).collect()} == {"/b"}

@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+import samples
 from tracewell.plans import cases, queries, relation_queries  # noqa: F401 (registers its queries)
 
 DATA = "/root/testdata/sf0.001"
@@ -36,6 +37,13 @@ def test_query(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("name", samples.SQL)
+def test_sample(spark, duck, name):
+    got, want = getattr(samples, name)(spark, "").toPandas(), duck.execute(samples.SQL[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got) == rows(want)
+
+
 @pytest.mark.parametrize("name", cases.SQL)
 def test_case(spark, duck, name):
     got, want = cases.QUERIES[name](spark, DATA).toPandas(), duck.execute(cases.SQL[name]).df()
@@ -48,25 +56,25 @@ def _cells(df):
 
 
 def test_code_cases(spark):
-    refs = _cells(cases.code_reference_cases(spark, ""))
+    refs = _cells(samples.code_reference_cases(spark, ""))
     assert ("alpha", "load", "ORDERS", "CUST_ID", "app.py") in refs and ("alpha", "purge", "ORDERS", "", "app.py") in refs and ("beta", "sync_all", "ORDERS", "CUST_ID", "run.sh") in refs
-    assert _cells(cases.orm_column_cases(spark, "")) == {("alpha/models.py", "ORDERS", "ORDER_ID")}
-    assert _cells(cases.frontend_call_cases(spark, "")) == {("web/orders.ts", "3", "loadOrders", "GET", "/api/v2/orders/{orderId}")}
-    assert _cells(cases.backend_route_cases(spark, "")) == {("alpha/routes.py", "2", "get_order", "GET", "/api/v2/orders/{order_id}", "OrderRead")}
-    assert {("alpha/app.py", "purge", "procedure", "LOAD_ORDERS"), ("alpha/routes.py", "get_order", "procedure", "LOAD_ORDERS"), ("alpha/app.py", "purge", "table", "ORDERS")} <= _cells(cases.function_use_cases(spark, ""))
-    assert ("OrderRead", "items.sku") in _cells(cases.nested_field_cases(spark, ""))
+    assert _cells(samples.orm_column_cases(spark, "")) == {("alpha/models.py", "ORDERS", "ORDER_ID")}
+    assert _cells(samples.frontend_call_cases(spark, "")) == {("web/orders.ts", "3", "loadOrders", "GET", "/api/v2/orders/{orderId}")}
+    assert _cells(samples.backend_route_cases(spark, "")) == {("alpha/routes.py", "2", "get_order", "GET", "/api/v2/orders/{order_id}", "OrderRead")}
+    assert {("alpha/app.py", "purge", "procedure", "LOAD_ORDERS"), ("alpha/routes.py", "get_order", "procedure", "LOAD_ORDERS"), ("alpha/app.py", "purge", "table", "ORDERS")} <= _cells(samples.function_use_cases(spark, ""))
+    assert ("OrderRead", "items.sku") in _cells(samples.nested_field_cases(spark, ""))
 
 
 def test_procedure_cases(spark):
-    assert _cells(cases.procedure_variable_cases(spark, "")) == {("load_orders", "tgt", "SALES.ORDERS_TMP")}
-    profile = {r["procedure_name"]: r for r in cases.procedure_profile_cases(spark, "").collect()}
+    assert _cells(samples.procedure_variable_cases(spark, "")) == {("load_orders", "tgt", "SALES.ORDERS_TMP")}
+    profile = {r["procedure_name"]: r for r in samples.procedure_profile_cases(spark, "").collect()}
     assert profile["load_orders"]["dynamic_sql"] and profile["load_orders"]["temp_tables"] == ["TGT"] and profile["refresh"]["language"] == "MIXED" and profile["refresh"]["cursors"] == ["c"]
-    uses = {(r["sp_name"], r["table_name"], r["column_name"]): r["relationship_types"] for r in cases.procedure_column_cases(spark, "").collect()}
+    uses = {(r["sp_name"], r["table_name"], r["column_name"]): r["relationship_types"] for r in samples.procedure_column_cases(spark, "").collect()}
     assert uses["LOAD_ORDERS", "SALES.ORDERS", "CUST_ID"] == "USED_AS_FILTER" and uses["REFRESH", "CUSTOMERS", "NAME"] == "USED_AS_ORDER_BY,USED_AS_SELECT"
 
 
 def test_action_mapping(spark):
-    rows = cases.action_mapping_cases(spark, "").collect()
+    rows = samples.action_mapping_cases(spark, "").collect()
     assert [r.asDict() for r in rows] == [{
         "frontend_file": "orders.ts", "frontend_function": "loadOrders", "http_method": "GET", "frontend_url": "/api/v2/orders/{orderId}", "backend_file": "routes.py", "backend_function": "get_order",
         "backend_route": "/api/v2/orders/{order_id}", "database_tables": "ORDERS", "stored_procedures": "LOAD_ORDERS", "flow_calls": "", "response_model": "OrderRead", "response_fields": "id,items",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
@@ -12,9 +12,10 @@ from tracewell.config import UNKNOWN_COLUMN
 from tracewell.functions.names import model_name
 from tracewell.operators.joins import match_routes
 from tracewell.operators.ranking import numbered
-from tracewell.plans.code import backend_routes, frontend_calls, known_tables, model_fields, nested_fields, orm_classes, orm_columns
-from tracewell.plans.python_code import call_facts, function_uses
+from tracewell.plans.code import PrefixRule, backend_routes, frontend_calls, known_tables, model_fields, nested_fields, orm_classes, orm_columns
+from tracewell.plans.python_code import call_facts, function_uses, router_prefixes
 from tracewell.sinks import mapping_rows
+from tracewell.storage import stored
 
 
 def _file(path: str) -> Column:
@@ -42,15 +43,17 @@ def response_fields(files: DataFrame) -> DataFrame:
     return dotted.groupBy("model").agg(F.array_join(own, ",").alias("response_fields"), F.array_join(nested, ",").alias("nested_fields"))
 
 
-def action_mapping(frontend: DataFrame, backend: DataFrame, prefixes: list[tuple[str, str]] = (), bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",)) -> DataFrame:
+def action_mapping(frontend: DataFrame, backend: DataFrame, prefixes: Sequence[PrefixRule | tuple[str, str]] = (), bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",), procedure_class: str = "", procedures: DataFrame | None = None) -> DataFrame:
     """The fourteen columns of the mapping, a row for each front-end call; what has no route has empty strings.
 
-    frontend, backend: path and content of code files. Routes are tried in the order of path and line.
+    frontend, backend: path and content of code files. Routes are tried in the order of path and line. procedure_class,
+    procedures: the class whose attributes are procedures, and functions that stand for procedures (function, name).
     """
     calls = frontend_calls(frontend, bases=bases, clients=clients)
-    routes = numbered(backend_routes(backend, prefixes), "place", F.col("path"), F.col("line"))
+    facts = stored(call_facts(backend, procedure_class), "facts")
+    routes = numbered(backend_routes(backend, prefixes, router_prefixes(facts)), "place", F.col("path"), F.col("line"))
     matched = match_routes(calls, routes, "url", "route", "method", "place")
-    uses = function_uses(call_facts(backend), known_tables(backend), orm_classes(backend))
+    uses = function_uses(facts, known_tables(backend), orm_classes(backend), procedures=procedures)
     details = table_details(uses, orm_columns(backend).select("table_name", "column_name"))
     fields = response_fields(backend)
     rows = matched

@@ -9,9 +9,10 @@ from __future__ import annotations
 import ast
 import re
 from bisect import bisect_left
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import count
 from types import MappingProxyType
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -268,19 +269,60 @@ def frontend_calls(files: DataFrame, bases: Mapping[str, str] = MappingProxyType
     return found.withColumn("url", normal_url("url", bases)).where(F.length("url") > 3).dropDuplicates(["path", "line", "method", "url"])
 
 
-def backend_routes(files: DataFrame, prefixes: list[tuple[str, str]] = ()) -> DataFrame:
-    """path, line, function, method, route and response_model of decorated routes; prefixes: (part of the path, prefix), the first that fits."""
+class PrefixRule(NamedTuple):
+    """Adds prefix to the routes of files that fit. kind: any, folder, stem, stem_contains or path_contains.
+
+    Of rules with one group only the first that fits counts. once: not where the prefix so far holds it already. replaces:
+    instead of what came before.
+    """
+
+    kind: str
+    pattern: str
+    prefix: str
+    group: str = ""
+    once: bool = False
+    replaces: bool = False
+
+
+def path_prefix(path: str, rules: Sequence[PrefixRule | tuple[str, str]]) -> Column:
+    """What rules make of a file's path, one after the other; (part, prefix) is a rule on a part of the path, of which the first that fits counts."""
+    rules = [r if isinstance(r, PrefixRule) else PrefixRule("path_contains", *r, group="path") for r in rules]
+    names = F.split(F.col(path), "/")
+    stem = F.regexp_replace(F.element_at(names, -1), r"\.[^.]*$", "")
+    fits = {
+        "any": lambda p: F.lit(True), "folder": lambda p: F.array_contains(F.slice(names, F.lit(1), F.size(names) - 1), p), "stem": lambda p: stem == p,
+        "stem_contains": lambda p: stem.contains(p), "path_contains": lambda p: F.col(path).contains(p),
+    }
+    text, done = F.lit(""), set()
+    for r in rules:
+        if r.group in done:
+            continue
+        of = [x for x in rules if x.group == r.group] if r.group else [r]
+        done |= {r.group} - {""}
+        added = F.coalesce(*(F.when(fits[x.kind](x.pattern), F.lit(x.prefix)) for x in of))
+        if r.replaces:
+            text = F.coalesce(added, text)
+        else:
+            text = F.concat(text, F.coalesce(F.when(~text.contains(r.prefix), added) if r.once else added, F.lit("")))
+    return text
+
+
+def backend_routes(files: DataFrame, prefixes: Sequence[PrefixRule | tuple[str, str]] = (), routers: DataFrame | None = None) -> DataFrame:
+    """path, line, function, method, route and response_model of decorated routes.
+
+    prefixes: rules on paths (path_prefix). routers: path, router and prefix (of python_code.router_prefixes), which
+    stand after the path's prefix; a router that is included twice has its routes twice.
+    """
     def find(content: str) -> list[tuple]:
         rows = []
         for f in (n for n in ast.walk(parsed(content) or ast.Module([], [])) if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef)):
             for d in f.decorator_list:
                 if isinstance(d, ast.Call) and isinstance(d.func, ast.Attribute) and d.func.attr in ("get", "post", "put", "patch", "delete") and d.args and isinstance(d.args[0], ast.Constant):
                     model = next((ast.unparse(k.value) for k in d.keywords if k.arg == "response_model"), ast.unparse(f.returns) if f.returns else None)
-                    rows.append((f.lineno, f.name, d.func.attr.upper(), str(d.args[0].value), model))
+                    rows.append((f.lineno, f.name, d.func.attr.upper(), str(d.args[0].value), model, ast.unparse(d.func.value)))
         return rows
 
-    found = by_file(files, find, "line long, function string, method string, route string, response_model string")
-    prefix: Column = F.lit("")
-    for part, value in reversed(prefixes):
-        prefix = F.when(F.col("path").contains(part), value).otherwise(prefix)
-    return found.withColumn("route", F.concat(prefix, "route"))
+    found = by_file(files, find, "line long, function string, method string, route string, response_model string, router string")
+    if routers is not None:
+        found = found.join(routers.withColumnRenamed("prefix", "_of_router"), ["path", "router"], "left").withColumn("route", F.concat(F.coalesce("_of_router", F.lit("")), "route"))
+    return found.withColumn("route", F.concat(path_prefix("path", prefixes), "route")).select("path", "line", "function", "method", "route", "response_model")

@@ -21,8 +21,16 @@ from tracewell.storage import stored
 FACTS = "function string, owner string, kind string, name string, value string"
 #: Kinds of facts. A function is named with the classes and functions around it (Orders.load); module level is the empty name.
 #: def, class, base, import: what a scope defines. new, alias, text, table: what a name is given (an object of a class,
-#: another name, a text, a declared table). call, name, string, procedure, flow: what a scope mentions.
+#: another name, a text, a declared table). call, name, string, procedure, flow: what a scope mentions. router, include:
+#: routers with their prefix, and what they include under which prefix.
 GIVEN = ("new", "alias", "text", "table")
+#: Classes of routers and the methods that include one in another.
+ROUTERS = ("APIRouter", "FastAPI", "Blueprint", "Flask")
+INCLUDES = ("include_router", "register_blueprint")
+
+
+def text_of(call: ast.Call, argument: str) -> str:
+    return next((k.value.value for k in call.keywords if k.arg == argument and isinstance(k.value, ast.Constant) and isinstance(k.value.value, str)), "")
 
 
 def dotted(n: ast.AST | None) -> str | None:
@@ -103,6 +111,8 @@ class Walk(ast.NodeVisitor):
             self.add("text", target, value.value)
         elif isinstance(value, ast.Call) and (made := dotted(value.func)):
             first = value.args[0] if value.args else None
+            if made.rpartition(".")[2] in ROUTERS:
+                self.add("router", target, text_of(value, "prefix") or text_of(value, "url_prefix"))
             if made.rpartition(".")[2] == "Table" and isinstance(first, ast.Constant) and isinstance(first.value, str):
                 self.add("table", target, first.value)
             else:
@@ -148,6 +158,8 @@ class Walk(ast.NodeVisitor):
         name = dotted(node.func)
         if name and name not in SKIPPED_CALLS:
             self.add("call", name)
+        if isinstance(node.func, ast.Attribute) and node.func.attr in INCLUDES and node.args and (child := dotted(node.args[0])):
+            self.add("include", dotted(node.func.value) or "", f"{child}|{text_of(node, 'prefix') or text_of(node, 'url_prefix')}")
         if isinstance(node.func, ast.Attribute):
             owner = (dotted(node.func.value) or "").rpartition(".")[2]
             if owner in self.flows or "flow_service" in owner:
@@ -377,3 +389,29 @@ def function_uses(facts: DataFrame, tables: DataFrame, models: DataFrame | None
     below = reachable(call_edges(facts, names, modules), "caller", "callee", depth).select(F.col("source").alias("caller"), F.col("target").alias("node"))
     below = below.where("caller.function != ''")
     return kinds.unionByName(below.join(kinds, "node").select(F.col("caller").alias("node"), "kind", "name")).distinct().select("node.*", "kind", "name")
+
+
+def router_prefixes(facts: DataFrame) -> DataFrame:
+    """path, router and each prefix that its routes have: its own, after those of the routers that include it, as far up as these go. A router that includes itself adds nothing more."""
+    facts = stored(facts.where("kind in ('router', 'include', 'import', 'def', 'class', 'new', 'alias', 'text', 'table')"), "router-facts")
+    names, modules = bindings(facts)
+    own = facts.where("kind = 'router'").groupBy("path", "name").agg(F.min("value").alias("prefix"))
+    given = facts.where("kind = 'include'").select("path", F.col("name").alias("parent"), F.split_part("value", F.lit("|"), F.lit(1)).alias("name"), F.split_part("value", F.lit("|"), F.lit(2)).alias("under")).distinct()
+    children = lookup(given, names, modules).select("path", "parent", "under", "d_path", "d_name")
+    parents = lookup(children.select("path", F.col("parent").alias("name"), "under", F.col("d_path").alias("c_path"), F.col("d_name").alias("c_name")), names, modules)
+    edges = parents.select(F.struct(F.col("c_path").alias("path"), F.col("c_name").alias("name")).alias("node"), F.struct(F.col("d_path").alias("path"), F.col("d_name").alias("name")).alias("up"), "under").distinct()
+    above = own.select(F.struct("path", "name").alias("up"), F.col("prefix").alias("up_prefix"))
+    edges = stored(edges.join(above, "up", "left").withColumn("added", F.concat(F.coalesce("up_prefix", F.lit("")), "under")).select("node", "up", "added"), "includes")
+    included = edges.select("node").distinct().withColumn("included", F.lit(True))
+    frontier = stored(own.select("path", F.col("name").alias("router"), F.struct("path", "name").alias("node"), "prefix", F.array(F.struct("path", "name")).alias("seen")), "routers")
+    found = None
+    for n in count(1):
+        ends = frontier.join(included, "node", "left").where("included is null").select("path", "router", "prefix")
+        found = ends if found is None else found.unionByName(ends)
+        step = frontier.join(edges, "node").where(~F.array_contains("seen", F.col("up"))).select("path", "router", F.col("up").alias("node"), F.concat("added", "prefix").alias("prefix"), F.concat("seen", F.array("up")).alias("seen"))
+        frontier = stored(step.distinct(), "routers")
+        if frontier.isEmpty():
+            break
+        if n % ROUNDS == 0:
+            found = stored(found, "router-prefixes")
+    return found.distinct()
