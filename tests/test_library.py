@@ -105,7 +105,7 @@ def test_levels_and_fields_of_any_depth(spark):
 
 def test_catalog(spark):
     tables = spark.createDataFrame([("D", "S1", "ORDERS", "BASE TABLE"), ("D", "S2", "ORDERS", "VIEW"), ("D", "S2", "CANVAS_X", "BASE TABLE"), ("E", "S2", "ITEMS", "VIEW")], "table_catalog string, table_schema string, table_name string, table_type string")
-    assert cells(catalog.objects(tables, Catalog(schemas=("S2",))), "table_name") == [("ITEMS",), ("ORDERS",)]
+    assert cells(catalog.objects(tables, Catalog(schemas=("S2",), excluded_like=("CANVAS_%",))), "table_name") == [("ITEMS",), ("ORDERS",)]
     names = spark.createDataFrame([("orders",), ("S1.ORDERS",), ("D.S2.orders",), ("NONE_T",)], "table_name string")
     got = catalog.locate(names, tables, ("S2", "S1"))
     assert cells(got, "table_name", "table_type") == [("D.S2.orders", "VIEW"), ("NONE_T", "NOT_FOUND"), ("S1.ORDERS", "BASE TABLE"), ("orders", "VIEW")]
@@ -185,3 +185,69 @@ def test_contained_names_of_any_length(spark):
     texts = spark.createDataFrame([("select a from t1",), ("x",), ("",), (None,)], "text string")
     names = spark.createDataFrame([("t1",), ("x",), ("from",), ("none",), ("",), (None,)], "name string")
     assert {(r["text"], r["name"]) for r in contained_names(texts, names, "text", "name").collect()} == {("select a from t1", "t1"), ("select a from t1", "from"), ("x", "x")}
+
+
+def test_similar_segments_against_all_pairs(spark):
+    import random
+
+    from tracewell.operators.joins import match_routes, similar_segments
+
+    rng = random.Random(21)
+    path = lambda: "/api/v2/" + "/".join(rng.choices("abcdefg", k=rng.randrange(1, 6)))
+    calls, routes = [(k, path(), rng.choice(["GET", "PUT"])) for k in range(150)], [(k, path(), rng.choice(["GET", "PUT"])) for k in range(80)]
+    alike = lambda a, b: len(set(a.split("/")) & set(b.split("/"))) / len(set(a.split("/")) | set(b.split("/")))
+    c, r = spark.createDataFrame(calls, "_call long, _path string, _method string"), spark.createDataFrame(routes, "_rank long, _path string, _method string")
+    got = {tuple(x) for x in similar_segments(c, r, 0.6).collect()}
+    assert {(i, j) for i, a, m in calls for j, b, n in routes if m == n and alike(a, b) >= 0.6} <= got
+    matched = match_routes(c.selectExpr("_call as n", "_path as url", "_method as method"), r.selectExpr("_rank as place", "_path as route", "_method as method"), "url", "route", "method", "place").collect()
+    for x in matched:
+        best = max(((alike(x["url"], b), -j) for j, b, n in routes if n == x["method"] and b.strip("/") != x["url"].strip("/")), default=(0, 0))
+        exact = [j for j, b, n in routes if n == x["method"] and b.strip("/") == x["url"].strip("/")]
+        assert x["route_place"] == (exact[0] if exact else -best[1] if best[0] > 0.6 else None)
+
+
+def test_segments_that_all_paths_share_make_no_pairs(spark):
+    from tracewell.operators.joins import similar_segments
+
+    c = spark.range(2000).selectExpr("id as _call", "concat('/api/v2/c', id, '/x', id, '/list') as _path", "'GET' as _method")
+    r = spark.range(2000).selectExpr("id as _rank", "concat('/api/v2/c', id + 1000, '/y', id, '/list') as _path", "'GET' as _method")
+    assert similar_segments(c, r, 0.6).count() <= 1000  # of 4,000,000 pairs that share api, v2 and list
+
+
+def test_definitions_and_procedures(spark):
+    procedures = spark.createDataFrame([("B", "d1", "MY_API"), ("A", "d2", "API"), ("A", "d3", "X"), (None, None, None)], "procedure_name string, procedure_definition string, procedure_schema string")
+    assert cells(catalog.procedures_like(procedures, "API"), "procedure_name") == [("A",), ("B",)]
+    assert [r[0] for r in catalog.procedure_names(procedures).collect()] == ["A", "B"]
+    tables = spark.createDataFrame([("D", "S1", "V", "VIEW"), ("D", "S2", "V", "VIEW")], "table_catalog string, table_schema string, table_name string, table_type string")
+    ddl = spark.createDataFrame([("S1", "V", "one"), ("S2", "V", "two")], "table_schema string, table_name string, ddl string")
+    names = spark.createDataFrame([("v",), ("S1.V",), ("W",)], "view_name string")
+    assert cells(catalog.definitions_of(names, ddl, tables, ("S2",)), "view_name", "ddl") == [("S1.V", "one"), ("W", None), ("v", "two")]
+
+
+def test_failed_appends_leave_a_backup(spark, tmp_path):
+    rows = spark.range(5)
+    good = str(tmp_path / "good")
+    assert sinks.append_or_back_up(rows, good, str(tmp_path / "b0")) == good and sinks.append_or_back_up(rows, good, str(tmp_path / "b0")) == good
+    assert spark.read.parquet(good).count() == 10
+    blocked = tmp_path / "file"
+    blocked.write_text("not a folder")
+    assert sinks.append_or_back_up(rows, str(blocked), str(tmp_path / "b1")) == str(tmp_path / "b1")
+    assert blocked.read_text() == "not a folder" and spark.read.parquet(str(tmp_path / "b1")).count() == 5
+
+
+def test_totals_of_a_run(spark, tmp_path):
+    uses = spark.createDataFrame([("P", "T1"), ("P", "T2"), ("Q", "T1")], "sp_name string, table_name string")
+    assert sinks.run_totals(uses, str(tmp_path / "u")) == {"n_relations": 3, "n_procedures": 2, "n_tables": 2, "relations_a_procedure": 1.5}
+    assert sinks.run_totals(uses.limit(0), str(tmp_path / "v"))["relations_a_procedure"] == 0.0
+    sinks.write_names(uses.select("table_name").distinct(), str(tmp_path / "names"))
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "names")).collect()) == ["T1", "T2"]
+
+
+def test_unmapped_and_majority(spark):
+    from tracewell.operators.aggregates import majority_source, unmapped
+
+    rows = spark.createDataFrame([("a", None), ("a", None), ("b", "x"), ("c", None)], "k string, v string")
+    assert cells(unmapped(rows, "k", "v"), "k", "n") == [("a", 2), ("c", 1)]
+    missing = spark.createDataFrame([("v", c) for c in "pqr"], "object string, column string")
+    definitions = spark.createDataFrame([("v", "p", "one", 1), ("v", "p", "two", 2), ("v", "q", "two", 2), ("v", "q", "three", 3), ("v", "r", "three", 3)], "object string, column string, source string, place int")
+    assert cells(majority_source(missing, definitions, ["object"], "column", "source", "place"), "source") == [("two",)]

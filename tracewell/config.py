@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 # Names and markers of the data contract.
 SP_BLACKLIST = ("IDENTIFIER", "logged_user", "", "NULL", "null")
-PROCEDURE_PREFIX = "V2ProcedureNames."
 UNKNOWN_COLUMN = "unknown"
 NULL_NAMES = ("", "nan", "none")
 IGNORED_DIRECTORIES = ("__pycache__", "node_modules", ".git", ".venv", "venv", "env", ".pytest_cache", "dist", "build")
@@ -25,7 +24,7 @@ class Catalog:
     """How catalog scans choose objects and schemas."""
 
     schemas: tuple[str, ...] = ()
-    excluded_like: tuple[str, ...] = ("CANVAS_%",)
+    excluded_like: tuple[str, ...] = ()
     priority: tuple[str, ...] = ()
 
 

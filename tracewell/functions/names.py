@@ -50,9 +50,9 @@ def normal_url(url: str | Column, bases: Mapping[str, str] = MappingProxyType({}
     return F.trim(F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(r"^\$\{\w+\}$"), plain(p)).otherwise(p)), ""))
 
 
-def route_key(path: str | Column) -> Column:
-    """What two routes must share to match: no API prefix or slashes at the ends, every parameter as {}."""
-    c = F.replace(col(path), F.lit("/api/v2"), F.lit(""))
+def route_key(path: str | Column, base: str = "") -> Column:
+    """What two routes must share to match: no base path or slashes at the ends, every parameter as {}."""
+    c = F.replace(col(path), F.lit(base), F.lit("")) if base else col(path)
     return F.regexp_replace(F.trim(c, F.lit("/")), r"\{[^{}/]*\}", "{}")
 
 

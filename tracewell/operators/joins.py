@@ -95,23 +95,48 @@ def enclosing_range(points: DataFrame, ranges: DataFrame, key: str, at: str, low
     return best.select(*points.columns, "_range.*")
 
 
-def match_routes(calls: DataFrame, routes: DataFrame, call_path: str, route_path: str, method: str, order: str, threshold: float = 0.6) -> DataFrame:
+def rare_first(sets: DataFrame, id_: str, item: str, frequency: DataFrame, share: float) -> DataFrame:
+    """id, size, with (the size of another set) and item: of each set, for each size that a set of Jaccard similarity `share` can have, its rarest items, so many that two such sets have one of them in common."""
+    ordered = sets.join(frequency, item).groupBy(id_).agg(F.sort_array(F.collect_list(F.struct("_n", item))).alias("_items"))  # a path's segments
+    size = F.size("_items")
+    sizes = ordered.select(id_, "_items", size.alias("size"), F.explode(F.sequence(F.ceil(share * size - 1e-9).cast("int"), F.floor(size / share + 1e-9).cast("int"))).alias("with"))
+    common = F.ceil(share / (1 + share) * (F.col("size") + F.col("with")) - 1e-9)
+    kept = F.slice("_items", F.lit(1), F.greatest(F.col("size") - common + 1, F.lit(0)).cast("int"))
+    return sizes.select(id_, "size", "with", F.explode(kept).alias("_i")).select(id_, "size", "with", F.col(f"_i.{item}").alias(item))
+
+
+def similar_segments(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """_call and _rank of paths (_call or _rank, _path, _method) of one method that may have a similarity of threshold or more.
+
+    Segments are ordered by how often they come, rarest first, and for each size of the other path only as many of the
+    first ones are joined on as two similar paths of these sizes must share one of: what nearly all paths share is hardly
+    ever a key.
+    """
+    cut = lambda df, id_: df.select(F.struct(F.col(id_).alias("id"), F.col("_method").alias("method")).alias("_id"), F.explode(F.array_distinct(F.split("_path", "/"))).alias("_segment"))
+    calls, routes = cut(left, "_call"), cut(right, "_rank")
+    frequency = calls.select("_segment").unionByName(routes.select("_segment")).groupBy("_segment").agg(F.count("*").alias("_n"))
+    calls, routes = (rare_first(x, "_id", "_segment", frequency, threshold) for x in (calls, routes))
+    calls = calls.select(F.col("_id.id").alias("_call"), F.col("_id.method").alias("_m"), F.col("size").alias("_l"), F.col("with").alias("_r"), "_segment")
+    routes = routes.select(F.col("_id.id").alias("_rank"), F.col("_id.method").alias("_m"), F.col("with").alias("_l"), F.col("size").alias("_r"), "_segment")
+    return calls.join(routes, ["_m", "_l", "_r", "_segment"]).select("_call", "_rank").distinct()
+
+
+def match_routes(calls: DataFrame, routes: DataFrame, call_path: str, route_path: str, method: str, order: str, threshold: float = 0.6, base: str = "") -> DataFrame:
     """Each call with its route: the first whose segments agree, else the most similar over the threshold, else null.
 
-    Exact matches are an equi join on method and normal path. Only calls without one are compared by similarity, and only
-    with routes of their method that share a segment, since others have similarity 0. Routes' columns get the prefix route_.
+    Exact matches are an equi join on method and normal path, without `base`. Only calls without one are compared by
+    similarity, and only with routes of their method that share a rare segment. Routes' columns get the prefix route_;
+    order numbers routes.
     """
     named = routes.select(*(F.col(c).alias(f"route_{c}") for c in routes.columns))
     key, rank = f"route_{method}", f"route_{order}"
     calls = calls.withColumn("_call", F.xxhash64(*calls.columns))
     unique = calls.dropDuplicates(["_call"])
-    exact = unique.join(named, (unique[method] == named[key]) & (route_key(unique[call_path]) == route_key(named[f"route_{route_path}"])))
+    exact = unique.join(named, (unique[method] == named[key]) & (route_key(unique[call_path], base) == route_key(named[f"route_{route_path}"], base)))
     exact = _first_route(exact, rank).withColumn("route_score", F.lit(1.0))
     rest = unique.join(exact.select("_call"), "_call", "left_anti")
-    segments = lambda c: F.array_distinct(F.split(c, "/"))
-    left = rest.withColumn("_segment", F.explode(segments(F.col(call_path)))).where("_segment != ''")
-    right = named.withColumn("_segment", F.explode(segments(F.col(f"route_{route_path}")))).where("_segment != ''")
-    pairs = left.join(right, (left[method] == right[key]) & (left["_segment"] == right["_segment"])).drop("_segment").dropDuplicates(["_call", rank])
+    pairs = similar_segments(rest.select("_call", F.col(call_path).alias("_path"), F.col(method).alias("_method")), named.select(F.col(rank).alias("_rank"), F.col(f"route_{route_path}").alias("_path"), F.col(key).alias("_method")), threshold)
+    pairs = pairs.join(rest, "_call").join(named, F.col("_rank") == F.col(rank)).where(F.col(method) == F.col(key))
     scored = pairs.withColumn("route_score", segment_similarity(call_path, f"route_{route_path}")).where(F.col("route_score") > threshold)
     fuzzy = scored.groupBy("_call").agg(F.min(F.struct((-F.col("route_score")).alias("low"), F.col(rank).alias("rank"), F.struct(*named.columns, "route_score").alias("route"))).alias("best")).select("_call", "best.route.*")
     chosen = exact.select("_call", *named.columns, "route_score").unionByName(fuzzy)

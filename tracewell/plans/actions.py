@@ -43,16 +43,17 @@ def response_fields(files: DataFrame) -> DataFrame:
     return dotted.groupBy("model").agg(F.array_join(own, ",").alias("response_fields"), F.array_join(nested, ",").alias("nested_fields"))
 
 
-def action_mapping(frontend: DataFrame, backend: DataFrame, prefixes: Sequence[PrefixRule | tuple[str, str]] = (), bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",), procedure_class: str = "", procedures: DataFrame | None = None) -> DataFrame:
+def action_mapping(frontend: DataFrame, backend: DataFrame, prefixes: Sequence[PrefixRule | tuple[str, str]] = (), bases: Mapping[str, str] = MappingProxyType({}), clients: tuple[str, ...] = ("client",), procedure_class: str = "", procedures: DataFrame | None = None, base: str = "") -> DataFrame:
     """The fourteen columns of the mapping, a row for each front-end call; what has no route has empty strings.
 
     frontend, backend: path and content of code files. Routes are tried in the order of path and line. procedure_class,
-    procedures: the class whose attributes are procedures, and functions that stand for procedures (function, name).
+    procedures: the class whose attributes are procedures, and functions that stand for procedures (function, name). base: a path
+    that calls and routes may or may not begin with.
     """
     calls = frontend_calls(frontend, bases=bases, clients=clients)
     facts = stored(call_facts(backend, procedure_class), "facts")
     routes = numbered(backend_routes(backend, prefixes, router_prefixes(facts)), "place", F.col("path"), F.col("line"))
-    matched = match_routes(calls, routes, "url", "route", "method", "place")
+    matched = match_routes(calls, routes, "url", "route", "method", "place", base=base)
     uses = function_uses(facts, known_tables(backend), orm_classes(backend), procedures=procedures)
     details = table_details(uses, orm_columns(backend).select("table_name", "column_name"))
     fields = response_fields(backend)

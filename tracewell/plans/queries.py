@@ -136,8 +136,8 @@ def trigger_classification(spark, d):
     null = lambda t: F.lit(None).cast(t)
     sp = c.select(F.col("c_name").alias("sp_name"), F.col("c_mktsegment").alias("sp_schema"), null("string").alias("table_name"), null("string").alias("column_name"), null("string").alias("relationship_types"), null("int").alias("base_table_id"), null("int").alias("base_column_id"))
     flows = table(spark, d, "orders").where("o_orderstatus = 'P'").join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_name").alias("sp_name"), F.col("o_orderpriority").alias("repo_name"))
-    actions = table(spark, d, "events").where("event_type = 'error' OR value > 90").join(c, F.col("user_id") == F.col("c_custkey")).select(F.concat(F.lit("V2ProcedureNames."), "c_name", F.lit(",NULL, IDENTIFIER")).alias("stored_procedures"), F.concat(F.lit("/"), "event_type").alias("backend_route"))
-    return procedure_triggers(sp, flows, actions).select("id", "sp_name", "sp_schema", "trigger_type", "source_reference")
+    actions = table(spark, d, "events").where("event_type = 'error' OR value > 90").join(c, F.col("user_id") == F.col("c_custkey")).select(F.concat(F.lit("Names."), "c_name", F.lit(",NULL, IDENTIFIER")).alias("stored_procedures"), F.concat(F.lit("/"), "event_type").alias("backend_route"))
+    return procedure_triggers(sp, flows, actions, prefix="Names.").select("id", "sp_name", "sp_schema", "trigger_type", "source_reference")
 
 
 @query("SELECT upper(p_name) AS name, arg_max(p_brand, p_partkey) AS p_brand FROM part GROUP BY 1")

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.config import PROCEDURE_PREFIX
 from tracewell.functions.predicates import procedure_name
 from tracewell.operators.aggregates import list_distinct
 from tracewell.operators.delimited import explode_list, explode_table_columns, without_alias
@@ -94,20 +93,19 @@ def procedure_columns(procedures: DataFrame, base_names: DataFrame, base_table:
     return numbered(rows, "id", *_in_order("sp_name", "table_name", "column_name", "sp_schema", "relationship_types", "base_table_id", "base_column_id"))
 
 
-def procedure_routes(actions: DataFrame, any_case: bool = False) -> DataFrame:
-    """Routes that call a procedure, as a list, by its upper-case name."""
+def procedure_routes(actions: DataFrame, any_case: bool = False, prefix: str = "") -> DataFrame:
+    """Routes that call a procedure, as a list, by its upper-case name without the prefix that names of procedures have in code."""
     rows = explode_list(actions.where(F.col("stored_procedures").isNotNull()), "stored_procedures", "_sp").where(procedure_name("_sp"))
-    prefix = F.lit(PROCEDURE_PREFIX)
-    has = F.startswith(F.upper("_sp"), F.upper(prefix)) if any_case else F.startswith("_sp", prefix)
-    name = F.upper(F.when(has, F.substr("_sp", F.lit(len(PROCEDURE_PREFIX) + 1))).otherwise(F.col("_sp")))
+    has = F.startswith(F.upper("_sp"), F.upper(F.lit(prefix))) if any_case else F.startswith("_sp", F.lit(prefix))
+    name = F.upper(F.when(has, F.substr("_sp", F.lit(len(prefix) + 1))).otherwise(F.col("_sp")))
     return rows.groupBy(name.alias("sp_found")).agg(list_distinct("backend_route").alias("backend_routes"))
 
 
-def procedure_triggers(procedure_columns_: DataFrame, flows: DataFrame, actions: DataFrame) -> DataFrame:
+def procedure_triggers(procedure_columns_: DataFrame, flows: DataFrame, actions: DataFrame, prefix: str = "") -> DataFrame:
     """Procedure columns with what triggers the procedure: flows, endpoints, both or neither. Flows are grouped by the name as written."""
     p = procedure_columns_
     repos = flows.groupBy(F.col("sp_name").alias("_flow")).agg(list_distinct("repo_name").alias("repo_names"))
-    routes = procedure_routes(actions)
+    routes = procedure_routes(actions, prefix=prefix)
     found = p.join(repos, _same(p["sp_name"], repos["_flow"]), "left").join(routes, F.upper(p["sp_name"]) == routes["sp_found"], "left")
     by_flow, by_api = F.col("_flow").isNotNull(), F.col("sp_found").isNotNull()
     trigger = F.when(by_flow & by_api, "flow_triggered,api_triggered").when(by_flow, "flow_triggered").when(by_api, "api_triggered").otherwise("")

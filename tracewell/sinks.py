@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tracewell.storage import stored
+
 MAPPING_COLUMNS = (
     "frontend_file", "frontend_function", "http_method", "frontend_url", "backend_file", "backend_function", "backend_route", "database_tables",
     "stored_procedures", "flow_calls", "response_model", "response_fields", "nested_fields", "table_column_details",
@@ -24,6 +26,39 @@ def append_run(df: DataFrame, path: str, run: str) -> None:
     df.withColumn("run_ts", F.lit(run)).write.mode("append").partitionBy("run_ts").option("header", True).csv(path)
 
 
+def append_or_back_up(df: DataFrame, path: str, backup: str) -> str:
+    """Adds rows to a Parquet table and returns its path; where that fails, they go to backup, and the table is as before.
+
+    Spark commits files only once all tasks are done, so a failed append leaves nothing in the table.
+    """
+    kept = stored(df, "append")  # computed once: a failure of df itself is the caller's
+    try:
+        kept.write.mode("append").parquet(path)
+        return path
+    except Exception:
+        kept.write.mode("error").parquet(backup)
+        return backup
+
+
+def write_with_totals(df: DataFrame, path: str, **totals: Column) -> dict[str, object]:
+    """Writes Parquet and returns aggregates of the rows, gathered while they are written: no second scan."""
+    seen = Observation()
+    df.observe(seen, *(c.alias(name) for name, c in totals.items())).write.mode("error").parquet(path)
+    return seen.get
+
+
+def run_totals(uses: DataFrame, path: str) -> dict[str, object]:
+    """Writes relations of procedures and returns how many there are, of how many procedures and tables (approximately, as one pass allows), and relations a procedure."""
+    found = write_with_totals(uses, path, n_relations=F.count("*"), n_procedures=F.approx_count_distinct("sp_name", 0.01), n_tables=F.approx_count_distinct("table_name", 0.01))
+    return found | {"relations_a_procedure": found["n_relations"] / found["n_procedures"] if found["n_procedures"] else 0.0}
+
+
+def write_names(names: DataFrame, path: str) -> None:
+    """A text file list, a name a line, in order."""
+    column = names.columns[0]
+    names.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).orderBy(column).write.mode("error").text(path)
+
+
 def mapping_rows(mapping: DataFrame) -> DataFrame:
     """The fixed columns in order; what an unmatched call lacks is an empty string."""
     have = {c.lower() for c in mapping.columns}

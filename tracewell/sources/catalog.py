@@ -70,3 +70,21 @@ def view_definitions(spark: SparkSession, names: list[str]) -> DataFrame:
         return spark.sql(f"SHOW CREATE TABLE {name}").first()[0] if spark.catalog.tableExists(name) else None
 
     return spark.createDataFrame([(n, ddl(n)) for n in names], "view_name string, ddl string")
+
+
+def procedures_like(procedures: DataFrame, part: str) -> DataFrame:
+    """Procedures (procedure_name, procedure_schema, procedure_definition) whose schema has the part, as written, in its name."""
+    return procedures.where(F.col("procedure_schema").contains(part)).select("procedure_name", "procedure_definition", "procedure_schema")
+
+
+def procedure_names(procedures: DataFrame) -> DataFrame:
+    """Distinct names, in order."""
+    return procedures.where(F.col("procedure_name").isNotNull()).select("procedure_name").distinct().orderBy("procedure_name")
+
+
+def definitions_of(names: DataFrame, definitions: DataFrame, tables: DataFrame, priority: tuple[str, ...]) -> DataFrame:
+    """view_name and ddl of asked names, in one join: definitions (table_schema, table_name, ddl) of the object that locate() finds; null where there is none."""
+    at = locate(names, tables, priority, "view_name")
+    d = definitions.select(F.upper("table_schema").alias("_s"), F.upper("table_name").alias("_t"), "ddl")
+    last = F.upper(F.split_part("view_name", F.lit("."), F.lit(-1)))
+    return at.join(d, (F.upper(at["found_schema"]) == d["_s"]) & (last == d["_t"]), "left").groupBy("view_name").agg(F.min("ddl").alias("ddl"))
