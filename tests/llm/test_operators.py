@@ -672,3 +672,14 @@ def test_html_spans_fields_and_depth():
     assert html_render.render("<table><tr><td>" * 3000 + "deep") == "deep"
     for page in ("<div>" * 40_000 + "x", "<div>" * 40_000 + "</p>" * 40_000 + "x"):  # quadratic time would take minutes
         assert html_render.render(page) == "x"
+
+
+def test_html_self_closed_elements_of_svg_and_time_of_definitions():
+    import time
+
+    for inner in ("desc", "defs", "title", "mask"):
+        assert html_render.render(f"<p>a<svg><{inner}/><text>Visible</text></svg>b").split() == "a Visible b".split()
+    assert html_render.render("<svg/>x<math/>y<div/>z").split() == ["xy", "z"]
+    began = time.time()
+    html_render.render("<div>" * 20_000 + "<svg>" + "<mask>" * 20_000)
+    assert html_render.render("<div>" * 20_000 + "<mask>" * 20_000 + "x") == "x" and time.time() - began < 10

@@ -64,7 +64,7 @@ SPACE = re.compile(r"[ \t\n\r\f]+")
 class Node:
     """scope: the innermost element of CONTENTS that it stands in or is, else the root; p: the p that a block inside it closes."""
 
-    __slots__ = ("attrs", "children", "opened", "p", "parent", "scope", "tag")
+    __slots__ = ("attrs", "children", "opened", "p", "parent", "drawn", "scope", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
@@ -72,17 +72,11 @@ class Node:
         self.scope = self if own else parent.scope
         self.opened: dict[str, int] | None = {} if own else None  # of a scope: its open elements by tag
         self.p = self if tag == "p" else None if own or tag == "button" else parent.p
+        self.drawn = parent is not None and (parent.tag in ("svg", "math") or parent.drawn)  # inside svg or math
 
     def hidden(self) -> bool:
         a = self.attrs
-        return self.tag in INVISIBLE or (self.tag in DEFINITIONS and self.drawn()) or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(HIDDEN_STYLE.search(a.get("style") or ""))
-
-    def drawn(self) -> bool:
-        """Whether it stands inside svg or math."""
-        node = self.parent
-        while node is not None and node.tag not in ("svg", "math"):
-            node = node.parent
-        return node is not None
+        return self.tag in INVISIBLE or (self.tag in DEFINITIONS and self.drawn) or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(HIDDEN_STYLE.search(a.get("style") or ""))
 
 
 class Builder(HTMLParser):
@@ -189,6 +183,8 @@ class Builder(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        if self.at.tag == tag and tag not in VOID and (self.at.drawn or tag in ("svg", "math")):  # elsewhere the slash means nothing
+            self._to(self.at.parent)
 
     def handle_endtag(self, tag):
         if tag == "br":
