@@ -4,7 +4,7 @@ import time
 
 import pytest
 
-from tracewell.plans.code import frontend_calls, functions
+from tracewell.plans.code import frontend_calls, functions, sql_strings
 from tracewell.plans.code_tokens import Innermost, function_ranges, mask, pairs
 
 TS = r"""
@@ -77,3 +77,15 @@ def test_time_is_linear(big):
     code, _ = mask(big, "ts")
     Innermost(function_ranges(code, pairs(code), "ts"))
     assert time.time() - began < 20
+
+
+def test_texts_that_are_sql(spark):
+    files = [
+        ("a.py", "py", 'x = 1\ndb.execute("SELECT COUNT(*) FROM BIG_TABLE WHERE X = 1 AND Y = 2")\ndb.run(f"DELETE FROM {schema}.OLD_ROWS WHERE AGE > {n} AND K = 1")\n'),
+        ("b.ts", "ts", "// 'SELECT a FROM comments WHERE b = 1'\nq(`SELECT t.id FROM things t WHERE t.n = ${n} AND 1 = 1`);\n"),
+        ("c.sql", "sql", "SELECT a, b FROM first_table WHERE a = 1;\n\nUPDATE second_table SET b = 2 WHERE a = 3;"),
+        ("d.sh", "sh", "# \"SELECT x FROM comments\"\npsql -c \"SELECT x, y FROM from_shell WHERE x > 2\"\n"), ("e.py", "py", "def (:"), ("f.sql", "sql", None),
+    ]
+    got = {(r["path"], r["line"], r["sql"]) for r in sql_strings(spark.createDataFrame(files, "path string, extension string, content string")).collect()}
+    assert {(p, k) for p, k, _ in got} == {("a.py", 2), ("a.py", 3), ("b.ts", 2), ("c.sql", 1), ("c.sql", 3), ("d.sh", 2)}
+    assert ("a.py", 2, "SELECT COUNT(*) FROM BIG_TABLE WHERE X = 1 AND Y = 2") in got

@@ -25,14 +25,6 @@ from tracewell.operators.joins import enclosing_range
 from tracewell.plans.code_tokens import BRACES, Innermost, Range, function_ranges, mask, pairs
 from tracewell.storage import stored
 
-# Where SQL strings stand in code.
-CARRIERS = (
-    r'(?s)"""(.*?)"""',
-    r"(?s)'''(.*?)'''",
-    r"""(?is)text\(\s*["']+([^"')]*)""",
-    r"""(?is)(?:sql|query|stmt)\w*\s*=\s*f?["']+([^"']*)""",
-    r"""(?is)\.execute\(\s*f?["']+([^"')]*)""",
-)
 ALIASES = r"(?i)\b(?:FROM|JOIN)\s+([\w.]+)(?:\s+AS)?\s+(?!(?:ON|WHERE|LEFT|RIGHT|INNER|OUTER|FULL|CROSS|JOIN|GROUP|ORDER|HAVING|LIMIT|UNION|SET|USING|VALUES|SELECT)\b)(\w+)"
 TABLES = r"(?i)\b(?:FROM|JOIN|UPDATE|INTO)\s+([\w.]+)"
 QUALIFIED = r"\b([A-Za-z_]\w*)\.([A-Za-z_]\w*)\b"
@@ -67,12 +59,40 @@ def parsed(content: str) -> ast.Module | None:
 
 # SQL in source files
 
+def python_texts(content: str) -> list[tuple[int, str]]:
+    """Line and value of the texts in a syntax tree; what an f-string is filled with is a blank in it."""
+    root = parsed(content)
+    found, inside = [], set()
+    for n in ast.walk(root) if root is not None else ():
+        if isinstance(n, ast.JoinedStr):
+            inside.update(map(id, n.values))
+            found.append((n.lineno, " ".join(v.value if isinstance(v, ast.Constant) else " " for v in n.values)))
+        elif isinstance(n, ast.Constant) and isinstance(n.value, str) and id(n) not in inside:
+            found.append((n.lineno, n.value))
+    return found
+
+
 def sql_strings(files: DataFrame) -> DataFrame:
-    """path, line and sql of the strings that are worth reading as SQL."""
-    def find(content: str) -> list[tuple]:
-        return [(content.count("\n", 0, m.start()) + 1, m[1].strip()) for p in CARRIERS for m in re.finditer(p, content)]
+    """path, line and sql of the texts that are worth reading as SQL: literals, and files of SQL statement by statement."""
+    def literals(extension: str) -> Callable[[str], list[tuple]]:
+        def find(content: str) -> list[tuple]:
+            line, (_, strings) = line_numbers(content), mask(content, extension)
+            return [(line(a), content[a:b].strip("\"'`").strip()) for a, b in strings]
+
+        return find
 
-    return by_file(files, find, "line long, sql string").where(sql_gate("sql")).distinct()
+    def statements(content: str) -> list[tuple]:
+        line = line_numbers(content)
+        return [(line(m.start()), m[0].strip()) for m in re.finditer(r"[^;\s][^;]*", content)]
+
+    schema = "line long, sql string"
+    is_ = lambda *names: F.col("extension").isin(*names)
+    found = by_file(files.where(is_("py")), lambda c: [(k, t.strip()) for k, t in python_texts(c)], schema)
+    found = found.unionByName(by_file(files.where(is_("sql")), statements, schema))
+    for extension in ("r", "sh"):
+        found = found.unionByName(by_file(files.where(is_(extension)), literals(extension), schema))
+    others = files.where(~F.coalesce(is_("py", "sql", "r", "sh"), F.lit(False)))
+    return found.unionByName(by_file(others, literals("ts"), schema)).where(sql_gate("sql")).distinct()
 
 
 def alias_map(sqls: DataFrame) -> DataFrame:
