@@ -187,6 +187,50 @@ def test_contained_names_of_any_length(spark):
     assert {(r["text"], r["name"]) for r in contained_names(texts, names, "text", "name").collect()} == {("select a from t1", "t1"), ("select a from t1", "from"), ("x", "x")}
 
 
+def test_contained_names_that_begin_alike(spark):
+    """Candidates stay near the matches though all names and texts share their first characters; results equal all pairs."""
+    import random
+    from collections import Counter
+
+    from tracewell.operators.joins import contained_names, likely_names
+
+    rng = random.Random(5)
+    code = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    names = ["http://host/items/" + code() for _ in range(10_000)]
+    texts = [f"see {rng.choice(names)} or http://host/items/{code()}" for _ in range(600)]
+    t = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    n = spark.createDataFrame([(x, k) for k, x in enumerate(names)], "name string, k int")
+    got = contained_names(t.union(t.where("id < 5")), n, "text", "name")
+    assert got.columns == ["id", "text", "name", "k"]
+    places = {}
+    for k, x in enumerate(names):
+        places.setdefault(x, []).append(k)
+    want = Counter((i, k) for i, text in [*enumerate(texts), *enumerate(texts[:5])] for w in {w for w in text.split() if w in places} for k in places[w])
+    assert Counter((r["id"], r["k"]) for r in got.collect()) == want
+    assert likely_names(t, n, "text", "name", "id").count() < 600 * 60  # of 6 million pairs
+
+
+def test_view_definitions_in_one_listing(spark, tmp_path):
+    from tracewell.sources.catalog import view_definitions
+
+    spark.sql(f"CREATE DATABASE shelf LOCATION '{tmp_path}'")
+    try:
+        spark.sql("CREATE TABLE shelf.t (k int, v string) USING parquet")
+        spark.sql("CREATE VIEW shelf.v1 (a, `b c`) AS SELECT k, v FROM shelf.t\nWHERE k > 1")
+        spark.sql("CREATE VIEW shelf.v2 AS SELECT k, struct(k, 2 AS z) AS s FROM shelf.t")
+        got = {r["view_name"]: r["ddl"] for r in view_definitions(spark, ["shelf", "shelf"]).collect()}
+        assert got == {
+            "shelf.v1": "CREATE VIEW shelf.v1 (`a`, `b c`) AS SELECT k, v FROM shelf.t\nWHERE k > 1",
+            "shelf.v2": "CREATE VIEW shelf.v2 (`k`, `s`) AS SELECT k, struct(k, 2 AS z) AS s FROM shelf.t",
+        }
+        assert [r["view_name"] for r in view_definitions(spark, ["shelf"], "v1").collect()] == ["shelf.v1"]
+        assert view_definitions(spark, []).count() == 0
+        spark.sql("DROP VIEW shelf.v1")
+        spark.sql(got["shelf.v1"])  # what is put together is a definition that runs
+    finally:
+        spark.sql("DROP DATABASE shelf CASCADE")
+
+
 def test_similar_segments_against_all_pairs(spark):
     import random
 

@@ -67,19 +67,30 @@ def _grams(text: str, size: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i: F.substr(F.col(text), i, F.lit(size)))
 
 
-def contained_names(texts: DataFrame, names: DataFrame, text: str, name: str) -> DataFrame:
-    """Texts and the known names that are substrings of them: the columns of both. Empty names are in none.
+def likely_names(texts: DataFrame, names: DataFrame, text: str, name: str, id_: str = "_text") -> DataFrame:
+    """id_ of texts and the names that may be in them: each name is joined on the one of its three-character grams that the fewest texts have.
 
-    A name inside a text has its first three characters there too, so those are the join key; shorter names are their own.
+    Shorter names are their own gram. Of grams in equally many texts, that of the fewest names counts; a name with a gram
+    that no text has is in none. Names that begin or end alike are so told apart by what is rare in them.
     """
+    known = names.where(F.length(name) > 0).select(F.col(name).alias("_name")).distinct()
+    size = F.least(F.length("_name"), F.lit(3))
+    cut = known.select("_name", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_name") - size + 1), lambda i: F.substr("_name", i, size)))).alias("_gram"))
+    spread = cut.groupBy("_gram").agg(F.count("*").alias("_names"))
+    all_grams = F.array_distinct(F.concat(*(_grams(text, n) for n in (3, 2, 1))))
+    held = texts.select(id_, F.explode(all_grams).alias("_gram")).join(spread, "_gram", "left_semi")
+    frequency = spread.join(held.groupBy("_gram").agg(F.count("*").alias("_texts")), "_gram", "left")
+    weight = F.struct(F.coalesce("_texts", F.lit(0)).alias("texts"), F.col("_names").alias("names"), F.col("_gram").alias("gram"))
+    rarest = cut.join(frequency, "_gram").groupBy("_name").agg(F.min(weight).alias("_least")).where("_least.texts > 0")
+    return held.join(rarest.select("_name", F.col("_least.gram").alias("_gram")), "_gram").select(id_, "_name").distinct()  # rows that repeat have one id
+
+
+def contained_names(texts: DataFrame, names: DataFrame, text: str, name: str) -> DataFrame:
+    """Texts and the known names that are substrings of them: the columns of both. Empty names are in none."""
     numbered = texts.withColumn("_text", F.xxhash64(*texts.columns))
-    likely = None
-    for size in (3, 2, 1):
-        grams = numbered.select("_text", F.explode(F.array_distinct(_grams(text, size))).alias("_gram"))
-        keyed = names.where(F.length(name) >= 3 if size == 3 else F.length(name) == size).withColumn("_start", F.left(F.col(name), F.lit(size)))
-        found = grams.join(keyed, grams["_gram"] == keyed["_start"]).select("_text", *names.columns).distinct()
-        likely = found if likely is None else likely.unionByName(found)
-    return numbered.join(likely, "_text").where(F.col(text).contains(F.col(name))).drop("_text")
+    found = numbered.join(likely_names(numbered, names, text, name), "_text").where(F.col(text).contains(F.col("_name")))
+    wanted = [*(f"t.`{c}`" for c in texts.columns), *(f"n.`{c}`" for c in names.columns)]
+    return found.alias("t").join(names.alias("n"), F.col("t._name") == F.col(f"n.`{name}`")).select(*wanted)
 
 
 def enclosing_range(points: DataFrame, ranges: DataFrame, key: str, at: str, low: str, high: str, order: str, width: int = 64) -> DataFrame:

@@ -249,7 +249,7 @@ def word_references_in_documents(spark, d):
 
 @query("SELECT page_id, p_name FROM pages, (SELECT DISTINCT 'example.' || CASE p_size % 3 WHEN 0 THEN 'com' WHEN 1 THEN 'net' ELSE 'org' END || '/' || CASE p_size % 2 WHEN 0 THEN 'en' ELSE 'fr' END AS p_name FROM part) WHERE contains(url, p_name)")
 def contained_names_in_urls(spark, d):
-    """JOIN-13: substrings found by an equi join on three characters."""
+    """JOIN-13: substrings found by an equi join on the rarest three characters of each name."""
     host = F.concat(F.lit("example."), F.when(F.col("p_size") % 3 == 0, "com").when(F.col("p_size") % 3 == 1, "net").otherwise("org"), F.lit("/"), F.when(F.col("p_size") % 2 == 0, "en").otherwise("fr"))
     names = table(spark, d, "part").select(host.alias("p_name")).distinct()
     return contained_names(table(spark, d, "pages").select("page_id", "url"), names, "url", "p_name").select("page_id", "p_name")
