@@ -683,3 +683,35 @@ def test_html_self_closed_elements_of_svg_and_time_of_definitions():
     began = time.time()
     html_render.render("<div>" * 20_000 + "<svg>" + "<mask>" * 20_000)
     assert html_render.render("<div>" * 20_000 + "<mask>" * 20_000 + "x") == "x" and time.time() - began < 10
+
+
+def test_html_inherited_visibility():
+    for page, want in (
+        ('<div style="visibility:hidden">a<span style="visibility:visible">b</span><p>c<i style="visibility: inherit">d</i></p></div>e', "b\n\ne"),  # a paragraph's distance stays
+        ('<ul style="visibility:hidden"><li>a<li style="visibility:visible">b<li>c<b style="visibility:visible">d</b></ul>', "- b\n  d"),
+        ('<table><tr><td>1<td style="visibility:hidden">no<td>3<tr style="visibility:hidden"><td>x<td>y<tr style="visibility:collapse"><td style="visibility:visible">z<tr><td>4<td>5<td>6</table>', "1 |   | 3\n4 | 5 | 6"),
+        ('<p style="visibility:hidden;visibility:visible">a</p><p style="backface-visibility:hidden">b</p><hr style="visibility:hidden"><img alt=no style="visibility:hidden">', "a\n\nb"),
+        ('<select style="visibility:hidden"><option>no</select>x', "x"),
+    ):
+        assert html_render.render(page) == want, (page, html_render.render(page))
+
+
+def test_html_output_and_time_are_linear():
+    """Wide cells, spans, deep lists and deep tables: each page doubled gives at most about double the text."""
+    import time
+
+    wide = lambda n: "<table>" + "".join(f"<tr><td>{'w' * (50 if k % 2 else 5)}<td>{'x' * (n * 20 if k == 0 else 1)}<td>z" for k in range(n)) + "</table>"
+    spans = lambda n: "<table><tr><td colspan=9999>a" + "<td>b" * n + "<tr><td rowspan=9999>c" * n + "</table>"
+    tall = lambda n: "<table><tr>" + "<td rowspan=9999>c" * n + "<tr><td>d" * n + "</table>"
+    lists = lambda n: "<ul><li>x" * n
+    tables = lambda n: "<table><tr><td>x" * n
+    inline = lambda n: "<b>word</b> " * n
+    for page in (wide, spans, tall, lists, tables, inline):
+        small, large = page(4000), page(8000)
+        began = time.time()
+        a, b = html_render.render(small), html_render.render(large)
+        assert time.time() - began < 20, large[:40]
+        assert len(b) <= 2.2 * len(a) + 100 and len(b) <= 45 * len(large), (len(a), len(b), len(large))
+    assert html_render.render(lists(3000)).count("x") == html_render.render(tables(3000)).count("x") == 3000
+    assert html_render.render(spans(30)).count("b") == 30 == html_render.render(spans(30)).count("c")
+    assert html_render.render(f"<table><tr><td>{'w' * 60}<td>1<tr><td>v<td>2</table>") == "w" * 60 + " | 1\n" + "v".ljust(40) + " | 2"

@@ -6,12 +6,17 @@ parent. Cells and rows of a table get the rows and groups that have no tag; what
 goes into a block before it. A renderer walks the tree without recursion. Invisible are head matter, scripts, styles,
 templates, values of fields other than a textarea's text and the chosen options of a select (the first one where none is
 marked), what frames, media and canvas hold for older browsers, definitions and descriptions inside svg,
-annotations inside math, elements with the hidden attribute or aria-hidden, and those whose inline style says display:none
-or visibility:hidden; all other text is kept, navigation and footers too. Inline text has its white space collapsed; pre keeps it. Blocks start
+annotations inside math, elements with the hidden attribute or aria-hidden, those whose inline style says display:none, and
+the own text of those with visibility:hidden, which their descendants inherit until one says visibility:visible; all other
+text is kept, navigation and footers too. Inline text has its white space collapsed; pre keeps it. Blocks start
 on a new line, paragraphs and headings are set off by an empty line, br breaks the line, hr draws one, list items are
-indented by depth under a bullet or their number. A table with cells becomes lines in which each column is padded to its
-widest cell, cells being parted by ` | `; a cell that spans columns or rows leaves those after it or below it empty; a
-cell's own line breaks become spaces. Nested tables are rendered inside, at any depth: innermost cells first.
+indented by depth, up to MOST_INDENTS levels, under a bullet or their number. A table with cells becomes lines in which each
+column is padded to its widest cell of at most PADDED characters (wider ones stand out), cells being parted by ` | `; a cell
+that spans columns or rows leaves those after it or below it empty, unless the table would get more than FILLS such places
+a cell, when spans are ignored; a cell's own line breaks become spaces. Nested tables are rendered inside, innermost cells
+first; those inside MOST_TABLES others are laid out as blocks.
+
+So work and output are linear in the page: a cell of four characters (`<td>`) becomes at most 1 + FILLS places of PADDED + 3.
 
 Defined results: null and empty pages give empty text; broken markup gives the text that the rules leave visible; repeated
 rows are rendered each; extra columns are not read.
@@ -57,14 +62,20 @@ FRAME = GROUPS | {"table", "colgroup", "tr"}
 #: Where the search for the table that an element stands in ends.
 CONTENTS = frozenset({"table", "caption", "td", "th", "template", "noscript"})
 HEAD_ONLY = frozenset("title meta link base script style template noscript head html".split())
-HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+HIDDEN_STYLE = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?<![-\w])visibility\s*:\s*([a-z]+)", re.I)
+COLLAPSIBLE = frozenset({"tr", "tbody", "thead", "tfoot"})
+PADDED = 40
+FILLS = 3
+MOST_INDENTS = 16
+MOST_TABLES = 32
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    """scope: the innermost element of CONTENTS that it stands in or is, else the root; p: the p that a block inside it closes."""
+    """scope: the innermost element of CONTENTS that it stands in or is, else the root; p: the p that a block inside it closes; visibility: as inherited."""
 
-    __slots__ = ("attrs", "children", "opened", "p", "parent", "drawn", "scope", "tag")
+    __slots__ = ("attrs", "children", "drawn", "opened", "p", "parent", "scope", "tag", "visibility")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
@@ -73,10 +84,17 @@ class Node:
         self.opened: dict[str, int] | None = {} if own else None  # of a scope: its open elements by tag
         self.p = self if tag == "p" else None if own or tag == "button" else parent.p
         self.drawn = parent is not None and (parent.tag in ("svg", "math") or parent.drawn)  # inside svg or math
+        said = [v.lower() for v in VISIBILITY.findall(attrs.get("style") or "")][-1:]
+        self.visibility = said[0] if said and said[0] in ("visible", "hidden", "collapse") else "visible" if said == ["initial"] or parent is None else parent.visibility
+
+    def seen(self) -> bool:
+        """Whether its own text is drawn."""
+        return self.visibility == "visible"
 
     def hidden(self) -> bool:
         a = self.attrs
-        return self.tag in INVISIBLE or (self.tag in DEFINITIONS and self.drawn) or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(HIDDEN_STYLE.search(a.get("style") or ""))
+        """Whether nothing in it is drawn."""
+        return self.tag in INVISIBLE or (self.tag in DEFINITIONS and self.drawn) or (self.tag in COLLAPSIBLE and self.visibility == "collapse") or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(HIDDEN_STYLE.search(a.get("style") or ""))
 
 
 class Builder(HTMLParser):
@@ -219,7 +237,8 @@ class Lines:
 
     def __init__(self):
         self.parts: list[str] = []  # finished lines
-        self.line, self.gap, self.space, self.empty, self.prefix = "", 0, False, True, ""
+        self.line: list[str] = []
+        self.gap, self.space, self.empty, self.prefix = 0, False, True, ""
 
     def text(self, data: str, pre: bool) -> None:
         if pre:
@@ -242,16 +261,16 @@ class Lines:
             if self.empty and self.gap and self.parts:
                 self.parts.extend([""] * (self.gap - 1))
             if self.empty:
-                self.line, self.prefix = self.prefix, " " * len(self.prefix)
-            self.line += data
+                self.line, self.prefix = [self.prefix], " " * len(self.prefix)
+            self.line.append(data)
             self.empty, self.gap = False, 0
 
     def end_line(self, forced: bool = False) -> None:
         if not self.empty:
-            self.parts.append(self.line.rstrip())
+            self.parts.append("".join(self.line).rstrip())
         elif forced and self.parts:
             self.parts.append("")
-        self.line, self.empty, self.space = "", True, False
+        self.line, self.empty, self.space = [], True, False
 
     def block(self, spaced: bool) -> None:
         self.end_line()
@@ -283,16 +302,21 @@ def span(cell: Node, name: str, most: int) -> int:
 def grid(rows: list[list[Node]], texts: dict[Node, str]) -> list[list[str]]:
     """The texts of the cells by row and column; spans go no further than the longest row's number of cells and the last row."""
     widest = max(map(len, rows))
+    left = FILLS * sum(map(len, rows))  # places that spans may take yet
     held: dict[int, int] = {}  # by column, the rows that a cell from above still takes
     found = []
     for i, row in enumerate(rows):
         line: list[str] = []
         fresh: dict[int, int] = {}
+        left -= len(held)
         for cell in row:
             while held.get(len(line), 0):
                 line.append("")
-            tall = span(cell, "rowspan", len(rows) - i)
-            for k in range(span(cell, "colspan", widest)):
+            tall, wide = span(cell, "rowspan", len(rows) - i), span(cell, "colspan", widest)
+            left -= wide - 1
+            if left < 0:
+                return [[texts[c] for c in r] for r in rows]
+            for k in range(wide):
                 fresh[len(line)] = tall
                 line.append("" if k else texts[cell])
         held = {c: n - 1 for c, n in (held | fresh).items() if n > 1}
@@ -301,7 +325,10 @@ def grid(rows: list[list[Node]], texts: dict[Node, str]) -> list[list[str]]:
 
 
 def aligned(rows: list[list[str]]) -> list[str]:
-    widths = [max((len(r[k]) for r in rows if k < len(r)), default=0) for k in range(max(map(len, rows)))]
+    widths = [0] * max(map(len, rows))
+    for row in rows:
+        for k, cell in enumerate(row):
+            widths[k] = max(widths[k], min(len(cell), PADDED))
     return [" | ".join(cell.ljust(w) for cell, w in zip(row, widths, strict=False)).rstrip() for row in rows]
 
 
@@ -320,6 +347,11 @@ def shown(select: Node) -> list[Node]:
     return [o for o in options if "selected" in o.attrs][-1:] or options[:1]
 
 
+def content(node: Node) -> list[Node | str]:
+    """Its children, without its own text where that isn't drawn."""
+    return node.children if node.seen() else [c for c in node.children if isinstance(c, Node)]
+
+
 def laid_out(root: Node, texts: dict[Node, str]) -> str:
     """A subtree's text; texts has those of the cells and captions of the tables inside it. The walk keeps its own stack: leaving a node is an entry with `done`."""
     out, todo, lists, pre = Lines(), [(root, False)], [], 0
@@ -346,20 +378,21 @@ def laid_out(root: Node, texts: dict[Node, str]) -> str:
             out.end_line(True)
         elif tag == "hr":
             out.block(True)
-            out.text("---", False)
+            out.text("---" if node.seen() else "", False)
             out.block(True)
         elif tag == "img":
-            if alt := (node.attrs.get("alt") or "").strip():
+            if node.seen() and (alt := (node.attrs.get("alt") or "").strip()):
                 out.text(alt, False)
         elif tag == "select":
             for option in reversed(shown(node)):
-                todo.extend((c, False) for c in (" ", *reversed(option.children), " "))
-        elif tag == "table" and node is not root and (rows := table_rows(node)):
+                todo.extend((c, False) for c in (" ", *reversed(content(option)), " "))
+        elif tag == "table" and node is not root and (rows := table_rows(node)) and rows[0][0] in texts:
             out.block(True)
             for caption in (c for c in node.children if isinstance(c, Node) and c.tag == "caption" and not c.hidden()):
                 out.text(texts[caption], False)
                 out.end_line()
-            for line in aligned(grid(rows, texts)):
+            rows = [r for r in rows if any(c.seen() or texts[c] for c in r)]
+            for line in aligned(grid(rows, texts)) if rows else []:
                 if line:
                     out.text(line, True)
                 out.end_line()
@@ -376,24 +409,27 @@ def laid_out(root: Node, texts: dict[Node, str]) -> str:
                 lists.append(int(start) if tag == "ol" and re.fullmatch(r"-?\d{1,9}", start) else 1 if tag == "ol" else None)
             if tag == "li":
                 number = lists[-1] if lists else None
-                out.prefix = "  " * max(0, len(lists) - 1) + ("- " if number is None else f"{number}. ")
+                out.prefix = "  " * min(MOST_INDENTS, max(0, len(lists) - 1)) + ("- " if number is None else f"{number}. ")
+                if not node.seen():
+                    out.prefix = " " * len(out.prefix)
                 if number is not None:
                     lists[-1] += 1
-            todo.extend((c, False) for c in reversed(node.children))
+            todo.extend((c, False) for c in reversed(content(node)))
     return str(out)
 
 
 def rendered(root: Node) -> str:
     """The text of a page, after those of the cells and captions of its tables, inner ones before outer ones."""
     parts: list[Node] = []
-    todo: list[Node] = [root]
+    todo: list[tuple[Node, int]] = [(root, 0)]  # with the number of tables around it
     while todo:
-        node = todo.pop()
+        node, depth = todo.pop()
         if node is root or not node.hidden():
-            if node.tag == "table" and (rows := table_rows(node)):
+            if node.tag == "table" and depth < MOST_TABLES and (rows := table_rows(node)):
                 parts += [c for row in rows for c in row]
                 parts += [c for c in node.children if isinstance(c, Node) and c.tag == "caption" and not c.hidden()]
-            todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
+                depth += 1
+            todo.extend((c, depth) for c in reversed(node.children) if isinstance(c, Node))
     texts: dict[Node, str] = {}
     for part in reversed(parts):  # what is inside a part comes after it in parts
         texts[part] = SPACE.sub(" ", laid_out(part, texts))
