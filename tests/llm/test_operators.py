@@ -333,12 +333,23 @@ def test_mixing(spark):
     assert mixing.taken(empty(spark)).count() == 0 == mixing.mix(empty(spark)).count()
 
 
-def test_splitting_tree():
-    quotas = mixing.split_quotas(np.array([40, 0, 7, 120]), 8, np.random.default_rng(1))
-    assert quotas.sum(0).tolist() == [40, 0, 7, 120] and quotas.min() >= 0
-    assert set(quotas.sum(1)) <= {20, 21}
-    many = sum(mixing.split_quotas(np.array([10, 30]), 4, np.random.default_rng(i)) for i in range(400)) / 400
+def test_splitting_tree(spark):
+    def quotas(counts, shards, seed):
+        return np.array([c for _, _, c in mixing.split_tree(np.array(counts), 0, shards, seed)])
+
+    few = quotas([40, 0, 7, 120], 8, 1)
+    assert few.sum(0).tolist() == [40, 0, 7, 120] and few.min() >= 0
+    assert set(few.sum(1)) <= {20, 21}
+    many = sum(quotas([10, 30], 4, i) for i in range(400)) / 400
     assert np.allclose(many[:, 0], 2.5, atol=0.25)
+    # split in tasks below any number of nodes, the ranges are those of the whole tree
+    counts = np.array([900, 0, 41, 3000])
+    whole = quotas(counts, 37, 3)
+    ends = np.cumsum(whole, axis=0)
+    want = {(k, s, ends[s, k] - whole[s, k], ends[s, k]) for s in range(37) for k in range(4) if whole[s, k]}
+    for top in (1, 5, 512):
+        assert {tuple(r) for r in mixing.quota_ranges(spark, counts, 37, 3, top).collect()} == want
+    assert mixing.quota_ranges(spark, np.zeros(0, np.int64), 4, 3).count() == 0
 
 
 BENCH = [(1, "The quick brown fox jumps over the lazy dog while seventeen wizards quietly brew potions near the old stone bridge at dawn"), (2, "An entirely different question about prime numbers, rivers and the height of mountains in winter"), (3, None), (4, ""), (5, "short"), (2, "A second row of the same item that also matters for the search of passages")]

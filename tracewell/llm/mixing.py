@@ -8,7 +8,10 @@ shards gives its left half a multivariate-hypergeometric sample of its counts, w
 order would give it; leaves hold exact counts of each source. A shard then gets as many draws from the source's permuted
 draws, disjoint from other shards', and its rows are shuffled among themselves.
 
-Only one row for each source comes to the driver, and the tree has a row of counts for each shard.
+Only one row for each source comes to the driver. The tree's first levels, TOP_NODES nodes at most, are split there; each
+node below is a row of counts, which its task splits further. A node's random numbers depend on its shards and the seed
+alone. Quotas are listed by place and joined to the draws by source and place, so no source is one task there. One task
+orders a source's blocks (a few numbers each): at most MOST_BLOCKS, or SHARD_BLOCKS for each SHARD_WORDS words of the corpus.
 
 Defined results: null text has size 0; a null source is a source, last in order; null doc_ids and repeated ids keep all
 their rows, rows with one id being drawn together; sources without words have target 0; all draws depend on hashes of
@@ -17,10 +20,12 @@ ids and the seed alone, so that reruns agree; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewell.llm.common import stored
@@ -29,9 +34,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 BLOCK_WORDS = 50_000
-MOST_BLOCKS = 16_384  # of a source; larger sources have larger blocks
+MOST_BLOCKS = 16_384  # of a source, or SHARD_BLOCKS for each shard where that is more; larger sources have larger blocks
 LEAST_SHARDS = 64
 SHARD_WORDS = 100_000_000
+SHARD_BLOCKS = 8
+TOP_NODES = 512
 SEED = 11
 
 
@@ -55,16 +62,40 @@ def targets(sizes: list[int], weights: list[int], most_repeats: int = MOST_REPEA
     return found
 
 
-def split_quotas(counts: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
-    """A row of counts by source for each shard; columns add up to counts, rows differ by one draw at most."""
-    if shards == 1:
-        return counts[None, :]
-    left = shards // 2
-    total = int(counts.sum())
-    # the fuller shards, of which there are total % shards, go left first
-    take = left * (total // shards) + min(left, total % shards)
-    given = rng.multivariate_hypergeometric(counts, take, method="marginals") if take else np.zeros_like(counts)
-    return np.vstack([split_quotas(given, left, rng), split_quotas(counts - given, shards - left, rng)])
+def split_tree(counts: np.ndarray, first: int, shards: int, seed: int, most: int = 1) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The tree's nodes of at most `most` shards, in order: first shard, number of shards, counts by source."""
+    todo = [(first, shards, counts)]
+    while todo:
+        first, shards, counts = todo.pop()
+        if shards <= most:
+            yield first, shards, counts
+            continue
+        left = shards // 2
+        total = int(counts.sum())
+        # the fuller shards, of which there are total % shards, go left first
+        take = left * (total // shards) + min(left, total % shards)
+        given = np.random.default_rng([seed, first, shards]).multivariate_hypergeometric(counts, take, method="marginals") if take else np.zeros_like(counts)
+        todo += [(first + left, shards - left, counts - given), (first, left, given)]
+
+
+def quota_ranges(spark: SparkSession, counts: np.ndarray, shards: int, seed: int, top: int = TOP_NODES) -> DataFrame:
+    """range_k, shard, first and past: the places among a source's draws that each shard gets; empty ranges are left out."""
+    rows, start = [], np.zeros_like(counts)
+    for first, n, part in split_tree(counts, 0, shards, seed, most=-(-2 * shards // top)):
+        rows.append((first, n, part.tolist(), start.tolist()))
+        start = start + part
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node in batch.to_pylist():
+                at = np.array(node["starts"], np.int64)
+                for shard, _, part in split_tree(np.array(node["counts"], np.int64), node["node"], node["shards"], seed):
+                    held = np.flatnonzero(part)
+                    yield pa.record_batch([pa.array(held, pa.int32()), pa.array(np.full(len(held), shard), pa.int32()), pa.array(at[held], pa.int64()), pa.array((at + part)[held], pa.int64())], ["range_k", "shard", "first", "past"])
+                    at = at + part
+
+    nodes = spark.createDataFrame(rows, "node int, shards int, counts array<long>, starts array<long>")
+    return nodes.mapInArrow(split, "range_k int, shard int, first long, past long")
 
 
 DRAWS = "array<struct<epoch:int,shard:int>>"
@@ -86,7 +117,7 @@ def plan_draws(sizes: DataFrame, block_words: int = BLOCK_WORDS, shards: int | N
     names, totals = [r["source"] for r in by_source], [r["source_size"] for r in by_source]
     shards = shards or max(LEAST_SHARDS, -(-sum(totals) // SHARD_WORDS))
     goal = targets(totals, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(totals))])
-    n_blocks = [min(MOST_BLOCKS, max(1, -(-t // block_words))) for t in totals]
+    n_blocks = [min(max(MOST_BLOCKS, SHARD_BLOCKS * shards), max(1, -(-t // block_words))) for t in totals]
     passes = [int(g // t) if t else 0 for g, t in zip(goal, totals, strict=True)]
     rest = [float(g - p * t) for g, p, t in zip(goal, passes, totals, strict=True)]
     source_rows = [(i, names[i], totals[i], float(goal[i]), n_blocks[i], passes[i], rest[i]) for i in range(len(names))]
@@ -107,13 +138,11 @@ def plan_draws(sizes: DataFrame, block_words: int = BLOCK_WORDS, shards: int | N
     last = F.col("passes") + F.when(F.col("whole") | F.col("cut"), 0).otherwise(-1)  # -1: the block isn't drawn at all
     draws = blocks.withColumn("last", last).where("last >= 0").select("k", "block", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("epoch"), "passes", "cut")
     counted = {r["k"]: r["n"] for r in draws.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    quotas = split_quotas(np.array([counted.get(i, 0) for i in range(len(names))], np.int64), shards, np.random.default_rng(seed))
-    ends = np.cumsum(quotas, axis=0)
-    ranges = [(i, s, int(ends[s, i] - quotas[s, i]), int(ends[s, i])) for s in range(shards) for i in range(len(names)) if quotas[s, i]]
-    ranges = spark.createDataFrame(ranges, "range_k int, shard int, first long, past long")
+    ranges = quota_ranges(spark, np.array([counted.get(i, 0) for i in range(len(names))], np.int64), shards, seed)
+    ranges = ranges.select("range_k", "shard", F.explode(F.sequence("first", F.col("past") - 1)).alias("place"))
     in_order = Window.partitionBy("k").orderBy(F.xxhash64("k", "block", "epoch", F.lit(seed + 3)), "block", "epoch")
     drawn = draws.withColumn("n", F.row_number().over(in_order).cast("long") - 1)
-    drawn = drawn.join(ranges, (F.col("k") == F.col("range_k")) & (F.col("n") >= F.col("first")) & (F.col("n") < F.col("past")))
+    drawn = drawn.join(ranges, (F.col("k") == F.col("range_k")) & (F.col("n") == F.col("place")))
     drawn = drawn.select("k", "block", F.struct("epoch", "shard", (F.col("cut") & (F.col("epoch") == F.col("passes"))).alias("partial")).alias("draw"))
     plan = drawn.groupBy("k", "block").agg(F.sort_array(F.collect_list("draw")).alias("all_draws"))  # most_repeats + 1 at most
     plan = plan.join(cuts, ["k", "block"], "left").select(F.col("k").alias("_k"), F.col("block").alias("_b"), "all_draws", "last_turn")
