@@ -477,7 +477,7 @@ def test_quotes(spark):
     assert len(got) == len(rows)
     by = {(r["conv_id"], r["turn"]): r for r in got}
     assert by[1, 1]["body"] == "Use sorted." and by[1, 1]["reply_to"] == 0
-    assert by[1, 2]["body"] == "Thanks" and by[1, 2]["reply_to"] == 1 and by[1, 2]["reply_path"] == [0, 1, 2] and by[1, 2]["n_quotes"] == 2 == by[1, 2]["n_linked"]
+    assert by[1, 2]["body"] == "Thanks" and by[1, 2]["reply_to"] == 1 and by[1, 2]["place"] == 2 and by[1, 2]["n_quotes"] == 2 == by[1, 2]["n_linked"]
     assert by[1, 3]["reply_to"] is None and by[1, 3]["thread_turn"] == 3 and by[1, 3]["depth"] == 0
     assert (by[2, 0]["quotes_conv_id"], by[2, 0]["quotes_turn"], by[2, 0]["reply_to"]) == (1, 1, None)
     assert by[2, 1]["n_quotes"] == 1 and by[2, 1]["n_linked"] == 0
@@ -495,14 +495,32 @@ def test_quotes_of_lines(spark):
     table = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
     got = {(r["conv_id"], r["turn"]): r for r in quotes.threads(table).collect()}
     assert {k: r["reply_to"] for k, r in got.items()} == {(1, 0): None, (1, 1): 0, (1, 2): 0, (1, 3): 1, (2, 0): None, (2, 1): None, (2, 2): 1, (2, 3): 0, (2, 4): None}
-    assert (got[1, 2]["n_quotes"], got[1, 2]["n_linked"], got[1, 3]["reply_path"]) == (2, 2, [0, 1, 3])
+    assert (got[1, 2]["n_quotes"], got[1, 2]["n_linked"], [got[1, t]["place"] for t in range(4)]) == (2, 2, [0, 1, 3, 2])
     assert got[2, 3]["quotes_conv_id"] is None and (got[2, 4]["quotes_conv_id"], got[2, 4]["quotes_turn"]) == (1, 0)
 
 
 def test_threads_have_the_depth_of_their_quotes(spark):
     rows = [(1, t, "user", (f"> message number {t - 1} says\n" if t else "") + f"message number {t} says") for t in range(20)]
     got = quotes.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert all(r["depth"] == r["turn"] and r["thread_turn"] == 0 and r["reply_path"] == list(range(r["turn"] + 1)) for r in got)
+    assert all(r["depth"] == r["turn"] and r["thread_turn"] == 0 and r["place"] == r["turn"] for r in got)
+
+
+def test_places_against_sorted_paths(spark):
+    """Random forests with chains, many answers to one message, and turns of several blocks of siblings."""
+    rng = random.Random(23)
+    ups = {(1, t): t - 1 for t in range(1, 120)} | {(2, t): 0 for t in range(50, 20_000, 97)}
+    for conv, most in ((3, 3), (4, 40), (-5, 1000)):
+        ups |= {(conv, t): rng.randrange(max(-20, t - most), t) for t in range(-19, 200) if rng.random() < 0.9}
+    # what is answered but answers nothing is the first message of a thread
+    path = lambda c, t: [*(path(c, ups[c, t]) if (c, t) in ups else []), t]
+    by_thread = defaultdict(set)
+    for (c, t), up in ups.items():
+        first = path(c, t)
+        by_thread[c, first[0]] |= {tuple(first), (first[0],)}
+    want = {(c, p[-1]): n for (c, _), paths in by_thread.items() for n, p in enumerate(sorted(paths)) if len(p) > 1}
+    table = spark.createDataFrame([(c, t, up) for (c, t), up in ups.items()], "conv_id long, turn long, up long")
+    assert {(r["conv_id"], r["turn"]): r["place"] for r in quotes.places(table).collect()} == want
+    assert quotes.places(table.limit(0)).count() == 0
 
 
 def test_quotes_against_sql(spark):

@@ -118,7 +118,8 @@ answers AS MATERIALIZED (SELECT conv_id, turn, role, coalesce(own.body, '') AS b
 nodes AS (SELECT conv_id, turn, max(reply_to) AS up FROM answers WHERE reply_to IS NOT NULL GROUP BY 1, 2),
 paths AS (SELECT conv_id, turn, up, [CAST(up AS BIGINT)] AS path FROM nodes UNION ALL SELECT p.conv_id, p.turn, n.up, list_prepend(CAST(n.up AS BIGINT), p.path) FROM paths p JOIN nodes n ON n.conv_id = p.conv_id AND n.turn = p.up),
 longest AS (SELECT conv_id, turn, arg_max(path, len(path)) AS path FROM paths GROUP BY 1, 2)
-SELECT a.*, coalesce(path[1], turn)::BIGINT AS thread_turn, coalesce(len(path), 0)::BIGINT AS depth, list_append(coalesce(path, []::BIGINT[]), turn::BIGINT) AS reply_path
+SELECT a.*, coalesce(path[1], turn)::BIGINT AS thread_turn, coalesce(len(path), 0)::BIGINT AS depth,
+  dense_rank() OVER (PARTITION BY conv_id, coalesce(path[1], turn) ORDER BY list_append(coalesce(path, []::BIGINT[]), turn::BIGINT)) - 1 AS place
 FROM answers a LEFT JOIN longest USING (conv_id, turn)""",
     "op8_ngram_join": r"""
 WITH RECURSIVE w AS (

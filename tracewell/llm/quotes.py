@@ -8,11 +8,14 @@ by the hashes of its paragraphs, then of its lines, so that quotes may be trimme
 latest turn counts). What isn't found so goes to the first message of any conversation; single lines only if the
 conversation has nothing of the passage. The message answers the latest turn that it quotes at its lowest level; where that is none of an earlier turn, it starts a thread.
 Threads are ordered by pointer doubling over these answers: `thread_turn` is the first message, `depth` the number of
-answers in between, and `reply_path` the turns from the first message to this one, so that sorting by conversation and
-reply_path gives reply order.
+answers in between, and `place` the number of the thread's messages before this one when each is followed by the answers to
+it, by turn, and all that answers them; so sorting by conversation, thread_turn and place gives reply order. Places are
+ranks in the list of the tour that enters and leaves each message, found by doubling too: a message has a few numbers in
+each round, at any length of a chain and any number of answers.
 
 Joins carry one row for each hash (the first message that has it), never the pairs of a group; no window runs over a
-conversation, so one that holds a third of all messages is dealt like any other.
+conversation, so one that holds a third of all messages is dealt like any other. Answers to one message follow each other
+by blocks of turns.
 
 Defined results: null and empty texts have an empty body and quote nothing; passages without a word are neither quoted nor
 linked; messages with a null conv_id or turn keep their row and body but are neither linked nor linked to; rows that share
@@ -21,11 +24,12 @@ conv_id and turn are answered as one message; repeated rows all stay; extra colu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.llm.common import stored
 
+SIBLINGS = 4096  # turns of a block
 QUOTE = r"^[ \t]*((?:>[ \t]*)+)"
 
 
@@ -106,24 +110,55 @@ def answers(messages: DataFrame) -> DataFrame:
     return joined.select("message", "conv_id", "turn", "role", "body", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.col("best.turn").alias("reply_to"), F.col("elsewhere.conv_id").alias("quotes_conv_id"), F.col("elsewhere.turn").alias("quotes_turn"))
 
 
+def followed(nodes: DataFrame) -> DataFrame:
+    """nodes (conv_id, turn, up) with `sibling`, the next turn that answers the same message."""
+    blocks = nodes.withColumn("block", F.floor(F.col("turn") / SIBLINGS))
+    inside = F.lead("turn").over(Window.partitionBy("conv_id", "up", "block").orderBy("turn"))
+    firsts = blocks.groupBy("conv_id", "up", "block").agg(F.min("turn").alias("head"))
+    later = firsts.withColumn("next_head", F.lead("head").over(Window.partitionBy("conv_id", "up").orderBy("block"))).drop("head")
+    return blocks.withColumn("inside", inside).join(later, ["conv_id", "up", "block"]).select("conv_id", "turn", "up", F.coalesce("inside", "next_head").alias("sibling"))
+
+
+def places(nodes: DataFrame) -> DataFrame:
+    """conv_id, turn and place of all messages of threads but their first ones, from nodes (conv_id, turn, up)."""
+    members = stored(followed(nodes), "siblings")
+    child = members.groupBy("conv_id", "up").agg(F.min("turn").alias("child")).select("conv_id", F.col("up").alias("turn"), "child")
+    heads = child.join(members, ["conv_id", "turn"], "left_anti").select("conv_id", "turn")
+    known = members.unionByName(heads, allowMissingColumns=True).join(child, ["conv_id", "turn"], "left")
+    # each step of the tour leads from (from_turn, entered or left) to (turn, entering or leaving)
+    step = lambda turn, leaving: F.struct(turn.alias("turn"), F.lit(leaving).alias("leaving"))
+    own, sibling, above, down = (F.col(c) for c in ("turn", "sibling", "up", "child"))
+    entered = known.select("conv_id", step(own, False).alias("before"), F.when(down.isNotNull(), step(down, False)).otherwise(step(own, True)).alias("at"))
+    left = known.select("conv_id", step(own, True).alias("before"), F.when(sibling.isNotNull(), step(sibling, False)).when(above.isNotNull(), step(above, True)).alias("at")).where("at is not null")
+    tour = entered.unionByName(left).select("conv_id", "at.turn", "at.leaving", F.col("before.turn").alias("to"), F.col("before.leaving").alias("to_leaving"), F.when(F.col("before.leaving"), 0).otherwise(1).cast("long").alias("place"))
+    tour = stored(tour, "tour")
+    while not tour.where("to is not null").isEmpty():
+        # each place points twice as far back as before, and to another one than all others do
+        far = tour.select("conv_id", F.col("turn").alias("to"), F.col("leaving").alias("to_leaving"), F.col("to").alias("further"), F.col("to_leaving").alias("further_leaving"), F.col("place").alias("more"))
+        jumped = tour.where("to is not null").join(far, ["conv_id", "to", "to_leaving"], "left")
+        jumped = jumped.select("conv_id", "turn", "leaving", F.col("further").alias("to"), F.col("further_leaving").alias("to_leaving"), (F.col("place") + F.coalesce("more", F.lit(0))).alias("place"))
+        tour = stored(tour.where("to is null").unionByName(jumped), "tour")
+    return tour.where("not leaving").select("conv_id", "turn", "place")
+
+
 def threads(messages: DataFrame) -> DataFrame:
     """Messages without quotations, with what they answer and their place in reply order."""
     rows = stored(answers(messages), "answers")
     # a message of several rows answers the latest turn that any of them answers; pointers only lead to earlier turns
-    nodes = rows.where("reply_to is not null").groupBy("conv_id", "turn").agg(F.max("reply_to").alias("up"))
-    nodes = stored(nodes.select("conv_id", "turn", "up", F.array("up").alias("path")), "pointers")
+    links = stored(rows.where("reply_to is not null").groupBy("conv_id", "turn").agg(F.max("reply_to").alias("up")), "links")
+    nodes = links.withColumn("depth", F.lit(1).cast("long"))
     while True:
-        above = nodes.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("further"), F.col("path").alias("more"))
+        above = nodes.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
         jumped = nodes.join(above, ["conv_id", "up"], "left")
-        nodes = stored(jumped.select("conv_id", "turn", F.coalesce("further", "up").alias("up"), F.when(F.col("more").isNull(), F.col("path")).otherwise(F.concat("more", "path")).alias("path"), F.col("further").isNotNull().alias("moved")), "pointers")
+        nodes = stored(jumped.select("conv_id", "turn", F.coalesce("further", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("further").isNotNull().alias("moved")), "pointers")
         if nodes.where("moved").isEmpty():
             break
         nodes = nodes.drop("moved")
-    placed = rows.join(nodes.select("conv_id", "turn", "path"), ["conv_id", "turn"], "left")
-    path = F.concat(F.coalesce("path", F.array().cast("array<bigint>")), F.array("turn"))
-    return placed.select("conv_id", "turn", "role", "body", "n_quotes", "n_linked", "reply_to", "quotes_conv_id", "quotes_turn", F.element_at(path, 1).alias("thread_turn"), (F.size(path) - 1).cast("long").alias("depth"), path.alias("reply_path"))
+    placed = rows.join(nodes.select("conv_id", "turn", F.col("up").alias("first"), "depth"), ["conv_id", "turn"], "left").join(places(links), ["conv_id", "turn"], "left")
+    none = F.lit(0).cast("long")
+    return placed.select("conv_id", "turn", "role", "body", "n_quotes", "n_linked", "reply_to", "quotes_conv_id", "quotes_turn", F.coalesce("first", "turn").cast("long").alias("thread_turn"), F.coalesce("depth", none).alias("depth"), F.coalesce("place", none).alias("place"))
 
 
 def conversations(messages: DataFrame) -> DataFrame:
-    """threads() in reply order: sorted by conversation, then by path."""
-    return threads(messages).orderBy(F.col("conv_id").asc_nulls_first(), F.col("reply_path"), "role", "body")
+    """threads() in reply order: sorted by conversation, thread and place."""
+    return threads(messages).orderBy(F.col("conv_id").asc_nulls_first(), "thread_turn", "place", "role", "body")
