@@ -36,12 +36,16 @@ class Server:
             raise ValueError("a condition may not hold a subquery")
         return F.expr(clause)
 
+    def rows(self, name: str, where: str | None = None) -> DataFrame:
+        """All rows that meet the condition, for work in Spark; what a client is sent comes from query(), which has a limit."""
+        df = self.relation(name)
+        return df.where(self.predicate(df, where)) if where else df
+
     def query(self, name: str, limit: int | None = None, where: str | None = None) -> DataFrame:
         n = self.limits.default_rows if limit is None else limit
         if not 1 <= n <= self.limits.most_rows:
             raise ValueError(f"limit must be 1 to {self.limits.most_rows}")
-        df = self.relation(name)
-        return (df.where(self.predicate(df, where)) if where else df).limit(n)
+        return self.rows(name, where).limit(n)
 
     def query_json(self, name: str, limit: int | None = None, where: str | None = None) -> str:
         return records(self.query(name, limit, where), self.limits.most_rows)
