@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.storage import spread
+
 
 def list_distinct(c: str | Column, delimiter: str = ",") -> Column:
     """Distinct non-null values in order, joined."""
@@ -56,6 +58,6 @@ def unmapped(df: DataFrame, key: str, mapped: str) -> DataFrame:
 def majority_source(missing: DataFrame, definitions: DataFrame, keys: list[str], column: str, source: str, order: str) -> DataFrame:
     """For each key the first source that defines more than half of the missing columns."""
     wanted = missing.groupBy(*keys).agg(F.countDistinct(column).alias("_wanted"))
-    has = missing.join(definitions, [*keys, column]).groupBy(*keys, source, order).agg(F.countDistinct(column).alias("_has"))
-    enough = has.join(wanted, keys).where(2 * F.col("_has") > F.col("_wanted"))
+    has = missing.join(spread(definitions), [*keys, column]).groupBy(*keys, source, order).agg(F.countDistinct(column).alias("_has"))
+    enough = has.join(spread(wanted), keys).where(2 * F.col("_has") > F.col("_wanted"))
     return enough.groupBy(*keys).agg(F.min_by(source, order).alias(source))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tracewell.operators.aggregates import majority_source
 from tracewell.operators.closure import ROUNDS
 from tracewell.plans.sql_scopes import as_definitions, scopes_of
-from tracewell.storage import stored
+from tracewell.storage import spread, stored
 
 PLACE = ["object", "scope", "branch"]
 
@@ -43,13 +43,15 @@ def bind(items: DataFrame, sources: DataFrame, catalog: DataFrame | None = None,
         raise ValueError(f"fallback must be one of {FALLBACKS}")
     refs = items.select(*PLACE, "ordinal", "out_col", "expr", "direct", "excluded", F.explode_outer("refs").alias("ref")).select("*", F.col("ref.qualifier").alias("qualifier"), F.col("ref.col").alias("src_col")).drop("ref")
     puts = items.select("object", F.col("scope").alias("target"), F.col("out_col").alias("src_col")).distinct().withColumn("puts", F.lit(True))
-    known = (catalog if catalog is not None else items.sparkSession.createDataFrame([], "table_name string, column_names string")).select(F.lower(F.split_part("table_name", F.lit("."), F.lit(-1))).alias("_table"), F.lower("column_names").alias("_column")).distinct().withColumn("known", F.lit(True))
     # aliases with # are queries inside expressions: only their own reference leads to them
     n_plain = sources.where(~F.col("alias").startswith("#")).groupBy(*PLACE).agg(F.count("*").alias("n_sources"))
-    pairs = refs.where("src_col is not null").join(sources, PLACE).where((F.col("qualifier").isNull() & ~F.col("alias").startswith("#")) | (F.col("qualifier") == F.col("alias")))
-    pairs = pairs.join(n_plain, PLACE, "left").join(puts, ["object", "target", "src_col"], "left")
-    pairs = pairs.join(known, (F.lower(F.split_part("target", F.lit("."), F.lit(-1))) == F.col("_table")) & (F.col("src_col") == F.col("_column")) & (F.col("kind") == "base"), "left")
-    sure = F.col("puts").isNotNull() | F.col("known").isNotNull()
+    pairs = refs.where("src_col is not null").join(spread(sources), PLACE).where((F.col("qualifier").isNull() & ~F.col("alias").startswith("#")) | (F.col("qualifier") == F.col("alias")))
+    pairs = pairs.join(spread(n_plain), PLACE, "left").join(spread(puts), ["object", "target", "src_col"], "left")
+    sure = F.col("puts").isNotNull()
+    if catalog is not None:
+        known = catalog.select(F.lower(F.split_part("table_name", F.lit("."), F.lit(-1))).alias("_table"), F.lower("column_names").alias("_column")).distinct().withColumn("known", F.lit(True))
+        pairs = pairs.join(known, (F.lower(F.split_part("target", F.lit("."), F.lit(-1))) == F.col("_table")) & (F.col("src_col") == F.col("_column")) & (F.col("kind") == "base"), "left")
+        sure = sure | F.col("known").isNotNull()
     rule = F.when(F.col("src_col") == "*", "wildcard").when(F.col("qualifier").isNotNull(), "qualified").when(sure, "known_column").when(F.col("n_sources") == 1, "only_source").otherwise(fallback)
     pairs = pairs.withColumn("rule", rule)
     score = F.when(F.col("rule") == "known_column", 0).when(F.col("kind") == "base", 1).otherwise(2)
@@ -68,28 +70,30 @@ def follow(frontier: DataFrame, items: DataFrame, edges: DataFrame) -> DataFrame
     what has been asked of a scope before isn't asked again, which ends cycles.
     """
     frontier = stored(frontier.distinct(), "lineage-frontier")
-    named = items.where("out_col != '*'").select("object", "scope", F.col("out_col").alias("asked")).distinct().withColumn("named", F.lit(True))
+    named = items.where("out_col != '*'").select("object", "scope", F.col("out_col").alias("asked")).distinct()
+    gives = spread(named.select("object", F.col("scope").alias("src_name"), F.col("asked").alias("src_col")).withColumn("gives", F.lit(True)))
     star_in = items.where("out_col = '*'").select("object", F.col("scope").alias("src_name")).distinct().withColumn("passes", F.lit(True))
-    gives = named.select("object", F.col("scope").alias("src_name"), "asked").withColumn("gives", F.lit(True))
     e = edges.select("object", "scope", "branch", "out_col", "excluded", F.col("expr").alias("e_expr"), F.col("direct").alias("e_direct"), "src_kind", "src_name", "src_col", F.col("position").alias("e_position"), _rank(F.col("rule")).alias("e_rank"))
-    found, seen = None, frontier
+    # a name that a scope puts out leads to its own edges, be they none; only other names go by the scope's wildcards
+    own = named.join(spread(e.where("out_col != '*'").withColumnRenamed("out_col", "asked").drop("branch", "excluded", "e_position").distinct()), ["object", "scope", "asked"], "left").withColumn("named", F.lit(True))
+    wildcards = spread(e.where("out_col = '*'").join(spread(star_in), ["object", "src_name"], "left").withColumnRenamed("src_col", "star_col"))
+    own, found, seen = spread(stored(own, "lineage-own")), None, frontier
+    key = ["object", "column", "position", "direct", "expr", "rank"]
     for n in count(1):
-        asked = frontier.join(named, ["object", "scope", "asked"], "left")
-        passed = F.col("named").isNull() & (F.col("out_col") == "*") & ~F.array_contains("excluded", F.col("asked"))
-        hit = asked.join(e, ["object", "scope"]).where((F.col("named") & (F.col("out_col") == F.col("asked"))) | passed)
-        hit = hit.withColumn("src_col", F.when(F.col("src_col") == "*", F.col("asked")).otherwise(F.col("src_col"))).withColumn("rank", F.greatest("rank", "e_rank"))
+        # the kinds of places that were asked here: their names, and what is left for wildcards
+        asked = spread(frontier).join(own, ["object", "scope", "asked"], "left")
+        way = {"direct": F.col("direct") & F.col("e_direct"), "expr": F.when(F.col("expr") != "", F.col("expr")).otherwise(F.col("e_expr")), "rank": F.greatest("rank", "e_rank")}
+        plain = asked.where("src_kind is not null").withColumns(way | {"src_col": F.when(F.col("src_col") == "*", F.col("asked")).otherwise(F.col("src_col"))}).select(*key, "src_kind", "src_name", "src_col")
+        passed = asked.where("named is null").select(*frontier.columns).join(wildcards, ["object", "scope"]).where(~F.array_contains("excluded", F.col("asked")))
+        passed = passed.withColumns(way | {"src_col": F.when(F.col("star_col") == "*", F.col("asked")).otherwise(F.col("star_col"))}).join(gives, ["object", "src_name", "src_col"], "left")
         # of the sources of a wildcard, the first that has the column: a scope that names it, else a table, else a scope with a wildcard
-        hit = hit.join(gives.withColumnRenamed("asked", "src_col"), ["object", "src_name", "src_col"], "left").join(star_in, ["object", "src_name"], "left")
-        order = F.when(F.col("out_col") != "*", 0).when(F.col("gives").isNotNull(), 0).when(F.col("src_kind") == "base", 1).when(F.col("passes").isNotNull(), 2).otherwise(3)
-        hit = hit.withColumn("direct", F.col("direct") & F.col("e_direct")).withColumn("expr", F.when(F.col("expr") != "", F.col("expr")).otherwise(F.col("e_expr")))
-        key = ["object", "column", "position", "direct", "expr", "rank"]
-        plain = hit.where("out_col != '*'").select(*key, "src_kind", "src_name", "src_col")
-        wild = hit.where("out_col = '*'").groupBy(*key, "scope", "branch", "src_col").agg(F.min(F.struct(order.alias("order"), "e_position", "src_kind", "src_name")).alias("b")).select(*key, "b.src_kind", "b.src_name", "src_col")
+        order = F.when(F.col("gives").isNotNull(), 0).when(F.col("src_kind") == "base", 1).when(F.col("passes").isNotNull(), 2).otherwise(3)
+        wild = passed.groupBy(*key, "scope", "branch", "src_col").agg(F.min(F.struct(order.alias("order"), "e_position", "src_kind", "src_name")).alias("b")).select(*key, "b.src_kind", "b.src_name", "src_col")
         step = stored(plain.unionByName(wild).distinct(), "lineage")
         ends = step.where("src_kind != 'scope'").drop("src_kind")
         found = ends if found is None else found.unionByName(ends)
         onward = step.where("src_kind = 'scope'").select("object", "column", "position", F.col("src_name").alias("scope"), F.col("src_col").alias("asked"), "direct", "expr", "rank").distinct()
-        before = seen.alias("before")
+        before = spread(seen).alias("before")
         new = onward.alias("new").join(before, [F.col(f"new.{c}").eqNullSafe(F.col(f"before.{c}")) for c in onward.columns], "left_anti")
         frontier = stored(new, "lineage-frontier")
         if frontier.isEmpty():
@@ -108,20 +112,20 @@ def resolve(objects: DataFrame, items: DataFrame, edges: DataFrame) -> DataFrame
     """
     columns = objects.where("status = 'OK'").select("object", F.posexplode("columns").alias("position", "column"))
     first = items.where("scope = 'main' and branch = 0").groupBy("object").agg(F.max(F.col("out_col") == "*").alias("starred"), F.count("*").alias("width"))
-    placed = columns.join(first, "object")
-    by_place = placed.where("not starred and position < width").join(items.where("scope = 'main'").select("object", F.col("ordinal").alias("position"), F.col("out_col").alias("asked")).distinct(), ["object", "position"])
+    placed = columns.join(spread(first), "object")
+    by_place = placed.where("not starred and position < width").join(spread(items.where("scope = 'main'").select("object", F.col("ordinal").alias("position"), F.col("out_col").alias("asked")).distinct()), ["object", "position"])
     by_name = placed.where("starred").withColumn("asked", F.lower("column"))
     start = by_place.select("object", "column", "position", "asked").unionByName(by_name.select("object", "column", "position", "asked"))
     ask = lambda df, scope, rank: df.select("object", "column", "position", F.col(scope).alias("scope") if scope != "main" else F.lit("main").alias("scope"), "asked", F.lit(True).alias("direct"), F.lit("").alias("expr"), rank.alias("rank"))
     found = stored(follow(ask(start, "main", F.lit(0)), items, edges), "lineage-found")
-    missing = columns.join(found.select("object", "column").distinct(), ["object", "column"], "left_anti").withColumn("asked", F.lower("column"))
+    missing = columns.join(spread(found.select("object", "column").distinct()), ["object", "column"], "left_anti").withColumn("asked", F.lower("column"))
     missing = stored(missing, "lineage-missing")
     if missing.isEmpty():
         return found
     scopes = items.where("scope != 'main' and out_col != '*'").groupBy("object", "scope", F.col("out_col").alias("asked")).agg(F.min("place").alias("place"))
     scopes = scopes.withColumn("place", F.min("place").over(Window.partitionBy("object", "scope")))
     voted = majority_source(missing.select("object", "asked"), scopes, ["object"], "asked", "scope", "place").withColumnRenamed("scope", "voted")
-    asked = missing.join(voted, "object").join(scopes.select("object", F.col("scope").alias("voted"), "asked"), ["object", "voted", "asked"])
+    asked = missing.join(spread(voted), "object").join(spread(scopes.select("object", F.col("scope").alias("voted"), "asked")), ["object", "voted", "asked"])
     return found.unionByName(follow(ask(asked, "voted", _rank(F.lit("cte_vote"))), items, edges))
 
 
@@ -135,7 +139,7 @@ def emit(objects: DataFrame, resolved: DataFrame, drop_unknown: bool = False) ->
         F.min("direct").alias("direct"),
         F.coalesce(F.min(F.when(F.col("expr") != "", F.col("expr"))), F.lit("")).alias("expr"),
     )
-    rows = wanted.join(per, ["object", "column", "position"], "left")
+    rows = wanted.join(spread(per), ["object", "column", "position"], "left")
     constant = F.size("tables") == 0
     derived = ~F.col("direct") | (F.size("tables") > 1) | (F.size("cols") > 1)
     lineage = rows.select(

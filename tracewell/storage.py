@@ -31,6 +31,16 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df's rows dealt evenly over as many tasks as a shuffle has, for work on each row that costs far more than reading it: a small file is one task, however long its rows take."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, to be joined by sorting both sides and never broadcast: for tables that grow with the input. Spark takes a table for as small as its compressed files, so one of 10 MB there may be some hundred in the driver and each executor."""
+    return df.hint("merge")
+
+
 def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """df written to the shared folder and read again: this cuts the lineage and survives lost executors.
 
