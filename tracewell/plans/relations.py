@@ -14,6 +14,7 @@ from tracewell.operators.aggregates import list_distinct
 from tracewell.operators.delimited import explode_list, explode_table_columns, without_alias
 from tracewell.operators.joins import suffix_join, wildcard_column_join
 from tracewell.operators.ranking import numbered
+from tracewell.storage import dealt
 
 ACTION_COLUMNS = ["frontend_file", "frontend_function", "http_method", "frontend_url", "backend_file", "backend_function", "backend_route", "response_model"]
 
@@ -117,7 +118,8 @@ def repo_references(references: DataFrame, base_table: DataFrame, view_table: Da
     """References in repositories with the keys of tables' and views' columns; one without a column stands for all."""
     base = base_table.select(F.col("primary_key").alias("base_key"), F.col("base_primary_id"), F.col("table_name").alias("_table"), F.col("column_names").alias("base_column"))
     views = view_table.select(F.col("primary_key").alias("view_key"), F.col("view_name").alias("_view"), F.col("column_names").alias("view_column"))
-    found = wildcard_column_join(references, base, "table_name", "column_name", "_table", "base_column")
+    # one reference may stand for all columns, so few rows read become many: they are dealt before, not by tables' names alone
+    found = wildcard_column_join(dealt(references), base, "table_name", "column_name", "_table", "base_column")
     found = wildcard_column_join(found, views, "table_name", "column_name", "_view", "view_column")
     return found.select("repo_name", "function_name", "table_name", "column_name", "file_name", "base_key", "base_primary_id", "base_column", "view_key", "view_column")
 
