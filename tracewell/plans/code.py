@@ -23,7 +23,7 @@ from tracewell.functions.predicates import sql_gate, table_candidate
 from tracewell.operators.closure import ROUNDS
 from tracewell.operators.joins import enclosing_range
 from tracewell.plans.code_tokens import BRACES, Innermost, Range, function_ranges, mask, pairs
-from tracewell.storage import stored
+from tracewell.storage import dealt, stored
 
 ALIASES = r"(?i)\b(?:FROM|JOIN)\s+([\w.]+)(?:\s+AS)?\s+(?!(?:ON|WHERE|LEFT|RIGHT|INNER|OUTER|FULL|CROSS|JOIN|GROUP|ORDER|HAVING|LIMIT|UNION|SET|USING|VALUES|SELECT)\b)(\w+)"
 TABLES = r"(?i)\b(?:FROM|JOIN|UPDATE|INTO)\s+([\w.]+)"
@@ -41,7 +41,7 @@ def by_file(files: DataFrame, read: Callable[[str], list[tuple]], schema: str) -
         for frame in frames:
             yield pd.DataFrame([(p, *row) for p, c in zip(frame["path"], frame["content"], strict=True) for row in read(c or "")], columns=columns)
 
-    return files.select("path", "content").mapInPandas(run, f"path string, {schema}")
+    return dealt(files.select("path", "content")).mapInPandas(run, f"path string, {schema}")
 
 
 def line_numbers(content: str) -> Callable[[int], int]:
