@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tracewell.plans import cases, lineage, relation_queries
+from tracewell.operators import ranking
+from tracewell.operators.delimited import explode_table_columns, table_columns_text
+from tracewell.plans import cases, lineage, queries, relation_queries
 from tracewell.plans.procedures import profile, variables
 from tracewell.plans.python_code import call_facts
 from tracewell.plans.relations import repo_references
@@ -69,3 +71,30 @@ def test_references_are_dealt(spark):
     views = spark.createDataFrame([(5, "T", "X")], "primary_key int, view_name string, column_names string")
     got = repo_references(references, F.broadcast(base), F.broadcast(views))
     assert got.count() == 80 and got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+@pytest.mark.parametrize("name", ["action_columns_by_schema", "action_columns_by_order"])
+def test_rows_of_orders_are_made_once(spark, tmp_path, monkeypatch, name):
+    """What is dealt by ranges is read twice, for a sample and for its rows, so details are taken apart and joined before; what numbers need is not shuffled to the rows."""
+    spark.range(50).select(F.col("id").alias("p_partkey"), F.concat(F.lit("p"), F.col("id") % 7).alias("p_name"), F.concat(F.lit("B"), F.col("id") % 3).alias("p_brand"), F.lit("T").alias("p_type"), F.lit(4).alias("p_size")).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(300).select((F.col("id") % 40).alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt, last = plans_of(monkeypatch, ranking, lambda: queries.QUERIES[name](spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "rangepartitioning" in dealt and "Generate" not in dealt and "Join" not in dealt
+    assert "BroadcastHashJoin" in last and "SortMergeJoin" not in last
+
+
+def test_details_are_shuffled_once(spark):
+    lines = spark.range(5000).select((F.col("id") % 600).alias("k"), F.concat(F.lit("T"), F.col("id") % 5).alias("t"), F.concat(F.lit("c"), F.col("id") % 3).alias("c")).repartition(3)
+    text = table_columns_text(lines, ["k"], "t", "c")
+    assert text._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, explode_table_columns(text, "table_column_details").select("k", "table_name", "column_name").collect())) == sorted(map(tuple, lines.distinct().collect()))
+
+
+def test_details_without_columns(spark):
+    rows = [(1, "A", "x"), (1, "A B", "y"), (1, "A", None), (1, "A", "w"), (1, "A", "x"), (2, "A", None), (2, "A", None), (2, "B", "c"), (2, "C", None), (3, None, "x"), (4, "A", "")]
+    got = table_columns_text(spark.createDataFrame(rows, "k int, t string, c string"), ["k"], "t", "c").collect()
+    assert {r["k"]: r["table_column_details"] for r in got} == {1: "A B:[y];A:[w,x]", 2: "A:[unknown];B:[c];C:[unknown]", 3: "", 4: "A:[]"}

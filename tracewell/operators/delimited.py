@@ -17,18 +17,37 @@ def explode_list(df: DataFrame, source: str | Column, to: str, delimiter: str =
 def explode_table_columns(df: DataFrame, details: str, table: str = "table_name", column: str = "column_name") -> DataFrame:
     """A row for each table and column of `T1:[c1,c2];T2:[c3]`; segments without a colon are left out."""
     parts = df.where(F.col(details).isNotNull()).withColumn("_segment", F.explode(F.split(details, ";")))
-    parts = parts.where(F.trim("_segment").like("%:%"))
-    parts = parts.withColumn(table, F.trim(F.split_part("_segment", F.lit(":"), F.lit(1))))
-    listed = F.translate(F.split_part("_segment", F.lit(":"), F.lit(2)), "[]", "")
+    # substring_index and replace work on bytes; split_part and translate took most of the time of large tables
+    parts = parts.where(F.contains("_segment", F.lit(":")))
+    parts = parts.withColumn(table, F.trim(F.substring_index("_segment", ":", 1)))
+    listed = F.substring_index(F.substring_index("_segment", ":", 2), ":", -1)
+    for bracket in "[]":
+        listed = F.replace(listed, F.lit(bracket), F.lit(""))
     return parts.withColumn(column, F.explode(F.split(listed, ","))).withColumn(column, F.trim(column)).drop("_segment")
 
 
 def table_columns_text(df: DataFrame, keys: list[str], table: str, column: str, to: str = "table_column_details") -> DataFrame:
-    """The inverse: tables and columns sorted; a table without columns has the marker for unknown ones."""
-    per_table = df.groupBy(*keys, table).agg(F.array_sort(F.collect_set(column)).alias("_columns"))
-    named = F.when(F.size("_columns") == 0, F.array(F.lit(UNKNOWN_COLUMN))).otherwise(F.col("_columns"))
-    text = F.concat(F.col(table), F.lit(":["), F.array_join(named, ","), F.lit("]"))
-    return per_table.withColumn("_text", text).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("_text")), ";").alias(to))
+    """The inverse: tables and columns sorted; a table without columns has the marker for unknown ones. Names have no NUL.
+
+    Rows are grouped and shuffled once, by the keys. Each table and column is one string, `T1:[` NUL `c1`, since strings
+    sort far faster than structs; sorted, a table's columns follow each other, and before them a lone `T1:[` where a
+    column is null.
+    """
+    head = F.concat(F.col(table), F.lit(":["))
+    pair = F.coalesce(F.concat(head, F.lit("\0"), F.col(column)), head)
+    head_of = lambda c: F.substring_index(c, "\0", 1)
+    alone = lambda c: ~F.contains(c, F.lit("\0"))
+
+    def text(c: Column, i: Column) -> Column:
+        before, after = F.get("_pairs", i - 1), F.get("_pairs", i + 1)
+        follows = F.coalesce(head_of(before) == head_of(c), F.lit(False))
+        unknown = F.when(head_of(after) == head_of(c), "").otherwise(UNKNOWN_COLUMN)
+        name = F.when(alone(c), unknown).otherwise(F.substr(c, F.length(head_of(c)) + 2))
+        return F.concat(F.when(~follows, F.concat(F.lit("];"), head_of(c))).when(alone(before), "").otherwise(","), name)
+
+    pairs = df.groupBy(*keys).agg(F.sort_array(F.collect_set(pair)).alias("_pairs"))
+    joined = F.concat(F.substr(F.array_join(F.transform("_pairs", text), ""), F.lit(3)), F.lit("]"))
+    return pairs.select(*keys, F.when(F.size("_pairs") == 0, "").otherwise(joined).alias(to))
 
 
 def without_alias(c: str | Column) -> Column:

@@ -22,7 +22,8 @@ def numbered(df: DataFrame, to: str, *order: Column) -> DataFrame:
     placed = placed.withColumn("_range", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(_IN_PARTITION))
     counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
     starts = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
-    return placed.join(starts, "_range").select((F.col("_start") + F.col("_at") + 1).alias(to), *(F.col(c) for c in df.columns))
+    # a row for each range, so no more than a shuffle has tasks; unless told, Spark shuffles all rows to meet them
+    return placed.join(F.broadcast(starts), "_range").select((F.col("_start") + F.col("_at") + 1).alias(to), *(F.col(c) for c in df.columns))
 
 
 def in_groups(df: DataFrame, to: str, keys: list[str], *order: Column) -> DataFrame:

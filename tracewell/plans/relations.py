@@ -14,7 +14,7 @@ from tracewell.operators.aggregates import list_distinct
 from tracewell.operators.delimited import explode_list, explode_table_columns, without_alias
 from tracewell.operators.joins import suffix_join, wildcard_column_join
 from tracewell.operators.ranking import numbered
-from tracewell.storage import dealt
+from tracewell.storage import dealt, stored
 
 ACTION_COLUMNS = ["frontend_file", "frontend_function", "http_method", "frontend_url", "backend_file", "backend_function", "backend_route", "response_model"]
 
@@ -27,6 +27,11 @@ def _same(a: Column, b: Column) -> Column:
     return F.upper(a) == F.upper(b)
 
 
+def _numbered(rows: DataFrame, *order: Column) -> DataFrame:
+    """Rows with ids in this order. They are stored before, since the sample that finds the ranges of the order would take them apart and join them once more."""
+    return numbered(stored(rows, "rows"), "id", *order)
+
+
 def action_table_columns(actions: DataFrame, base_names: DataFrame, base_table: DataFrame, keep: list[str] = ACTION_COLUMNS) -> DataFrame:
     """Actions by table and column, with the keys of both."""
     rows = explode_table_columns(actions, "table_column_details").select(*keep, "table_name", "column_name")
@@ -34,7 +39,7 @@ def action_table_columns(actions: DataFrame, base_names: DataFrame, base_table:
     columns = base_table.select(F.col("primary_key").alias("column_key"), F.col("table_name").alias("_table"), F.col("column_names").alias("_column"))
     found = rows.join(names, _same(rows["table_name"], names["_base"]), "left")
     found = found.join(columns, _same(found["table_name"], columns["_table"]) & _same(found["column_name"], columns["_column"]), "left")
-    return numbered(found.select(*keep, "table_name", "column_name", "table_key", "column_key"), "id", *_in_order(*keep[:2], "table_name", "column_name", *keep[2:], "table_key", "column_key"))
+    return _numbered(found.select(*keep, "table_name", "column_name", "table_key", "column_key"), *_in_order(*keep[:2], "table_name", "column_name", *keep[2:], "table_key", "column_key"))
 
 
 def action_columns(actions: DataFrame, base_table: DataFrame, keep: list[str] = ACTION_COLUMNS) -> DataFrame:
@@ -42,17 +47,17 @@ def action_columns(actions: DataFrame, base_table: DataFrame, keep: list[str] =
     rows = explode_table_columns(actions, "table_column_details").select(*keep, "table_name", "column_name")
     columns = base_table.select("primary_key", "base_primary_id", "schema_name", F.col("table_name").alias("_table"), F.col("column_names").alias("_column"))
     found = rows.join(columns, _same(rows["table_name"], columns["_table"]) & _same(rows["column_name"], columns["_column"]), "left")
-    return numbered(found.select(*keep, "table_name", "column_name", "primary_key", "base_primary_id", "schema_name"), "id", *_in_order(*keep[:2], "table_name", "column_name", *keep[2:], "primary_key"))
+    return _numbered(found.select(*keep, "table_name", "column_name", "primary_key", "base_primary_id", "schema_name"), *_in_order(*keep[:2], "table_name", "column_name", *keep[2:], "primary_key"))
 
 
 def action_tables(actions: DataFrame, base_names: DataFrame | None = None, keep: list[str] = ACTION_COLUMNS, delimiter: str = ",") -> DataFrame:
     """Actions by table; with base_names, also the table's key."""
     rows = explode_list(actions.where(F.col("database_tables").isNotNull()), "database_tables", "table_name", delimiter).select(*keep, "table_name")
     if base_names is None:
-        return numbered(rows, "id", *_in_order(*keep[:2], "table_name", *keep[2:]))
+        return _numbered(rows, *_in_order(*keep[:2], "table_name", *keep[2:]))
     names = base_names.select(F.col("base_primary_id").alias("table_key"), F.col("table_name").alias("_base"))
     found = rows.join(names, _same(rows["table_name"], names["_base"]), "left").drop("_base")
-    return numbered(found, "id", *_in_order(*keep[:2], "table_name", *keep[2:], "table_key"))
+    return _numbered(found, *_in_order(*keep[:2], "table_name", *keep[2:], "table_key"))
 
 
 def lineage_with_keys(lineage: DataFrame, base_table: DataFrame, view_table: DataFrame) -> DataFrame:
@@ -91,7 +96,7 @@ def procedure_columns(procedures: DataFrame, base_names: DataFrame, base_table:
     found = suffix_join(procedures, names, "table_name", "_base").where("base_primary_id is not null")
     found = found.join(columns, (found["base_primary_id"] == columns["_id"]) & _same(found["column_name"], columns["_column"]), "left")
     rows = found.select("sp_name", "sp_schema", "table_name", "column_name", "relationship_types", F.col("base_primary_id").alias("base_table_id"), F.col("primary_key").alias("base_column_id"))
-    return numbered(rows, "id", *_in_order("sp_name", "table_name", "column_name", "sp_schema", "relationship_types", "base_table_id", "base_column_id"))
+    return _numbered(rows, *_in_order("sp_name", "table_name", "column_name", "sp_schema", "relationship_types", "base_table_id", "base_column_id"))
 
 
 def procedure_routes(actions: DataFrame, any_case: bool = False, prefix: str = "") -> DataFrame:
@@ -111,7 +116,7 @@ def procedure_triggers(procedure_columns_: DataFrame, flows: DataFrame, actions:
     by_flow, by_api = F.col("_flow").isNotNull(), F.col("sp_found").isNotNull()
     trigger = F.when(by_flow & by_api, "flow_triggered,api_triggered").when(by_flow, "flow_triggered").when(by_api, "api_triggered").otherwise("")
     rows = found.select("sp_name", "sp_schema", "table_name", "column_name", "relationship_types", "base_table_id", "base_column_id", trigger.alias("trigger_type"), F.when(by_flow, F.col("repo_names")).when(by_api, F.col("backend_routes")).alias("source_reference"))
-    return numbered(rows, "id", *_in_order("sp_name", "table_name", "column_name", "sp_schema", "relationship_types", "base_table_id", "base_column_id", "source_reference"))
+    return _numbered(rows, *_in_order("sp_name", "table_name", "column_name", "sp_schema", "relationship_types", "base_table_id", "base_column_id", "source_reference"))
 
 
 def repo_references(references: DataFrame, base_table: DataFrame, view_table: DataFrame) -> DataFrame:
