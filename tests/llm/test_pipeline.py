@@ -1,12 +1,17 @@
 """The five stages one after the other, on tables with nulls, empty texts, repeated rows, copies and passages of the benchmark."""
 
 import random
+import weakref
 
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tracewell.llm.common import drop_tables
+from tracewell.llm.ngram_join import word_hashes
+from tracewell.llm.queries import VOCABULARY
+from tracewell.llm.token_files import encoder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -67,3 +72,16 @@ def test_stages_return_the_columns_of_documents(spark, tables, tmp_path, stage):
     folder = write(spark, tmp_path, rows[:20], labels, bench)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     assert corpus_pipeline.STAGES[stage][1](spark, docs, folder).columns == docs.columns
+
+
+def test_a_worker_holds_the_tables_of_one_operator():
+    path = public_tokenizers.path(VOCABULARY)
+    encoder(path)("some words of a text")
+    left = weakref.ref(encoder(path))
+    assert encoder(path) is left()  # for later tasks of the same operator
+    word_hashes()[b"word"]
+    assert left() is None
+    assert word_hashes() is word_hashes() and b"word" in word_hashes()
+    left = weakref.ref(word_hashes())
+    drop_tables()
+    assert left() is None

@@ -1,16 +1,21 @@
-"""What several text operators share: word splitting, label folds, shared storage, mixing of 64-bit hashes."""
+"""What several text operators share: word splitting, label folds, shared storage, mixing of 64-bit hashes, workers' tables."""
 
 from __future__ import annotations
 
-from functools import reduce
+import gc
+from collections.abc import Callable
+from functools import reduce, wraps
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.storage import shared_dir, stored
 
-__all__ = ["bounded", "held_out", "labelled_sample", "logistic", "mix64", "shared_dir", "stored", "words"]
+__all__ = ["bounded", "drop_tables", "held_out", "labelled_sample", "logistic", "mix64", "shared_dir", "stored", "tables_of_worker", "words"]
+
+_TABLES: dict[tuple, object] = {}
 
 
 def words(text: str | None) -> list[bytes]:
@@ -18,6 +23,28 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def drop_tables() -> None:
+    """Frees what an earlier operator has left in this worker: workers outlive their tasks and serve one operator after the other."""
+    if _TABLES:
+        _TABLES.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def tables_of_worker(make: Callable) -> Callable:
+    """make(*args), kept for later tasks of this worker until they ask for other tables: a worker holds one operator's at a time."""
+
+    @wraps(make)
+    def get(*args):
+        key = (make.__module__, make.__qualname__, *args)
+        if key not in _TABLES:
+            drop_tables()
+            _TABLES[key] = make(*args)
+        return _TABLES[key]
+
+    return get
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the fifth of the ids that no model may learn from; null ids are never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm.bpe_count import Memo
-from tracewell.llm.common import mix64, stored
+from tracewell.llm.common import mix64, stored, tables_of_worker
 from tracewell.llm.components import connected_components, join_hot
 
 KEPT_WORDS = 200_000
@@ -59,7 +59,7 @@ NO_ID = -(1 << 63)
 ODD, BELOW = 1, 2
 
 
-@lru_cache(maxsize=1)
+@tables_of_worker
 def word_hashes() -> Memo:
     """Hashes by word, for all tasks of a worker."""
     return Memo(xxhash.xxh3_64_intdigest, KEPT_WORDS)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import bounded, held_out, labelled_sample, logistic, stored
+from tracewell.llm.common import bounded, drop_tables, held_out, labelled_sample, logistic, stored
 
 SAMPLE = {0: 3000, 1: 6000}
 THRESHOLD = 0.3
@@ -199,6 +199,7 @@ def keep_good(documents: DataFrame, field: Field, threshold: float = THRESHOLD)
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables()
         for batch in batches:
             yield batch.filter(pa.array([field.score(t) >= threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -23,7 +23,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tracewell.llm.bpe_count import Memo, Splitter, Words, byte_symbols
-from tracewell.llm.common import shared_dir
+from tracewell.llm.common import shared_dir, tables_of_worker
 
 BLOCK_IDS = 1 << 20
 KEPT_PIECES = 1_000_000
@@ -148,7 +147,7 @@ class Encoder:
         return b"".join(self.units(text))
 
 
-@lru_cache(maxsize=1)
+@tables_of_worker
 def encoder(path: str) -> Encoder:
     """One for all tasks of a worker."""
     return Encoder(path)
